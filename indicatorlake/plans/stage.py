@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,7 +50,7 @@ def plan_groups(config: DataFrame, views: dict[str, DataFrame]) -> list[dict]:
 
 
 def _known(lake: Lake, views: dict[str, DataFrame]) -> DataFrame:
-    return lake.spark.createDataFrame([[code] for code in views] or [[None]], "afs_source_code string")
+    return lake.spark.createDataFrame(pa.table({"afs_source_code": pa.array(list(views), pa.string())}))
 
 
 def checked_config(lake: Lake, views: dict[str, DataFrame]) -> DataFrame:

@@ -146,11 +146,14 @@ def export_files(
     compression: str = "snappy",
     rows_per_file: int = 5_000_000,
     clear: bool = True,
-) -> None:
-    """Write one table as compressed part files into a folder of its own.
+) -> int:
+    """Write one table as compressed part files into a folder of its own; returns its number of rows.
 
     ``clear`` empties that folder first, so no shard of an earlier, larger
     export survives.
     """
-    writer = df.write.mode("overwrite" if clear else "append").option("maxRecordsPerFile", rows_per_file)
+    seen = Observation(f"export-{uuid.uuid4().hex}")
+    rows = df.observe(seen, F.count(F.lit(1)).alias("n"))
+    writer = rows.write.mode("overwrite" if clear else "append").option("maxRecordsPerFile", rows_per_file)
     writer.option("compression", compression).format(fmt).save(folder)
+    return seen.get["n"]
