@@ -92,13 +92,13 @@ def key_diff(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def missing_from(expected: DataFrame, existing: DataFrame, key: str) -> DataFrame:
-    """Distinct expected names with no counterpart."""
-    return expected.select(key).distinct().join(existing.select(key), key, "left_anti")
+    """Distinct expected names with no counterpart; both sides collapse to names before they travel."""
+    return expected.select(key).distinct().join(existing.select(key).distinct(), key, "left_anti")
 
 
 def present_in(expected: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     """Distinct expected names that exist."""
-    return expected.select(key).distinct().join(existing.select(key), key, "left_semi")
+    return expected.select(key).distinct().join(existing.select(key).distinct(), key, "left_semi")
 
 
 def source_codes(config: DataFrame) -> DataFrame:

@@ -9,9 +9,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# More predicates than this in one pass make the generated code slow to compile;
-# beyond it the view is scanned once per batch.
+# More predicates than this in one pass make too large an expression; beyond it
+# the view is scanned once per batch.
 PREDICATES_PER_SCAN = 100
+SEPARATOR = "\x01"
 
 
 @dataclass(frozen=True)
@@ -25,24 +26,32 @@ class Indicator:
         return (self.pre_process or "").strip().rstrip(";").strip()
 
 
-def indicators(config: DataFrame) -> list[Indicator]:
-    """Config rows as query text.  This is control data: the plan is built from it."""
+def indicators(config: DataFrame) -> dict[str, list[Indicator]]:
+    """Config rows as query text, by source.  This is control data: the plans are built from it."""
     has_query = "pre_process" in config.columns
     query = F.col("pre_process") if has_query else F.lit(None).cast("string")
-    rows = config.select("afs_uid", "filter_string", query.alias("q")).orderBy("afs_uid").collect()
-    return [Indicator(r.afs_uid, r.filter_string.strip(), r.q) for r in rows]
+    rows = config.select("afs_source_code", "afs_uid", "filter_string", query.alias("q")).collect()
+    found: dict[str, list[Indicator]] = {}
+    for r in sorted(rows, key=lambda r: (r.afs_source_code, r.afs_uid)):
+        found.setdefault(r.afs_source_code, []).append(Indicator(r.afs_uid, r.filter_string.strip(), r.q))
+    return found
 
 
 def fan_out(view: DataFrame, wanted: Iterable[Indicator]) -> DataFrame:
     """Rows of ``view`` once per matching indicator, with ``afs_uid`` in front.
 
-    One scan: every row gets the list of uids whose predicate holds, and the list
-    is exploded.  The same rows as one filtered scan per indicator, unioned.
+    One scan: every row gets the joined uids whose predicate holds, split and
+    exploded.  The same rows as one filtered scan per indicator, unioned.  The
+    uids are made in a projection, where Spark evaluates what the predicates
+    have in common (say, one JSON key they all look up) once per row; a filter
+    on them beforehand would evaluate each predicate on its own again.
     """
     batch = list(wanted)
-    hits = F.array_compact(F.array(*[F.when(F.expr(i.condition), F.lit(i.uid)) for i in batch]))
-    matched = view.withColumn("_uids", hits).where(F.size("_uids") > 0)
-    return matched.select(F.explode("_uids").alias("afs_uid"), *view.columns)
+    if any(SEPARATOR in i.uid or not i.uid for i in batch):
+        raise ValueError("uids must be non-empty and free of control characters")
+    hits = F.concat_ws(SEPARATOR, *[F.when(F.expr(i.condition), F.lit(i.uid)) for i in batch])
+    split = F.explode(F.split("_uids", SEPARATOR)).alias("afs_uid")
+    return view.withColumn("_uids", hits).select(split, *view.columns).where("afs_uid <> ''")
 
 
 def processed(view: DataFrame, indicator: Indicator) -> DataFrame:

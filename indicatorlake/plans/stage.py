@@ -35,10 +35,8 @@ def plan_groups(config: DataFrame, views: dict[str, DataFrame]) -> list[dict]:
     ``config`` holds checked rows.  Building a frame analyses its predicates and
     queries, so a wrong one shows here, in ``error``, before anything is written.
     """
-    codes = [r[0] for r in config.select("afs_source_code").distinct().orderBy("afs_source_code").collect()]
     groups = []
-    for code in codes:
-        wanted = indicators(config.where(F.col("afs_source_code") == code))
+    for code, wanted in indicators(config).items():
         group = {"code": code, "stg_view": view_name(code), "stg_tbl": table_name(code),
                  "afs_uid_list": sorted(i.uid for i in wanted), "frame": None, "error": None}
         try:

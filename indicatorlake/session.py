@@ -14,6 +14,8 @@ SETTINGS = {
     # itself never forces one.  Beyond the threshold the joins shuffle, and the
     # skew settings split hot keys.
     "spark.sql.autoBroadcastJoinThreshold": "32m",
+    # Methods above this size are not compiled by the JVM; Spark then splits them.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

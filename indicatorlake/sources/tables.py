@@ -130,7 +130,8 @@ def parquet_exists(spark: SparkSession, path: str) -> bool:
 
 def new_versions(wanted: DataFrame, stored: DataFrame) -> DataFrame:
     """(afs_source_code, version) pairs not stored yet."""
-    return wanted.join(stored, ["afs_source_code", "version"], "left_anti")
+    keys = ["afs_source_code", "version"]
+    return wanted.join(stored.select(keys).distinct(), keys, "left_anti")
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:

@@ -5,12 +5,17 @@ Customers stand for config rows: two share a uid, statuses and blanks rotate.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from indicatorlake.functions import source_version
 from indicatorlake.operators import quality as q
+from indicatorlake.plans import sync
+from indicatorlake.session import scratch_folder
 from indicatorlake.sources import config as c
-from indicatorlake.sources.tables import new_versions
+from indicatorlake.sources.tables import Lake, new_versions
 
 from .registry import case
 from .standins import run_sql, table
@@ -164,10 +169,23 @@ _STORED = "SELECT 'src' || CAST(o_custkey AS STRING) AS afs_source_code, CAST(o_
     stored AS (SELECT afs_source_code, strftime(day, '%Y%m%d') AS version FROM ({_STORED}))
     SELECT * FROM wanted ANTI JOIN stored USING (afs_source_code, version)""")
 def new_source_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from indicatorlake.functions import source_version
-
     wanted = run_sql(spark, sf_dir, _WANTED, "orders").select(
         "afs_source_code", source_version(F.col("published"), "run").alias("version")).distinct()
     stored = run_sql(spark, sf_dir, _STORED, "orders").select(
         "afs_source_code", F.date_format("day", "yyyyMMdd").alias("version"))
     return new_versions(wanted, stored)
+
+
+@case("config_sheet_push", """
+    SELECT '00' || CAST(c_custkey AS VARCHAR) AS afs_uid, c_name, CASE WHEN c_acctbal < 0 THEN NULL ELSE c_mktsegment END AS status,
+           'push' AS direction, 'SUCCESS' AS outcome, CAST(count(*) OVER () AS VARCHAR) || ' rows' AS detail FROM customer""")
+def config_sheet_push(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes such as 007 keep their zeros on the way from sheet to table."""
+    lake = Lake(spark, f"sync_{uuid.uuid4().hex}", scratch_folder(spark, "sync"))
+    sheet = table(spark, sf_dir, "customer").selectExpr(
+        "concat('00', c_custkey) AS afs_uid", "c_name", "CASE WHEN c_acctbal < 0 THEN NULL ELSE c_mktsegment END AS status")
+    sheet.write.option("header", True).csv(f"{lake.root}/sheet.csv")
+    sync.push(lake, f"{lake.root}/sheet.csv", "cfg_stage_tbl", "afs_uid")
+    log = lake.read(sync.LOG).head()
+    noted = {"direction": log.direction, "outcome": log.status, "detail": log.detail}
+    return lake.read("cfg_stage_tbl").withColumns({k: F.lit(v) for k, v in noted.items()})

@@ -6,9 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from indicatorlake import functions as fn
-from indicatorlake.operators.reshape import rename_columns, rows_per_measure
+from indicatorlake.operators.reshape import diagonal_union, rename_columns, rows_per_measure
 from indicatorlake.plans.harmonise import harmonise
+from indicatorlake.plans.ingest import source_view_name
 from indicatorlake.plans.specs import SPECS
+from indicatorlake.plans.stage import view_name
+from indicatorlake.plans.views import register_views
+from indicatorlake.sources.tables import register_view
 
 from . import duck
 from .registry import case
@@ -125,3 +129,21 @@ def lineage_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
         fn.source_version(day, "run").alias("version"),
         fn.source_version(published, "run").alias("version_or_run"),
     )
+
+
+@case("view_batch", """
+    SELECT code AS afs_source_code, action, status, n_rows FROM (VALUES ('fsd', 'CREATE', 'SUCCESS', TRUE), ('usda', 'REPLACE', 'SUCCESS', TRUE),
+        ('wb_wgi', '', 'SKIPPED', FALSE), ('No Code', '', 'SKIPPED', FALSE)) AS t(code, action, status, made)
+    LEFT JOIN (SELECT count(*) AS n_rows FROM orders JOIN customer ON o_custkey = c_custkey) ON made""")
+def view_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views are made for the sources that have a table, replaced where there is one already."""
+    for code in ("fsd", "usda"):
+        register_view(raw_source(spark, sf_dir, code), source_view_name(code))
+        spark.catalog.dropTempView(view_name(code))
+    register_views(areas(spark, sf_dir), ["usda"])
+    _, rows = register_views(areas(spark, sf_dir), ["fsd", "usda", "wb_wgi", "No Code", "fsd"])
+    made = [spark.table(r["target_view"]).groupBy(F.lit(r["afs_source_code"]).alias("afs_source_code")).agg(F.count(F.lit(1)).alias("n_rows"))
+            for r in rows if r["status"] == "SUCCESS"]
+    outcome = spark.createDataFrame(
+        [(r["afs_source_code"], r["action"], r["status"]) for r in rows], "afs_source_code string, action string, status string")
+    return outcome.join(diagonal_union(made), "afs_source_code", "left")

@@ -71,7 +71,7 @@ _TOTALS = """
     FROM totals"""
 _LATEST = """
     SELECT * FROM (SELECT *, row_number() OVER (
-        PARTITION BY afs_m49_code, afs_unit ORDER BY afs_year DESC NULLS LAST, value DESC NULLS LAST, GEO, SERIES, ATTRS, TIME_PERIOD, area_name) AS rn
+        PARTITION BY afs_m49_code, afs_unit ORDER BY afs_year DESC NULLS LAST, value DESC NULLS LAST, GEO, SERIES, ATTRS, TIME_PERIOD, area_name NULLS LAST, area_ref NULLS LAST) AS rn
         FROM input) AS ranked WHERE rn = 1"""
 
 
