@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import is_blank
+from ..session import written
 from .reshape import quoted
 
 # M49 region names and their codes.
@@ -128,9 +129,13 @@ def name_codes(
     The rest match a reference name word for word, or an alias pattern; aliases
     are found by equi-join on a word of the name, so no name meets every pattern.
     With ``skip_aggregates`` a name holding a colon never matches.
+
+    The names and the finished mapping are written out: the facts are read once
+    for their names, and the join of the mapping back to the facts is planned
+    from its real size, without shuffling the facts when it is small.
     """
     names = df.select(F.col(quoted(name)).alias("_name")).where(~is_blank(F.col("_name"))).distinct()
-    names = names.withColumn("_key", F.lower(F.trim("_name")))
+    names = written(names, "names").withColumn("_key", F.lower(F.trim("_name")))
     if skip_aggregates:
         names = names.withColumn("_key", F.when(~F.contains(F.col("_name"), F.lit(":")), F.col("_key")))
     region = regions.select(F.lower(F.trim("area_name")).alias("_key"), F.col("m49_code").alias("_region"))
@@ -158,9 +163,8 @@ def name_codes(
         .where("_low = _high")
         .select("_name", F.col("_low").alias("_country"))
     )
-    return named.join(single, "_name", "left").select(
-        F.col("_name").alias(name), F.coalesce("_region", "_country").alias(code)
-    )
+    codes = named.join(single, "_name", "left").select("_name", F.coalesce("_region", "_country").alias("_code"))
+    return written(codes, "codes").toDF(name, code)
 
 
 def unmatched_names(codes: DataFrame, name: str, code: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.ansi.enabled": "true",
@@ -41,3 +41,15 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
     if not shared:
         shared = "file://" + tempfile.mkdtemp(prefix="indicatorlake-")
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """The same rows, written to the shared folder and read back.
+
+    For small results that later plans use more than once or join to facts: they
+    are computed once, survive lost executors, and Spark knows their size, so it
+    can tell whether to broadcast them.
+    """
+    folder = scratch_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)

@@ -150,7 +150,7 @@ _NAMES = """
 """
 # A second area also reads "nation 8", so that name is ambiguous.
 _NAMED_AREAS = f"SELECT * FROM ({AREAS}) UNION ALL SELECT '908' AS m49_code, 'X08' AS iso3c, 'Nation 8' AS area_name FROM nation WHERE n_nationkey = 8"
-_ALIASES = """SELECT 'republic' AS anchor, 'republic of ' || lower(n_name) || '$' AS pattern,
+_ALIASES = """SELECT CAST(n_nationkey AS STRING) AS anchor, 'republic of ' || lower(n_name) || '$' AS pattern,
     lpad(CAST(n_nationkey AS STRING), 3, '0') AS m49_code FROM nation WHERE n_nationkey >= 15"""
 _NAME_CODES = f"""
     WITH facts AS ({_NAMES}), areas AS ({_NAMED_AREAS}), aliases AS ({_ALIASES}),
