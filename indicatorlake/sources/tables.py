@@ -90,15 +90,29 @@ class Lake:
         rows = rows.observe(seen, F.count(F.lit(1)).alias("n"), F.collect_set(key).alias("written"))
         rows.write.partitionBy(key).parquet(folder)
         metrics = seen.get
+        self._repoint(table, folder, key, set(metrics["written"]), wanted)
+        return metrics["n"]
+
+    def _repoint(self, table: str, folder: str, key: str, written: set[str], wanted: list[str]) -> None:
+        """Point the partitions of the written values at ``folder`` and drop those of the others."""
         name = self.name(table)
+        there = {r[0] for r in self.spark.sql(f"SHOW PARTITIONS {name}").collect()}
+        added, dropped = [], []
         for value in wanted:
             part = f"PARTITION ({quoted(key)} = {_literal(value)})"
-            self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {part}")
-            if value in metrics["written"]:
-                place = f"{folder}/{key}={_folder_name(value)}"
-                self.spark.sql(f"ALTER TABLE {name} ADD {part} LOCATION {_literal(place)}")
+            place = f"{key}={_folder_name(value)}"
+            location = _literal(f"{folder}/{place}")
+            if value not in written:
+                dropped.append(part)
+            elif place in there:
+                self.spark.sql(f"ALTER TABLE {name} {part} SET LOCATION {location}")
+            else:
+                added.append(f"{part} LOCATION {location}")
+        if added:
+            self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(added)}")
+        if dropped:
+            self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(dropped)}")
         self.spark.catalog.refreshTable(name)
-        return metrics["n"]
 
     def append(self, table: str, df: DataFrame) -> None:
         """Add rows, creating the table on first use."""
