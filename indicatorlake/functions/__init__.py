@@ -9,6 +9,7 @@ from .scalars import (
     safe_int,
     source_version,
     strict_timestamp,
+    strip,
     strip_dot_zero,
     strip_quote,
     text_out,
@@ -28,6 +29,7 @@ __all__ = [
     "safe_int",
     "source_version",
     "strict_timestamp",
+    "strip",
     "strip_dot_zero",
     "strip_quote",
     "text_out",

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 NUMBER_PATTERN = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
 DOT_ZERO_PATTERN = r"^\s*(-?\d+)\.0+\s*$"
 M49_WIDTH = 3
+# Date layouts publishers use besides ISO ones; the month comes first when in doubt.
+DATE_LAYOUTS = ["yyyy/M/d", "M/d/yyyy", "yyyyMMdd", "MMMM d, yyyy", "MMM d, yyyy", "d MMMM yyyy", "d MMM yyyy", "MMMM yyyy", "MMM yyyy"]
 
 
 def strip_quote(text: Column) -> Column:
@@ -59,6 +61,11 @@ def strict_timestamp(text: Column) -> Column:
     return F.when(bad, F.raise_error(message).cast("timestamp")).otherwise(parsed)
 
 
+def strip(text: Column) -> Column:
+    """Without white space of any kind at either end."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
 def is_blank(text: Column) -> Column:
     """True for NULL and for text made of white space only."""
     return ~F.coalesce(text.rlike(r"(?U)\S"), F.lit(False))
@@ -66,8 +73,10 @@ def is_blank(text: Column) -> Column:
 
 def source_version(published: Column, fallback: str) -> Column:
     """Publish date as yyyyMMdd; the run's own stamp where there is no usable date."""
-    day = F.date_format(published.try_cast("timestamp"), "yyyyMMdd")
-    return F.coalesce(day, F.lit(fallback))
+    text = strip(published)
+    iso = F.when(~text.rlike(r"^\d{8}$"), text.try_cast("timestamp"))
+    read = F.coalesce(iso, *[F.try_to_timestamp(text, F.lit(layout)) for layout in DATE_LAYOUTS])
+    return F.coalesce(F.date_format(read, "yyyyMMdd"), F.lit(fallback))
 
 
 def text_out(column: Column) -> Column:

@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import is_blank
+from ..functions import is_blank, strip
 from ..session import written
 from .reshape import quoted
 
@@ -135,10 +135,10 @@ def name_codes(
     from its real size, without shuffling the facts when it is small.
     """
     names = df.select(F.col(quoted(name)).alias("_name")).where(~is_blank(F.col("_name"))).distinct()
-    names = written(names, "names").withColumn("_key", F.lower(F.trim("_name")))
+    names = written(names, "names").withColumn("_key", F.lower(strip(F.col("_name"))))
     if skip_aggregates:
         names = names.withColumn("_key", F.when(~F.contains(F.col("_name"), F.lit(":")), F.col("_key")))
-    region = regions.select(F.lower(F.trim("area_name")).alias("_key"), F.col("m49_code").alias("_region"))
+    region = regions.select(F.lower(strip(F.col("area_name"))).alias("_key"), F.col("m49_code").alias("_region"))
     named = names.join(region, "_key", "left").select("_name", "_key", "_region")
     open_names = named.where("_region IS NULL AND _key IS NOT NULL").select("_name", "_key")
 

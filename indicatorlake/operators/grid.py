@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Key and taxonomy columns of the published table.
 KEYS = ("afs_m49_code", "afs_uid", "afs_year")
 TAXONOMY = [
     "afs_id",
@@ -35,6 +36,7 @@ def reference_grid(areas: DataFrame, uids: DataFrame, start_year: int, end_year:
     """
     last = F.year(F.current_date()) if end_year is None else F.lit(end_year)
     years = F.sequence(F.lit(start_year).cast("bigint"), last.cast("bigint"))
+    years = F.when(last >= start_year, years)  # no years at all when the range is empty
     scope = areas.select(
         F.col("m49_code").cast("string").alias("afs_m49_code"),
         F.col("area_name").cast("string").alias("afs_area_name"),

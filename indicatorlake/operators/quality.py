@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import is_blank
 from .reshape import quoted
 
+# Life cycle of an indicator.
 IGNORED_STATUSES = ("INACTIVE", "DELETED")
 RUNNABLE_STATUSES = ("DRAFT", "REVIEW", "ACTIVE")
 PUBLISHED_STATUSES = ("REVIEW", "ACTIVE")

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import is_blank
+from ..functions import is_blank, strip
 
 YEAR_COLUMN = re.compile(r"\d{4}")
 
@@ -48,7 +48,7 @@ def years_to_rows(df: DataFrame, year: str, value: str, keep_blank: bool = False
     if not years:
         raise ValueError(f"no four digit year column among {df.columns}")
     ids = [c for c in df.columns if c not in years]
-    rows = columns_to_rows(df, ids, years, year, value).withColumn(year, F.trim(year))
+    rows = columns_to_rows(df, ids, years, year, value).withColumn(year, strip(F.col(year)))
     return rows if keep_blank else rows.where(~is_blank(F.col(value)))
 
 

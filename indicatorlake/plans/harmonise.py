@@ -11,6 +11,7 @@ from ..operators.areas import join_areas
 from ..operators.reshape import rename_columns, rows_per_measure
 from .specs import BAGS, SPECS, ViewSpec
 
+# The canonical columns, in order.
 OBSERVATION = T.StructType(
     [
         T.StructField("afs_m49_code", T.StringType()),

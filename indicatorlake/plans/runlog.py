@@ -18,6 +18,7 @@ def _schema(**types: T.DataType) -> T.StructType:
 
 _TEXT, _TEXTS, _COUNT, _TIME = T.StringType(), T.ArrayType(T.StringType()), T.LongType(), T.TimestampType()
 
+# Columns of the four logs.
 STAGE_LOG = _schema(
     run_id=_TEXT, run_type=_TEXT, stg_view=_TEXT, stg_tbl=_TEXT, afs_uid_list=_TEXTS, job_status=_TEXT,
     error_message=_TEXT, bq_job_id=_TEXT, rows_affected=_COUNT, created_at=_TIME,

@@ -10,13 +10,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Lineage columns, and letters and signs that do not decompose into ASCII.
 LINEAGE = ("afs_source_code", "afs_source_updated_at", "afs_source_ingested_at")
 
+FOLDED = str.maketrans({"ß": "ss", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "ø": "o", "Ø": "O", "đ": "d", "Đ": "D",
+                        "ð": "d", "þ": "th", "ł": "l", "Ł": "L", "ı": "i", "°": "deg", "€": "EUR"})
+
 
 def slug(name: str) -> str:
     """Lower-case ASCII words joined by underscores."""
     text = html.unescape(name.replace("\x00", "").strip())
-    text = unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode().lower()
+    text = unicodedata.normalize("NFKD", text.translate(FOLDED)).encode("ascii", "ignore").decode().lower()
     text = re.sub(r"(?<=\d),(?=\d)", "", text)
     return re.sub(r"[^a-z0-9]+", "_", text).strip("_")
 

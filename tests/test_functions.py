@@ -80,6 +80,8 @@ def test_source_version(spark):
     assert one(spark, lambda c: fn.source_version(c, "now"), "2024-05-01") == "20240501"
     assert one(spark, lambda c: fn.source_version(c, "now"), "soon") == "now"
     assert one(spark, lambda c: fn.source_version(c, "now"), None) == "now"
+    for text in ("2024/05/01", "5/1/2024", "20240501", "May 1, 2024", " 1 May 2024 ", "2024-05-01 10:00:00", "May 2024"):
+        assert one(spark, lambda c: fn.source_version(c, "now"), text) == "20240501", text
 
 
 @pytest.mark.parametrize("names, slugs", [
@@ -87,7 +89,7 @@ def test_source_version(spark):
     (["", "x"], ["unnamed_0", "x"]),
     (["a", "a"], ["a", "a_1"]),
     (["a", "a", "a_1"], ["a", "a_1", "a_1_1"]),
-    (["ref_area.label", "Prix d'unité", "1,000 t", "A &amp; B", "x\x00y"], ["ref_area_label", "prix_d_unite", "1000_t", "a_b", "xy"]),
+    (["ref_area.label", "Prix d'unité", "1,000 t", "A &amp; B", "x\x00y", "Straße (°C)"], ["ref_area_label", "prix_d_unite", "1000_t", "a_b", "xy", "strasse_degc"]),
 ])
 def test_slugs(names, slugs):
     assert slug_names(names) == slugs

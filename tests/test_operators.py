@@ -87,6 +87,7 @@ def test_default_grid_ends_this_year(spark):
     uids = spark.createDataFrame([("u1",)], "afs_uid string")
     this_year = spark.range(1).select(F.year(F.current_date())).head()[0]
     assert reference_grid(scope, uids, 2010).count() == this_year - 2010 + 1
+    assert reference_grid(scope, uids, 2010, 2009).count() == 0
 
 
 def test_global_order_holds_over_partitions_and_splits_a_hot_key(spark):
