@@ -69,8 +69,6 @@ def harmonise(source: DataFrame, areas: DataFrame, spec: ViewSpec | str) -> Data
     if spec.measures:
         rows = rows_per_measure(rows, spec.measures, "measure", "value")
     rows = rows.withColumns(_area_columns(spec))
-    on = "iso3c" if spec.area_rule == "iso3" else "m49_code"
-    joined = join_areas(rows, areas, F.col("_key"), on)
 
     def entry(column: str, na: bool) -> Column:
         return F.col("_key") if column == "@" else _text(column, na)
@@ -78,9 +76,10 @@ def harmonise(source: DataFrame, areas: DataFrame, spec: ViewSpec | str) -> Data
     bags = {
         name: bag({key: entry(column, na) for key, column, na in spec.entries(name)}) for name in BAGS
     }
-    return joined.select(
-        F.col("_m49_code").alias("afs_m49_code"),
-        F.col("_iso3c").alias("afs_iso3c"),
+    # Everything but the area codes is made before the join, so that only the
+    # canonical columns pass through it however many the source has.
+    observed = rows.select(
+        "_key",
         F.col("_ref").alias("area_ref"),
         _text(spec.area_name, spec.na_values).alias("area_name"),
         afs_year(spec.year[0], *[F.col(c) for c in spec.year[1:]]).alias("afs_year"),
@@ -93,6 +92,11 @@ def harmonise(source: DataFrame, areas: DataFrame, spec: ViewSpec | str) -> Data
         F.col("afs_source_updated_at").cast("string").alias("afs_source_updated_at"),
         strict_timestamp(F.col("afs_source_ingested_at")).alias("afs_source_ingested_at"),
     )
+    on = "iso3c" if spec.area_rule == "iso3" else "m49_code"
+    joined = join_areas(observed, areas, F.col("_key"), on)
+    return joined.select(
+        F.col("_m49_code").alias("afs_m49_code"), F.col("_iso3c").alias("afs_iso3c"), *observed.columns[1:]
+    )
 
 
 def assert_observation(df: DataFrame, name: str) -> DataFrame:

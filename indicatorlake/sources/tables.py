@@ -29,7 +29,7 @@ class Lake:
     root: str
 
     def __post_init__(self) -> None:
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(self.database)}")
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(self.database)} LOCATION {_literal(self.root)}")
 
     def name(self, table: str) -> str:
         return f"{quoted(self.database)}.{quoted(table)}"
