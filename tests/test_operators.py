@@ -17,8 +17,8 @@ from indicatorlake.operators.ordering import globally_ordered
 from indicatorlake.operators.reshape import rename_columns, years_to_rows
 from indicatorlake.operators.selection import Indicator, fan_out, processed, select_indicators
 from indicatorlake.plans.harmonise import OBSERVATION, assert_observation, harmonise
+from workload import QUERIES
 from workload.harmonise_cases import view
-from workload.standins import areas as area_frame
 
 SF = "/root/testdata/sf0.001"
 
@@ -74,12 +74,12 @@ def test_gap_fill_equals_left_plus_anti_and_full_outer(spark):
     assert rows(filled) == rows(left.union(anti)) == rows(full)
 
 
-def test_gap_fill_does_not_shuffle_facts_for_its_joins(spark):
-    """Facts of one hot key must not meet in one task: they only pass broadcast joins."""
-    scope, uids = area_frame(spark, SF), spark.createDataFrame([("late",)], "afs_uid string")
-    stage = view(spark, SF, "faostat_qcl").select(F.lit("late").alias("afs_uid"), "*")
-    df = gap_fill(stage, scope, uids, 1998, 2001)
-    assert "FullOuter" not in df._jdf.queryExecution().executedPlan().toString()
+def test_gap_filled_export_joins_facts_without_shuffling_them(spark):
+    """Facts of one hot key must not meet in one task: outer joins of facts are broadcast, only the grid's anti join shuffles."""
+    plan = QUERIES["gap_filled_export"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert not [j for j in joins if "FullOuter" in j or "NestedLoop" in j or "Cartesian" in j]
+    assert not [j for j in joins if "SortMergeJoin" in j and "LeftOuter" in j]
 
 
 def test_default_grid_ends_this_year(spark):
