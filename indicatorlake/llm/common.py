@@ -41,6 +41,13 @@ def ship(spark: SparkSession) -> None:
     ship.sent = context.applicationId
 
 
+def picked(docs: DataFrame, keys: list[str], text: str) -> tuple[DataFrame, str]:
+    """The named columns and the text, each once, and the keys as the beginning of a schema."""
+    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
+    return (docs.select(*[docs[c] for c in dict.fromkeys([*keys, text])]),
+            "".join(f"`{k}` {kinds[k]}, " for k in keys))
+
+
 def chunks(batch: pa.RecordBatch, text: str = "text", size: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows of a batch in slices of about ``size`` bytes of text each."""
     lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import Words, chunks, folding, repeated, ship, spans_hash, windows, words_of
+from .common import Words, chunks, folding, picked, repeated, ship, spans_hash, windows, words_of
 
 #: n-gram length -> largest accepted share of the word characters inside n-grams that occur twice or more.
 COVERAGE = {3: 0.35, 4: 0.30, 5: 0.25, 7: 0.22, 10: 0.20}
@@ -98,9 +98,7 @@ def measure(docs: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     shuffle; long texts are worked on one at a time, whole.
     """
     ship(docs.sparkSession)
-    plain = docs.select(*[docs[k] for k in keys], docs[text])
-    kinds = {f.name: f.dataType.simpleString() for f in plain.schema}
-    schema = ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", " + SCHEMA
+    plain, carried = picked(docs, keys, text)
     names = [c.split()[0] for c in SCHEMA.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,4 +109,4 @@ def measure(docs: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
                     [part.column(k) for k in keys] + [pa.array(out[n], {"long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_()}[kind])
                                                       for n, kind in (c.split() for c in SCHEMA.split(", "))], [*keys, *names])
 
-    return plain.mapInArrow(run, schema)
+    return plain.mapInArrow(run, carried + SCHEMA)

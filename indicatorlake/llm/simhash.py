@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from indicatorlake.session import written
 
-from .common import chunks, components, ship
+from .common import chunks, components, picked, ship
 
 SHINGLE = 3
 SEED = 42
@@ -140,8 +140,7 @@ def fingerprints(docs: DataFrame, keys: list[str], text: str = "text") -> DataFr
     or one without words, has fingerprint zero.
     """
     ship(docs.sparkSession)
-    plain = docs.select(*[docs[k] for k in keys], docs[text])
-    kinds = {f.name: f.dataType.simpleString() for f in plain.schema}
+    plain, carried = picked(docs, keys, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -149,7 +148,7 @@ def fingerprints(docs: DataFrame, keys: list[str], text: str = "text") -> DataFr
                 prints = _fingerprints(part.column(text).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(k) for k in keys] + [pa.array(prints)], [*keys, "print"])
 
-    return plain.mapInArrow(run, ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", print long")
+    return plain.mapInArrow(run, carried + "print long")
 
 
 def links(prints: DataFrame) -> DataFrame:
@@ -185,9 +184,9 @@ def links(prints: DataFrame) -> DataFrame:
 
 
 def groups(docs: DataFrame, keys: list[str], text: str = "text", id_column: str = "doc_id") -> DataFrame:
-    """One row for every row of docs: its keys, ``print`` and ``component_id``.
+    """One row for every row of docs: its keys, ``print``, ``root`` and ``component_id``.
 
-    component_id is the smallest id reachable over links of two bits or fewer.
+    root is the smallest fingerprint and component_id the smallest id reachable over links of two bits or fewer.
     Fingerprints are reduced to distinct ones before any join, so that exact copies
     never meet in pairs.  Null ids are not smaller than others; a group of null ids
     alone has a null component_id.  An empty table gives no rows.
@@ -198,5 +197,5 @@ def groups(docs: DataFrame, keys: list[str], text: str = "text", id_column: str
     placed = written(
         distinct.join(roots, distinct["print"] == roots["node"], "left").select("print", "first", F.coalesce("root", "print").alias("root")), "placed")
     smallest = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = placed.join(smallest, "root").select("print", "component_id")
-    return prints.join(named, "print").select(*keys, "print", "component_id")
+    named = placed.join(smallest, "root").select("print", "root", "component_id")
+    return prints.join(named, "print").select(*keys, "print", "root", "component_id")
