@@ -51,7 +51,7 @@ def shard_by_bytes(docs: DataFrame, shards: int, id_column: str = "doc_id", text
     placed = written(prefix_sums(rows, ["first", "hash", "id"], "size"), "placed")
     total = placed.agg(F.sum("size")).first()[0] or 1
     small = F.col("size") * F.col("copies") <= total * GROUP_SHARE / shards
-    heads = placed.where("copies > 1").groupBy("hash", "crc", "size").agg(F.min("before").alias("head"))
+    heads = written(placed.where("copies > 1").groupBy("hash", "crc", "size").agg(F.min("before").alias("head")), "heads")
     middle = F.when(F.col("head").isNotNull() & small, F.col("head") + F.col("size") * F.col("copies") / 2).otherwise(
         F.col("before") + F.col("size") / 2)
     dealt = placed.join(heads, ["hash", "crc", "size"], "left").withColumn(
