@@ -5,6 +5,7 @@ from .scalars import (
     m49_key,
     na_to_null,
     pad_m49,
+    publish_date,
     safe_double,
     safe_int,
     source_version,
@@ -25,6 +26,7 @@ __all__ = [
     "m49_key",
     "na_to_null",
     "pad_m49",
+    "publish_date",
     "safe_double",
     "safe_int",
     "source_version",

@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 NUMBER_PATTERN = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
 DOT_ZERO_PATTERN = r"^\s*(-?\d+)\.0+\s*$"
 M49_WIDTH = 3
-# Date layouts publishers use besides ISO ones; the month comes first when in doubt.
-DATE_LAYOUTS = ["yyyy/M/d", "M/d/yyyy", "yyyyMMdd", "MMMM d, yyyy", "MMM d, yyyy", "d MMMM yyyy", "d MMM yyyy", "MMMM yyyy", "MMM yyyy"]
+# Date layouts publishers use besides ISO ones, each with or without a time of day.
+# The month comes first when in doubt: 13/02/2024 fits the day-first layout only.
+DATE_LAYOUTS = ["yyyy/M/d", "yyyy.M.d", "yyyy-M-d", "M/d/yyyy", "d/M/yyyy", "M/d/yy", "d/M/yy", "d.M.yyyy", "M-d-yyyy", "d-M-yyyy", "yyyyMMdd",
+                "MMMM d, yyyy", "MMM d, yyyy", "d MMMM yyyy", "d MMM yyyy", "d-MMM-yyyy", "d-MMM-yy", "MMMM yyyy", "MMM yyyy"]
+TIME_OF_DAY = "[ H:mm[:ss]]"
 
 
 def strip_quote(text: Column) -> Column:
@@ -71,12 +74,16 @@ def is_blank(text: Column) -> Column:
     return ~F.coalesce(text.rlike(r"(?U)\S"), F.lit(False))
 
 
-def source_version(published: Column, fallback: str) -> Column:
-    """Publish date as yyyyMMdd; the run's own stamp where there is no usable date."""
+def publish_date(published: Column) -> Column:
+    """When a source says it was published; NULL where there is no date or none of a known layout."""
     text = strip(published)
     iso = F.when(~text.rlike(r"^\d{8}$"), text.try_cast("timestamp"))
-    read = F.coalesce(iso, *[F.try_to_timestamp(text, F.lit(layout)) for layout in DATE_LAYOUTS])
-    return F.coalesce(F.date_format(read, "yyyyMMdd"), F.lit(fallback))
+    return F.coalesce(iso, *[F.try_to_timestamp(text, F.lit(layout + TIME_OF_DAY)) for layout in DATE_LAYOUTS])
+
+
+def source_version(published: Column, fallback: str) -> Column:
+    """Publish date as yyyyMMdd; the run's own stamp where there is no usable date."""
+    return F.coalesce(F.date_format(publish_date(published), "yyyyMMdd"), F.lit(fallback))
 
 
 def text_out(column: Column) -> Column:

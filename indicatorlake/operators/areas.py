@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import csv
+import os
+import unicodedata
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,8 +47,8 @@ REGION_CODES = {
     "Polynesia": "061",
 }
 
-# Country names that differ from the reference table's: a word the name must
-# hold, a pattern the lower-case name must match, and the M49 code.
+# Country names told apart by a word they hold and a pattern, with their M49 codes;
+# plain spellings are in area_spellings.csv.
 COUNTRY_ALIASES = [
     ("bolivia", r"bolivia", "068"),
     ("brunei", r"brunei", "096"),
@@ -84,6 +88,14 @@ COUNTRY_ALIASES = [
     ("viet", r"viet nam", "704"),
     ("yemen", r"yemen", "887"),
 ]
+# What may stand behind a comma or in parentheses without making another country of it.
+ADDITIONS = r"the|rep|republic( of)?( the)?|arab rep|islamic rep|islamic republic of|plurinational state of|bolivarian republic of|fed sts|federated states of|" \
+    r"united republic of|rb|china|china sar|sar china|special administrative region of china|kingdom of( the)?|state of|federation"
+SPELLINGS = os.path.join(os.path.dirname(os.path.abspath(__file__)), "area_spellings.csv")
+# Latin letters with marks and the letters they stand for, in lower case.
+_MARKED = "".join(chr(c) for c in range(0xDF, 0x250) if chr(c).islower() and unicodedata.normalize("NFKD", chr(c))[0].isascii() and not chr(c).isascii())
+_BARE = "".join(unicodedata.normalize("NFKD", c)[0] for c in _MARKED)
+_OTHER = {"ø": "o", "ł": "l", "đ": "d", "ı": "i", "ħ": "h", "ŧ": "t"}
 
 
 def join_areas(rows: DataFrame, areas: DataFrame, key: Column, on: str) -> DataFrame:
@@ -109,9 +121,30 @@ def alias_table(spark: SparkSession) -> DataFrame:
     )
 
 
+def spelling_table(spark: SparkSession) -> DataFrame:
+    """Spellings that are no reference name word for word, one per line of the data file, as (name, m49_code)."""
+    with open(SPELLINGS, encoding="utf-8", newline="") as file:
+        rows = list(csv.DictReader(file))
+    return spark.createDataFrame(pa.table({"name": [r["name"] for r in rows], "m49_code": [r["m49_code"] for r in rows]}))
+
+
+def bare_letters(text: Column) -> Column:
+    """Lower case without accents and other marks."""
+    lowered = F.regexp_replace(F.lower(text), r"\p{M}", "")
+    return F.translate(lowered, _MARKED + "".join(_OTHER), _BARE + "".join(_OTHER.values()))
+
+
 def plain_name(name: Column) -> Column:
-    """Lower-case words of a name, one space apart."""
-    return F.trim(F.regexp_replace(F.lower(name), r"(?U)[^\p{L}\p{N}]+", " "))
+    """Lower-case words of a name without marks, one space apart; a leading "st" is "saint" and "&" is "and"."""
+    words = F.trim(F.regexp_replace(F.replace(bare_letters(name), F.lit("&"), F.lit(" and ")), r"(?U)[^\p{L}\p{N}]+", " "))
+    return F.regexp_replace(words, r"^st ", "saint ")
+
+
+def short_name(name: Column) -> Column:
+    """A name without what is added behind a comma or in parentheses ("Bahamas, The"), as ``plain_name``; NULL where nothing is."""
+    bare = bare_letters(name)
+    pattern = rf"^([^,(]+?)\s*(?:,|\()\s*(?:{ADDITIONS})\.?\s*\)?\.?$"
+    return plain_name(F.nullif(F.regexp_extract(bare, pattern, 1), F.lit("")))
 
 
 def name_codes(
@@ -126,8 +159,10 @@ def name_codes(
     """(name, code) for every distinct non-blank name of ``df``; NULL code when none or several fit.
 
     Region names match first and exactly (so "Southern Africa" is no country).
-    The rest match a reference name word for word, or an alias pattern; aliases
-    are found by equi-join on a word of the name, so no name meets every pattern.
+    The rest match a reference name or a listed spelling word for word, accents
+    aside, or an alias pattern; aliases are found by equi-join on a word of the
+    name, so no name meets every pattern.  Only names that match nothing so are
+    tried without an addition such as ", The" or "(Republic of)".
     With ``skip_aggregates`` a name holding a colon never matches.
 
     The names and the finished mapping are written out: the facts are read once
@@ -142,26 +177,34 @@ def name_codes(
     named = names.join(region, "_key", "left").select("_name", "_key", "_region")
     open_names = named.where("_region IS NULL AND _key IS NOT NULL").select("_name", "_key")
 
+    spellings = spelling_table(df.sparkSession)
     reference = areas.select(plain_name(F.col("area_name")).alias("_plain"), F.col("m49_code").alias("_code"))
+    listed = spellings.select(plain_name(F.col("name")).alias("_plain"), F.col("m49_code").alias("_code"))
+    known = reference.unionByName(listed.join(reference, "_plain", "left_anti")).distinct()
     exact = (
         open_names.withColumn("_plain", plain_name(F.col("_key")))
-        .join(reference, "_plain")
-        .select("_name", "_code")
+        .join(known, "_plain")
+        .select("_name", "_code", F.lit(1).alias("_rank"))
+    )
+    shortened = (
+        open_names.withColumn("_plain", short_name(F.col("_key")))
+        .join(known, "_plain")
+        .select("_name", "_code", F.lit(2).alias("_rank"))
     )
     words = open_names.select(
         "_name", "_key", F.explode(F.array_distinct(F.split(plain_name(F.col("_key")), " "))).alias("anchor")
     )
     by_alias = (
         words.join(aliases, "anchor")
-        .where(F.rlike(F.col("_key"), F.col("pattern")))
-        .select("_name", F.col("m49_code").alias("_code"))
+        .where(F.rlike(bare_letters(F.col("_key")), F.col("pattern")) | F.rlike(F.col("_key"), F.col("pattern")))
+        .select("_name", F.col("m49_code").alias("_code"), F.lit(1).alias("_rank"))
     )
     single = (
-        exact.unionByName(by_alias)
-        .groupBy("_name")
-        .agg(F.min("_code").alias("_low"), F.max("_code").alias("_high"))
-        .where("_low = _high")
-        .select("_name", F.col("_low").alias("_country"))
+        exact.unionByName(by_alias).unionByName(shortened)
+        .groupBy("_name", "_rank").agg(F.min("_code").alias("_low"), F.max("_code").alias("_high"))
+        .groupBy("_name").agg(F.min_by(F.struct("_low", "_high"), "_rank").alias("_c"))
+        .where("_c._low = _c._high")
+        .select("_name", F.col("_c._low").alias("_country"))
     )
     codes = named.join(single, "_name", "left").select("_name", F.coalesce("_region", "_country").alias("_code"))
     return written(codes, "codes").toDF(name, code)

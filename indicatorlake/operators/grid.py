@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import datetime, timezone
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Key and taxonomy columns of the published table.
@@ -13,20 +15,30 @@ TAXONOMY = [
       for level in ("outcome", "theme", "subtheme", "indicator", "subindicator")
       for part in ("code", "name")],
 ]
-GRID_BLOCKS = 16
+CELLS_PER_TASK = 2_000_000
 
 
-def pairs_by_block(left: DataFrame, right: DataFrame, blocks: int = GRID_BLOCKS) -> DataFrame:
-    """Every left row with every right row, as an equi-join on a block number.
+def all_pairs(scope: DataFrame, uids: DataFrame, years: int) -> DataFrame:
+    """Every area with every uid: a cross join, and meant as one, since the grid is this product.
 
-    Left rows are hashed to one block each, right rows visit all blocks, so the
-    product is made block by block on as many tasks as there are blocks.
+    Both sides are dimension tables; Spark chooses how they meet by their sizes.
+    The pairs come in as many partitions as their cells over the years need, so no
+    task makes more than about CELLS_PER_TASK of them.
     """
-    placed = left.withColumn("_block", F.pmod(F.xxhash64(*left.columns), F.lit(blocks)))
-    visiting = right.withColumn(
-        "_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint")))
-    )
-    return placed.join(visiting, "_block").drop("_block")
+    tasks = 1 + scope.count() * uids.count() * max(1, years) // CELLS_PER_TASK
+    tasks = max(tasks, int(uids.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return uids.repartition(tasks, "afs_uid").crossJoin(scope)
+
+
+def _scope(areas: DataFrame) -> DataFrame:
+    return areas.select(F.col("m49_code").cast("string").alias("afs_m49_code"), F.col("area_name").cast("string").alias("afs_area_name"))
+
+
+def _years(start_year: int, end_year: int | None) -> tuple[Column, Column, int]:
+    """The last year, the array of all years (NULL when the range is empty), and about how many there are."""
+    last = F.year(F.current_date()) if end_year is None else F.lit(end_year)
+    years = F.sequence(F.lit(start_year).cast("bigint"), last.cast("bigint"))
+    return last, F.when(last >= start_year, years), (end_year or datetime.now(timezone.utc).year) - start_year + 1
 
 
 def reference_grid(areas: DataFrame, uids: DataFrame, start_year: int, end_year: int | None = None) -> DataFrame:
@@ -34,14 +46,8 @@ def reference_grid(areas: DataFrame, uids: DataFrame, start_year: int, end_year:
 
     ``areas`` has m49_code and area_name, ``uids`` has afs_uid.
     """
-    last = F.year(F.current_date()) if end_year is None else F.lit(end_year)
-    years = F.sequence(F.lit(start_year).cast("bigint"), last.cast("bigint"))
-    years = F.when(last >= start_year, years)  # no years at all when the range is empty
-    scope = areas.select(
-        F.col("m49_code").cast("string").alias("afs_m49_code"),
-        F.col("area_name").cast("string").alias("afs_area_name"),
-    )
-    cells = pairs_by_block(scope, uids.select("afs_uid").distinct())
+    _, years, count = _years(start_year, end_year)
+    cells = all_pairs(_scope(areas), uids.select("afs_uid").distinct(), count)
     return cells.select("afs_m49_code", "afs_area_name", "afs_uid", F.explode(years).alias("afs_year"))
 
 
@@ -53,10 +59,11 @@ def gap_fill(
     A stage row lies on the grid exactly when its area, its uid and its year are
     each in scope, so facts only meet the two small dimension tables and are never
     shuffled, however many of them share a key.  Off-grid rows keep a NULL area
-    name.  The empty cells are the grid minus the distinct keys present, which
-    are reduced on the map side first.
+    name.  For the empty cells every (area, uid) pair meets the set of its years
+    that have rows, reduced on the map side first, and only the other years are
+    exploded: neither the grid nor a key per cell is ever shuffled.
     """
-    last = F.year(F.current_date()) if end_year is None else F.lit(end_year)
+    last, years, count = _years(start_year, end_year)
     live = uids.select("afs_uid").where("afs_uid IS NOT NULL").distinct()
     scope = areas.select(
         F.col("m49_code").cast("string").alias("_m49"), F.col("area_name").cast("string").alias("afs_area_name")
@@ -72,10 +79,14 @@ def gap_fill(
     )
     placed = marked.join(scope, on_grid, "left").select(*KEYS, "afs_area_name", *rest)
 
-    present = facts.select(*KEYS).where(F.col("afs_m49_code").isNotNull()).distinct()
-    empty = reference_grid(areas, uids, start_year, end_year).join(present, list(KEYS), "left_anti")
+    held = facts.where(F.col("afs_m49_code").isNotNull() & F.col("afs_uid").isNotNull()).groupBy("afs_m49_code", "afs_uid").agg(
+        F.collect_set(F.col("afs_year").cast("bigint")).alias("_held"))
+    pairs = all_pairs(_scope(areas), uids.select("afs_uid").distinct(), count).join(held, ["afs_m49_code", "afs_uid"], "left")
+    open_years = F.when(F.col("_held").isNull(), years).otherwise(F.array_except(years, F.col("_held")))
     nulls = [F.lit(None).cast(stage.schema[c].dataType).alias(c) for c in rest]
-    return placed.unionByName(empty.select(*KEYS, "afs_area_name", *nulls))
+    empty = pairs.select("afs_m49_code", "afs_uid", F.explode(open_years).alias("afs_year"), "afs_area_name")
+    year = F.col("afs_year").cast(stage.schema["afs_year"].dataType).alias("afs_year")
+    return placed.unionByName(empty.select("afs_m49_code", "afs_uid", year, "afs_area_name", *nulls))
 
 
 def taxonomy(config: DataFrame, statuses: tuple[str, ...]) -> DataFrame:

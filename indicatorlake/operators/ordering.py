@@ -5,19 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .reshape import quoted
+from ..session import written
 
 
 def globally_ordered(df: DataFrame, *keys: str) -> DataFrame:
     """Rows sorted by ``keys`` across partitions, NULLs first.
 
     A plain orderBy ranges on the keys alone, so all rows of one key land in one
-    task.  Here the range also covers a hash of the row and the map partition it
-    comes from: equal keys, and even equal rows, spread over neighbouring ranges
-    while the order by ``keys`` still holds from partition to partition.
+    task.  Here the range also covers a number of the row: equal keys, and even equal
+    rows, spread over neighbouring ranges while the order by ``keys`` still holds
+    from partition to partition.  Ranges are found by a pass over the input; give it
+    stored rows (``stored_and_ordered``) where computing them is dear.
     """
-    tied = df.withColumns(
-        {"_hash": F.xxhash64(*[F.col(quoted(c)) for c in df.columns]), "_origin": F.spark_partition_id()}
-    )
-    ranged = tied.repartitionByRange(*keys, "_hash", "_origin")
-    return ranged.sortWithinPartitions(*keys).drop("_hash", "_origin")
+    ranged = df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*keys, "_tie")
+    return ranged.sortWithinPartitions(*keys).drop("_tie")
+
+
+def stored_and_ordered(df: DataFrame, *keys: str) -> DataFrame:
+    """As ``globally_ordered``, but the rows are computed once, into the shared folder, and ordered from there."""
+    return globally_ordered(written(df, "unordered"), *keys)

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import re
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# More predicates than this in one pass make too large an expression; beyond it
-# the view is scanned once per batch.
-PREDICATES_PER_SCAN = 100
+# Characters of predicates that one pass evaluates: Spark compiles expressions of
+# about this size; more of them take another scan.
+PREDICATE_TEXT = 8000
 SEPARATOR = "\x01"
+# A predicate without a function call: plain columns, which scans can filter on.
+CALL = re.compile(r"\b(?!(?:and|or|not|in|between|like|is|case|when|then|else|end)\b)[a-z_]\w*\s*\(", re.IGNORECASE)
 
 
 @dataclass(frozen=True)
@@ -44,36 +47,49 @@ def fan_out(view: DataFrame, wanted: Iterable[Indicator]) -> DataFrame:
     exploded.  The same rows as one filtered scan per indicator, unioned.  The
     uids are made in a projection, where Spark evaluates what the predicates
     have in common (say, one JSON key they all look up) once per row; a filter
-    on them beforehand would evaluate each predicate on its own again.
+    on these beforehand would evaluate each predicate on its own again.  Only where
+    no predicate calls a function is their disjunction put below, where the scan can
+    use it.
     """
     batch = list(wanted)
     if any(SEPARATOR in i.uid or not i.uid for i in batch):
         raise ValueError("uids must be non-empty and free of control characters")
     hits = F.concat_ws(SEPARATOR, *[F.when(F.expr(i.condition), F.lit(i.uid)) for i in batch])
     split = F.explode(F.split("_uids", SEPARATOR)).alias("afs_uid")
+    plain = [i.condition for i in batch]
+    if not any(CALL.search(c) or c.strip().upper() == "TRUE" for c in plain):
+        view = view.where(reduce(lambda a, b: a | b, [F.expr(c) for c in plain]))
     return view.withColumn("_uids", hits).select(split, *view.columns).where("afs_uid <> ''")
 
 
 def processed(view: DataFrame, indicator: Indicator) -> DataFrame:
     """Run an indicator's own SQL over its selected rows and re-select the view's columns by name."""
-    spark = view.sparkSession
     selected = view.where(F.expr(indicator.condition)).select(F.lit(indicator.uid).alias("afs_uid"), "*")
-    selected.createOrReplaceTempView("input")
-    try:
-        result = spark.sql(indicator.query)
-    finally:
-        spark.catalog.dropTempView("input")
+    text = indicator.query.replace("{", "{{").replace("}", "}}")
+    # a relation of this one statement, whatever views the session has
+    result = view.sparkSession.sql(f"WITH input AS (SELECT * FROM {{selected}})\nSELECT * FROM (\n{text}\n)", selected=selected)
     return result.select("afs_uid", *view.columns)
 
 
+def batches(wanted: Iterable[Indicator]) -> Iterator[list[Indicator]]:
+    """Indicators in groups of a bounded length of predicate text; a longer single predicate is a group of its own."""
+    batch: list[Indicator] = []
+    size = 0
+    for i in wanted:
+        if batch and size + len(i.condition) > PREDICATE_TEXT:
+            yield batch
+            batch, size = [], 0
+        batch.append(i)
+        size += len(i.condition)
+    if batch:
+        yield batch
+
+
 def select_indicators(view: DataFrame, wanted: Iterable[Indicator]) -> DataFrame:
     """All indicators of one view as one stage frame (afs_uid + the view's columns)."""
     wanted = list(wanted)
     plain = [i for i in wanted if not i.query]
-    branches = [
-        fan_out(view, plain[start : start + PREDICATES_PER_SCAN])
-        for start in range(0, len(plain), PREDICATES_PER_SCAN)
-    ]
+    branches = [fan_out(view, batch) for batch in batches(plain)]
     branches += [processed(view, i) for i in wanted if i.query]
     if not branches:
         raise ValueError("no indicator to select")

@@ -2,24 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.grid import gap_fill, with_taxonomy
-from ..operators.ordering import globally_ordered
+from ..operators.grid import KEYS, gap_fill, reference_grid, with_taxonomy
+from ..operators.ordering import globally_ordered, stored_and_ordered
 from ..operators.quality import PUBLISHED_STATUSES, source_codes
-from ..sources.tables import Lake, export_files
+from ..sources.tables import Lake, export_files, remove_others
 from . import runlog
 from .harmonise import assert_observation
-from .stage import CONFIG, table_name
+from .stage import CONFIG, table_name, view_name
 
 START_YEAR = 2010
+# Names of the published tables and of the steps in their log.
 SOURCE_TABLE = "exp_src_long_tbl"
 STAGE_TABLE = "exp_stg_long_tbl"
 LOG = "log_export_tbl"
+GRID_TABLE = "exp_ref_area_indicator_year"
+CHECK_STEP = "CHECK_INPUTS"
 
 
 def union_from(frames: dict[str, DataFrame], start_year: int) -> DataFrame:
@@ -30,9 +34,13 @@ def union_from(frames: dict[str, DataFrame], start_year: int) -> DataFrame:
     return reduce(DataFrame.unionByName, checked).where(F.col("afs_year") >= start_year)
 
 
+RAW_ORDER = ("afs_m49_code", "afs_source_code", "afs_year")
+FILLED_ORDER = ("afs_m49_code", "afs_id", "afs_year")
+
+
 def raw_export(views: dict[str, DataFrame], start_year: int = START_YEAR) -> DataFrame:
     """All harmonised views as one ordered table."""
-    return globally_ordered(union_from(views, start_year), "afs_m49_code", "afs_source_code", "afs_year")
+    return stored_and_ordered(union_from(views, start_year), *RAW_ORDER)
 
 
 def published_uids(config: DataFrame) -> DataFrame:
@@ -45,7 +53,7 @@ def gap_filled_export(
     """Grid, stage rows and indicator taxonomy as one ordered table of 30 columns."""
     filled = gap_fill(stage, areas, published_uids(config), start_year, end_year)
     full = with_taxonomy(filled, config, PUBLISHED_STATUSES)
-    return globally_ordered(full, "afs_m49_code", "afs_id", "afs_year")
+    return stored_and_ordered(full, *FILLED_ORDER)
 
 
 def existing_sources(config: DataFrame, existing: Sequence[str]) -> tuple[list[str], list[str]]:
@@ -57,14 +65,10 @@ def existing_sources(config: DataFrame, existing: Sequence[str]) -> tuple[list[s
     return found, [c for c in wanted if c not in existing]
 
 
-def _finish(lake: Lake, table: str, df: DataFrame, folder: str, inputs: list[str], run_id: str, **options) -> DataFrame:
-    """Write the table, export its files, log both steps; stops at the first that fails."""
-    kind = "SRC" if table == SOURCE_TABLE else "STG"
-    steps = [
-        (f"BUILD_{kind}_TABLE", table, lambda: lake.write(table, df)),
-        (f"EXPORT_{kind}_FILES", folder, lambda: export_files(lake.read(table), folder, **options)),
-    ]
-    rows = []
+def _logged(lake: Lake, steps: list[tuple[str, str, Callable[[], int]]], inputs: list[str], missing: list[str], run_id: str) -> DataFrame:
+    """Run the steps in turn, log each and the inputs that were not there; stops at the first step that fails."""
+    rows = [{"run_id": run_id, "step": CHECK_STEP, "object_name": name, "job_status": "SKIPPED", "error_message": "configured, but not there",
+             "source_stg_tbls": inputs, "created_at": runlog.now()} for name in missing]
     for step, target, work in steps:
         row = {"run_id": run_id, "step": step, "object_name": target, "job_status": "SUCCESS",
                "source_stg_tbls": inputs, "created_at": runlog.now()}
@@ -79,27 +83,63 @@ def _finish(lake: Lake, table: str, df: DataFrame, folder: str, inputs: list[str
     return runlog.log_frame(lake.spark, runlog.EXPORT_LOG, rows)
 
 
+def _published(lake: Lake, table: str, make: Callable[[], DataFrame], folder: str, **options) -> list[tuple[str, str, Callable[[], int]]]:
+    """Steps that write the ordered rows once, let the table stand for these files, and clear the files of earlier runs.
+
+    The files of a run lie in a folder of their own below ``folder``, so the table
+    changes over in one step; files in order of their names are in order.
+    """
+    kind = "SRC" if table == SOURCE_TABLE else "STG"
+    place = f"{folder}/{uuid.uuid4().hex}"
+    written: dict[str, int] = {}
+
+    def build() -> int:
+        written["n"] = export_files(make(), place, **options)
+        if options.get("fmt", "parquet") == "parquet":
+            lake.publish(table, place)
+        else:
+            lake.write(table, lake.spark.read.format(options["fmt"]).load(place))
+        return written["n"]
+
+    def clear() -> int:
+        remove_others(lake.spark, folder, place)
+        return written["n"]
+
+    return [(f"BUILD_{kind}_TABLE", table, build), (f"EXPORT_{kind}_FILES", folder, clear)]
+
+
 def run_raw_export(
     lake: Lake, views: dict[str, DataFrame], folder: str, start_year: int = START_YEAR,
     run_id: str | None = None, **options,
 ) -> DataFrame:
-    found, _ = existing_sources(lake.read(CONFIG), list(views))
-    df = raw_export({c: views[c] for c in found}, start_year)
-    return _finish(lake, SOURCE_TABLE, df, f"{folder.rstrip('/')}/{SOURCE_TABLE}", found,
-                   run_id or runlog.new_run_id(), **options)
+    found, missing = existing_sources(lake.read(CONFIG), list(views))
+    steps = _published(lake, SOURCE_TABLE, lambda: raw_export({c: views[c] for c in found}, start_year),
+                       f"{folder.rstrip('/')}/{SOURCE_TABLE}", **options)
+    return _logged(lake, steps, found, [view_name(c) for c in missing], run_id or runlog.new_run_id())
+
+
+def build_grid(lake: Lake, areas: DataFrame, start_year: int = START_YEAR, end_year: int | None = None) -> int:
+    """Store the area x indicator x year grid, ordered, as a table of its own; returns its rows."""
+    grid = reference_grid(areas, published_uids(lake.read(CONFIG)), start_year, end_year)
+    return lake.write(GRID_TABLE, globally_ordered(grid, *KEYS))
 
 
 def run_gap_filled_export(
     lake: Lake, areas: DataFrame, folder: str, start_year: int = START_YEAR, end_year: int | None = None,
     run_id: str | None = None, **options,
 ) -> DataFrame:
+    """Grid table, published table and files.  The published rows need no grid table; it is there to be looked at."""
     config = lake.read(CONFIG)
     codes = [r[0] for r in source_codes(config).collect()]
-    found, _ = existing_sources(config, [c for c in codes if lake.exists(table_name(c))])
-    stage = union_from({c: stage_rows(lake, c) for c in found}, start_year)
-    df = gap_filled_export(stage, areas, config, start_year, end_year)
-    return _finish(lake, STAGE_TABLE, df, f"{folder.rstrip('/')}/{STAGE_TABLE}", found,
-                   run_id or runlog.new_run_id(), **options)
+    found, missing = existing_sources(config, [c for c in codes if lake.exists(table_name(c))])
+
+    def filled() -> DataFrame:
+        stage = union_from({c: stage_rows(lake, c) for c in found}, start_year)
+        return gap_filled_export(stage, areas, config, start_year, end_year)
+
+    steps = [("BUILD_REF_TABLE", GRID_TABLE, lambda: build_grid(lake, areas, start_year, end_year)),
+             *_published(lake, STAGE_TABLE, filled, f"{folder.rstrip('/')}/{STAGE_TABLE}", **options)]
+    return _logged(lake, steps, found, [table_name(c) for c in missing], run_id or runlog.new_run_id())
 
 
 def stage_rows(lake: Lake, code: str) -> DataFrame:

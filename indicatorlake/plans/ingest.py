@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import source_version
+from ..functions import is_blank, publish_date, source_version
 from ..sources.config import keyed_rows, update_fields
 from ..sources.naming import LINEAGE, source_table
-from ..sources.recipes import AreaNames, recipe_for
-from ..sources.tables import Lake, parquet_exists, register_view, version_path
+from ..sources.recipes import AreaNames, passed_over, recipe_for
+from ..sources.tables import Lake, parquet_exists, version_path
 from . import runlog
 
 SOURCE_CONFIG = "cfg_source_tbl"
@@ -24,33 +25,46 @@ def source_view_name(code: str) -> str:
 
 
 def versions(config: DataFrame, stamp: str) -> DataFrame:
-    """Config rows that have a key, plus the version each source would be stored under."""
-    return keyed_rows(config, "afs_source_code").withColumn(
-        "version", source_version(F.col("afs_source_updated_at"), stamp)
+    """Config rows that have a key, the version each source would be stored under, and whether its date could not be read."""
+    published = F.col("afs_source_updated_at")
+    return keyed_rows(config, "afs_source_code").withColumns(
+        {"version": source_version(published, stamp), "unread_date": ~is_blank(published) & publish_date(published).isNull()}
     )
 
 
 def ingest_source(lake: Lake, row: dict, folder: str, names: AreaNames | None, force: bool = False) -> dict:
     """Land one source; skipped when this version is stored and ``force`` is off.
 
-    Returns the log row.  A failure is caught and reported in it.
+    Its table lives in the lake's catalog and stands for the version's files; a
+    skipped source without a table gets one.  A forced run writes beside the stored
+    version and the table changes over last, so a failure leaves the old rows.
+    Returns the log row.  A failure is caught and reported in it, and so are files
+    the recipe passes over and a publish date that could not be read.
     """
     started = runlog.now().strftime("%Y-%m-%d %H:%M:%S")
     code, updated = row["afs_source_code"], row.get("afs_source_updated_at") or ""
     path = version_path(lake.root, row.get("agency") or DEFAULT_AGENCY, code, row["version"])
+    table = source_view_name(code)
     entry = {"execution_time": started, "afs_source_code": code, "afs_source_updated_at": updated,
-             "afs_source_ingested_at": "", "gcs_uri": "", "bq_table_id": "", "message": ""}
+             "afs_source_ingested_at": "", "uri": "", "table_name": "", "message": ""}
+    notes = [f"publish date not understood: {updated}"] if row.get("unread_date") else []
     try:
-        if not force and parquet_exists(lake.spark, path):
-            return {**entry, "status": "SKIPPED", "message": f"{path} already exists"}
+        stored = parquet_exists(lake.spark, path)
+        if stored and not force:
+            if not lake.exists(table):
+                lake.publish(table, path)
+            notes.append(f"version is stored: {path}")
+            return {**entry, "status": "SKIPPED", "uri": lake.folder(table), "table_name": table, "message": "; ".join(notes)}
+        notes += passed_over(lake.spark, code, folder)
         lineage = dict(zip(LINEAGE, (code, updated, started)))
-        table = source_table(recipe_for(code)(lake.spark, folder, names), lineage)
-        table.write.mode("overwrite").parquet(path)
-        register_view(lake.spark.read.parquet(path), source_view_name(code))
-        return {**entry, "status": "SUCCESS", "afs_source_ingested_at": started, "gcs_uri": path,
-                "bq_table_id": source_view_name(code)}
+        rows = source_table(recipe_for(code)(lake.spark, folder, names), lineage)
+        target = path if not stored else path.removesuffix(".parquet") + f"-{uuid.uuid4().hex}.parquet"
+        rows.write.mode("errorifexists" if stored else "overwrite").parquet(target)
+        lake.publish(table, target)
+        return {**entry, "status": "SUCCESS", "afs_source_ingested_at": started, "uri": target, "table_name": table,
+                "message": "; ".join(notes)}
     except Exception as error:  # one bad source must not stop the others
-        return {**entry, "status": "FAILED", "message": runlog.error_text(error)}
+        return {**entry, "status": "FAILED", "message": "; ".join([*notes, runlog.error_text(error)])}
 
 
 def ingest(
@@ -60,26 +74,23 @@ def ingest(
     codes: Iterable[str] | None = None,
     force: bool = False,
 ) -> DataFrame:
-    """Land several sources and write the log and the config back.
+    """Land several sources; the log and the config are written source by source.
 
     ``folders`` maps source codes to where their files were landed.  Unknown
     codes and codes without a folder are reported as FAILED.
     """
     stamp = runlog.now().strftime("%Y%m%d%H%M%S")
-    config = lake.read(SOURCE_CONFIG)
-    rows = {r["afs_source_code"]: r.asDict() for r in versions(config, stamp).collect()}
-    wanted = list(rows) if codes is None else list(dict.fromkeys(codes))
-    runs, failures = [], []
-    for code in wanted:
+    rows = {r["afs_source_code"]: r.asDict() for r in versions(lake.read(SOURCE_CONFIG), stamp).collect()}
+    runs = []
+    for code in list(rows) if codes is None else list(dict.fromkeys(codes)):
         if code not in rows or code not in folders:
-            reason = "not in the config" if code not in rows else "no folder"
-            failures.append({"afs_source_code": code, "status": "FAILED", "message": f"Config error: {reason}"})
+            reason = "the source config has no such code" if code not in rows else "no folder was landed for it"
+            run = {"execution_time": runlog.now().strftime("%Y-%m-%d %H:%M:%S"), "afs_source_code": code, "status": "FAILED", "message": reason}
         else:
-            runs.append(ingest_source(lake, rows[code], folders[code], names, force))
-    runlog.write_log(lake, SOURCE_LOG, runlog.SOURCE_LOG, runs)
-    done = [r for r in runs if r["status"] == "SUCCESS"]
-    if done:
-        updates = runlog.log_frame(lake.spark, runlog.SOURCE_LOG, done)
-        updates = updates.select("afs_source_code", "afs_source_ingested_at")
-        lake.write(SOURCE_CONFIG, update_fields(config, updates, "afs_source_code"))
-    return runlog.log_frame(lake.spark, runlog.SOURCE_LOG, runs + failures)
+            run = ingest_source(lake, rows[code], folders[code], names, force)
+        runs.append(run)
+        runlog.write_log(lake, SOURCE_LOG, runlog.SOURCE_LOG, [run])
+        if run["status"] == "SUCCESS":
+            updates = runlog.log_frame(lake.spark, runlog.SOURCE_LOG, [run]).select("afs_source_code", "afs_source_ingested_at")
+            lake.write(SOURCE_CONFIG, update_fields(lake.read(SOURCE_CONFIG), updates, "afs_source_code"))
+    return runlog.log_frame(lake.spark, runlog.SOURCE_LOG, runs)

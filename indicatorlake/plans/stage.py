@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.quality import RUNNABLE_STATUSES, runnable, valid_rows
+from ..operators.quality import RUNNABLE_STATUSES, runnable, source_codes, valid_rows, with_reasons
 from ..operators.selection import indicators, select_indicators
 from ..sources.config import promote
 from ..sources.tables import Lake
@@ -19,6 +19,7 @@ from .harmonise import assert_observation
 CONFIG = "cfg_stage_tbl"
 LOG = "log_stage_tbl"
 MAX_CONCURRENCY = 10
+FILE_ORDER = ("afs_year", "afs_m49_code")
 
 
 def view_name(code: str) -> str:
@@ -56,8 +57,28 @@ def checked_config(lake: Lake, views: dict[str, DataFrame]) -> DataFrame:
     return valid_rows(lake.read(CONFIG), _known(lake, views))
 
 
-def _run(lake: Lake, groups: list[dict], run_type: str, rebuild: bool, max_concurrency: int, run_id: str) -> DataFrame:
-    """Write the groups (several Spark jobs at a time), log each, promote what succeeded."""
+def left_out(lake: Lake, views: dict[str, DataFrame], statuses: Iterable[str], codes: list[str] | None) -> list[dict]:
+    """Log fields of what a run does not build: config rows with their reasons, and asked sources without a config row.
+
+    Rows of a usable status count by the asked statuses; those whose status itself
+    is wrong always do.  Control data: as many rows as the config has faults.
+    """
+    faulty = with_reasons(lake.read(CONFIG), _known(lake, views)).where(F.size("reasons") > 0)
+    chosen = faulty.where(F.col("status").isin(*statuses) | F.array_contains("reasons", "bad status"))
+    if codes is not None:
+        chosen = chosen.where(F.col("afs_source_code").isin(*codes))
+    rows = chosen.select("afs_uid", "afs_source_code", F.array_join("reasons", ", ").alias("why")).collect()
+    out = [{"stg_view": view_name(r.afs_source_code) if r.afs_source_code else None, "stg_tbl": table_name(r.afs_source_code) if r.afs_source_code else None,
+            "afs_uid_list": [r.afs_uid], "error_message": r.why} for r in sorted(rows, key=str)]
+    if codes is not None:
+        known = {r[0] for r in source_codes(lake.read(CONFIG)).collect()}
+        out += [{"stg_view": view_name(c), "stg_tbl": table_name(c), "afs_uid_list": [], "error_message": "no config row"} for c in codes if c not in known]
+    return out
+
+
+def _run(lake: Lake, groups: list[dict], skipped: list[dict], run_type: str, rebuild: bool, max_concurrency: int, run_id: str) -> DataFrame:
+    """Write the groups (several Spark jobs at a time), log each and what was left out, promote what succeeded."""
+    noted = [{"run_id": run_id, "run_type": run_type, "job_status": "SKIPPED", "created_at": runlog.now(), **s} for s in skipped]
 
     def write(group: dict) -> dict:
         row = {"run_id": run_id, "run_type": run_type, "stg_view": group["stg_view"],
@@ -67,28 +88,28 @@ def _run(lake: Lake, groups: list[dict], run_type: str, rebuild: bool, max_concu
             return row
         try:
             if rebuild or not lake.exists(group["stg_tbl"]):
-                n = lake.write(group["stg_tbl"], group["frame"], "afs_uid", replace=rebuild)
+                n = lake.write(group["stg_tbl"], group["frame"], "afs_uid", replace=rebuild, sort_by=FILE_ORDER)
             else:
-                n = lake.replace_keys(group["stg_tbl"], group["frame"], "afs_uid", group["afs_uid_list"])
+                n = lake.replace_keys(group["stg_tbl"], group["frame"], "afs_uid", group["afs_uid_list"], sort_by=FILE_ORDER)
             return {**row, "job_status": "SUCCESS", "rows_affected": n}
         except Exception as error:  # one bad group must not stop the others
             return {**row, "error_message": runlog.error_text(error)}
 
     with ThreadPoolExecutor(max_workers=max(1, max_concurrency)) as pool:
         results = list(pool.map(write, groups))
-    runlog.write_log(lake, LOG, runlog.STAGE_LOG, results)
+    runlog.write_log(lake, LOG, runlog.STAGE_LOG, results + noted)
     uids = [u for r in results if r["job_status"] == "SUCCESS" for u in r["afs_uid_list"]]
     if uids:
         lake.write(CONFIG, promote(lake.read(CONFIG), uids))
-    return runlog.log_frame(lake.spark, runlog.STAGE_LOG, results)
+    return runlog.log_frame(lake.spark, runlog.STAGE_LOG, results + noted)
 
 
 def update(
     lake: Lake, views: dict[str, DataFrame], max_concurrency: int = MAX_CONCURRENCY, run_id: str | None = None
 ) -> DataFrame:
-    """Write the rows of all DRAFT indicators, replacing what they had; returns the log rows."""
+    """Write the rows of all DRAFT indicators, replacing what they had; returns the log rows, SKIPPED ones among them."""
     groups = plan_groups(runnable(checked_config(lake, views), ["DRAFT"]), views)
-    return _run(lake, groups, "UPDATE", False, max_concurrency, run_id or runlog.new_run_id())
+    return _run(lake, groups, left_out(lake, views, ["DRAFT"], None), "UPDATE", False, max_concurrency, run_id or runlog.new_run_id())
 
 
 def reconstruct(
@@ -101,7 +122,8 @@ def reconstruct(
     """Rebuild whole stage tables from all runnable indicators, of the given sources only."""
     chosen = None if codes is None else list(dict.fromkeys(codes))
     groups = plan_groups(runnable(checked_config(lake, views), RUNNABLE_STATUSES, chosen), views)
-    return _run(lake, groups, "RECONSTRUCT", True, max_concurrency, run_id or runlog.new_run_id())
+    skipped = left_out(lake, views, RUNNABLE_STATUSES, chosen)
+    return _run(lake, groups, skipped, "RECONSTRUCT", True, max_concurrency, run_id or runlog.new_run_id())
 
 
 def unused_tables(lake: Lake, views: dict[str, DataFrame]) -> DataFrame:

@@ -39,7 +39,11 @@ def push(lake: Lake, path: str, table: str, key: str, force: bool = False) -> in
     sheet = config_from_csv(lake.spark, path)
     if not force:
         _stop_on_issues(lake, "push", path, table, sheet, key)
-    n = lake.write(table, sheet)
+    try:
+        n = lake.write(table, sheet)
+    except Exception as error:  # logged, and passed on
+        _logged(lake, "push", path, table, "FAILED", runlog.error_text(error))
+        raise
     _logged(lake, "push", path, table, "SUCCESS", f"{n} rows")
     return n
 

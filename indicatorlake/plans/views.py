@@ -7,7 +7,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 
-from ..sources.tables import register_view
+from ..sources.tables import Lake, register_view
 from . import runlog
 from .harmonise import harmonise
 from .ingest import source_view_name
@@ -18,19 +18,22 @@ from .stage import view_name
 CODE = re.compile(r"[a-z0-9_]+")
 
 
-def _problem(areas: DataFrame, code: str) -> str:
+def _problem(areas: DataFrame, code: str, lake: Lake | None) -> str:
     if not CODE.fullmatch(code or ""):
         return f"not a source code: {code!r}"
-    if not areas.sparkSession.catalog.tableExists(source_view_name(code)):
-        return f"no table {source_view_name(code)}"
+    table = source_view_name(code)
+    if not (lake.exists(table) if lake else areas.sparkSession.catalog.tableExists(table)):
+        return f"no table {table}"
     return "" if code in SPECS else f"no view definition for {code}"
 
 
 def register_views(
-    areas: DataFrame, codes: Iterable[str] | None = None, replace: bool = True
+    areas: DataFrame, codes: Iterable[str] | None = None, replace: bool = True, lake: Lake | None = None
 ) -> tuple[dict[str, DataFrame], list[dict]]:
     """Create or replace the view of each source whose table is there.
 
+    Source tables are the lake's, which outlive the session, so a new session has
+    all views again after this call; without a lake they are the session's own.
     Returns the views by source code and one row per code: action CREATE or
     REPLACE, status SUCCESS, SKIPPED or FAILED.  Without ``replace`` only new
     views are made; a failing source does not stop the others.
@@ -39,7 +42,7 @@ def register_views(
     views, rows = {}, []
     for code in sorted(SPECS) if codes is None else dict.fromkeys(codes):
         row = {"afs_source_code": code, "target_view": "", "action": "", "status": "SKIPPED",
-               "message": _problem(areas, code)}
+               "message": _problem(areas, code, lake)}
         rows.append(row)
         if row["message"]:
             continue
@@ -47,10 +50,11 @@ def register_views(
         there = spark.catalog.tableExists(target)
         row.update(target_view=target, action="REPLACE" if there else "CREATE")
         if there and not replace:
-            row["message"] = "Not selected"
+            row["message"] = "the view is there and replace is off"
             continue
         try:
-            views[code] = register_view(harmonise(spark.table(source_view_name(code)), areas, code), target)
+            source = lake.read(source_view_name(code)) if lake else spark.table(source_view_name(code))
+            views[code] = register_view(harmonise(source, areas, code), target)
             row["status"] = "SUCCESS"
         except Exception as error:  # reported per view
             row.update(status="FAILED", message=runlog.error_text(error))

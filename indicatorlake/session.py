@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -35,14 +37,31 @@ def build_session(app: str, master: str | None = None, **extra: str) -> SparkSes
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the shared folder the cluster names for checkpoints.
 
-    Only where the session names none (tests, a laptop) is a local folder made.
+    A session on one machine (tests, a laptop) that names none gets a local folder,
+    removed when Python ends; on a cluster that is an error, since executors would
+    not see each other's files.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        shared = "file://" + tempfile.mkdtemp(prefix="indicatorlake-")
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+        shared = _own_folder(spark)
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+_own: dict[str, str] = {}
+
+
+def _own_folder(spark: SparkSession) -> str:
+    """One local folder for each application."""
+    application = spark.sparkContext.applicationId
+    if application not in _own:
+        folder = tempfile.mkdtemp(prefix="indicatorlake-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        _own[application] = "file://" + folder
+    return _own[application]
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """The same rows, written to the shared folder and read back.
 

@@ -25,11 +25,16 @@ def keyed_rows(config: DataFrame, key: str) -> DataFrame:
 def update_fields(config: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     """Overwrite the fields ``updates`` carries (as text) in the rows it names by ``key``.
 
-    ``updates`` holds one row per key; a NULL there leaves the field as it is.
+    A NULL there leaves the field as it is.  Two rows for one key contradict each
+    other, so they fail the query; no config row is ever doubled.
     """
     fields = [c for c in updates.columns if c != key]
-    right = updates.select(F.col(key).alias("_key"), *[F.col(f).cast("string").alias(f"_{f}") for f in fields])
-    joined = config.join(right, F.col(key) == F.col("_key"), "left")
+    right = updates.select(F.col(key).alias("_key"), F.struct(*[F.col(f).cast("string").alias(f"_{f}") for f in fields]).alias("_new"))
+    once = right.groupBy("_key").agg(F.max("_new").alias("_new"), F.count(F.lit(1)).alias("_rows"))
+    message = F.concat(F.lit("several updates for "), F.coalesce(F.col("_key").cast("string"), F.lit("NULL")))
+    checked = F.when(F.col("_rows") > 1, F.raise_error(message).cast("string")).otherwise(F.col("_key").cast("string"))
+    right = once.select(checked.alias("_key"), "_new.*")
+    joined = config.join(right, F.col(key).cast("string") == F.col("_key"), "left")
     return joined.select(
         [
             F.coalesce(F.col(f"_{c}"), F.col(quoted(c)).cast("string")).alias(c) if c in fields

@@ -1,50 +1,92 @@
 """CSV feeds read as text, whatever is in them.
 
 A CSV is a single file or a folder of part files whose name ends in ``.csv``.
+Nothing in a feed is left out silently: cells beyond the header and bytes that are
+no text stop the read unless the caller says otherwise, and ``csv_rejects`` shows
+the rows of another width.
 """
 
 from __future__ import annotations
 
+import csv as python_csv
 import re
-from collections.abc import Iterable
+import uuid
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fixed value: how the bulk files that hold the long table are named.
+from ..functions import is_blank
+
+# How the bulk files that hold the long table are named, and the folder archives add.
 LONG_TABLE_SUFFIX = "E_All_Data_(Normalized).csv"
+ARCHIVE_FOLDER = "__MACOSX"
 QUOTING = {"quote": '"', "escape": '"'}
 POSITION = "_position"
+RECORD = "_record"
+REPLACEMENT = "�"
 
 
-def _plain_path(path: str) -> str:
+def _plain(path: str) -> str:
+    """A path without its scheme, which different calls spell differently."""
     return re.sub(r"^[A-Za-z0-9+.-]+:/*", "/", path).rstrip("/")
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """The Hadoop path, qualified, and its file system."""
+    raw = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = raw.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.makeQualified(raw), system
+
+
 def csv_names(spark: SparkSession, folder: str) -> list[str]:
     """Names, relative to ``folder``, of all CSVs below it, sorted; [""] if it is a CSV itself.
 
-    Lists names only; the file contents are not read.
+    The file system lists the names, so none is hidden, whatever it begins with.
     """
-    root = _plain_path(folder)
+    root = folder.rstrip("/")
     if root.lower().endswith(".csv"):
         return [""]
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    path = F.regexp_replace("path", r"^[A-Za-z0-9+.-]+:/*", "/")
-    below = F.substring(path, F.lit(len(root) + 1), F.length(path))
-    name = F.when(below == "", below).otherwise(F.regexp_extract(below, r"(?i)^/(.*?\.csv)(/|$)", 1))
-    names = listing.select(below.alias("below"), name.alias("name")).where("below = '' OR name <> ''")
-    found = [r["name"] for r in names.select("name").distinct().collect()]
-    return sorted(n for n in found if "__MACOSX" not in n.split("/"))
+    path, system = _hadoop(spark, root)
+    files, found = system.listFiles(path, True), set()
+    while files.hasNext():
+        below = _plain(files.next().getPath().toString())[len(_plain(path.toString())) :]
+        name = re.match(r"(?i)/(.*?\.csv)(/|$)", below)
+        if name and ARCHIVE_FOLDER not in name[1].split("/"):
+            found.add(name[1])
+    return sorted(found)
 
 
 def _join(folder: str, name: str) -> str:
     return f"{folder.rstrip('/')}/{name}" if name else folder
 
 
-def long_table_csv(spark: SparkSession, folder: str) -> str:
-    """The only CSV directly in a folder, else the first one with the standard long-table name."""
+def readable(spark: SparkSession, path: str) -> str:
+    """A path that Spark's readers take.
+
+    They pass over names that begin with ``_`` or ``.``; such a file gets a link of
+    another name in a mount table of this session.  Nothing is copied.
+    """
+    name = path.rstrip("/").split("/")[-1]
+    if not name.startswith(("_", ".")):
+        return path
+    mounts = f"csv{uuid.uuid4().hex}"
+    target = _hadoop(spark, path)[0].toUri().toString()
+    spark.sparkContext._jsc.hadoopConfiguration().set(f"fs.viewfs.mounttable.{mounts}.link./shown.csv", target)
+    return f"viewfs://{mounts}/shown.csv"
+
+
+@dataclass(frozen=True)
+class LongTable:
+    """The CSV to read, and others of the standard name that are not read."""
+
+    path: str
+    passed_over: tuple[str, ...] = ()
+
+
+def find_long_table(spark: SparkSession, folder: str) -> LongTable:
     names = [n for n in csv_names(spark, folder) if "/" not in n]
     if not names:
         raise FileNotFoundError(f"no csv in {folder}")
@@ -52,13 +94,17 @@ def long_table_csv(spark: SparkSession, folder: str) -> str:
         names = [n for n in names if n.endswith(LONG_TABLE_SUFFIX)]
     if not names:
         raise FileNotFoundError(f"several csv in {folder}, none named *{LONG_TABLE_SUFFIX}")
-    return _join(folder, names[0])
+    return LongTable(_join(folder, names[0]), tuple(names[1:]))
 
 
-def csv_by_name(spark: SparkSession, folder: str, name: str) -> str:
-    """The one CSV called ``name`` at any depth below ``folder``."""
-    names = csv_names(spark, folder)
-    if names == [""]:
+def long_table_csv(spark: SparkSession, folder: str) -> str:
+    """The only CSV directly in a folder, else the first one with the standard long-table name."""
+    return find_long_table(spark, folder).path
+
+
+def named_csv(folder: str, names: Sequence[str], name: str) -> str:
+    """The one CSV called ``name`` among the listed ones."""
+    if list(names) == [""]:
         return folder
     matches = [n for n in names if n.split("/")[-1] == name]
     if not matches:
@@ -68,6 +114,11 @@ def csv_by_name(spark: SparkSession, folder: str, name: str) -> str:
     return _join(folder, matches[0])
 
 
+def csv_by_name(spark: SparkSession, folder: str, name: str) -> str:
+    """The one CSV called ``name`` at any depth below ``folder``."""
+    return named_csv(folder, csv_names(spark, folder), name)
+
+
 def all_csvs(spark: SparkSession, folder: str) -> list[str]:
     """Every CSV below a folder."""
     names = csv_names(spark, folder)
@@ -76,53 +127,176 @@ def all_csvs(spark: SparkSession, folder: str) -> list[str]:
     return [_join(folder, n) for n in names]
 
 
-def csv_header(spark: SparkSession, path: str) -> list[str]:
-    """Header cells, trimmed and without a byte order mark; blank ones become ``unnamed_{i}``."""
-    first = spark.read.options(header=False, multiLine=True, **QUOTING).csv(path).head()
-    if first is None:
+def _first_record(spark: SparkSession, path: str, encoding: str) -> str:
+    """The first record of a CSV, read from the file system without a job; a few lines at most."""
+    place, system = _hadoop(spark, path)
+    if system.getFileStatus(place).isDirectory():
+        parts = sorted(p.getPath().toString() for p in system.listStatus(place)
+                       if not p.getPath().getName().startswith(("_", ".")) and p.getLen() > 0)
+        place = spark._jvm.org.apache.hadoop.fs.Path(parts[0]) if parts else None
+    if place is None:
         raise ValueError(f"{path} is empty")
-    cells = [(cell or "").replace("﻿", "").strip() for cell in first]
-    return [cell or f"unnamed_{i}" for i, cell in enumerate(cells)]
+    java = spark._jvm.java.io
+    reader = java.BufferedReader(java.InputStreamReader(system.open(place), encoding))
+    try:
+        record = None
+        while record is None or record.count('"') % 2 or not record.strip():
+            line = reader.readLine()
+            if line is None:
+                break
+            record = line if record is None or not record.strip() else f"{record}\n{line}"
+    finally:
+        reader.close()
+    if record is None or not record.strip():
+        raise ValueError(f"{path} is empty")
+    return record
+
+
+def csv_header(spark: SparkSession, path: str, encoding: str = "UTF-8") -> list[str]:
+    """Header cells, trimmed and without a byte order mark; blank ones become ``unnamed_{i}``."""
+    record = _first_record(spark, path, encoding).lstrip("\ufeff")
+    cells = next(python_csv.reader([record + "\n"] if "\n" not in record else record.splitlines(keepends=True)))
+    return [cell.replace("\ufeff", "").strip() or f"unnamed_{i}" for i, cell in enumerate(cells)]
+
+
+def _odd_quotes(line: Column) -> Column:
+    return (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
 
 
-def has_multiline_cells(spark: SparkSession, path: str) -> bool:
+def has_multiline_cells(spark: SparkSession, *paths: str) -> bool:
     """Whether some line holds an odd number of quotes, so that a record may span lines."""
+    return not spark.read.text([readable(spark, p) for p in paths]).where(_odd_quotes(F.col("value"))).isEmpty()
+
+
+def _records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(record, file, at): records that may span lines, put together without a task that holds a whole file.
+
+    A line begins a record when an even number of quotes stands before it in its
+    file.  Quotes are counted split by split; a small table, one row a split, says how
+    many stand before each one and where the record began that runs into it.  Records
+    of one line go on as they are; the lines of others are joined by where they began.
+    """
+    split = ["file", "block"]
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+    inside = Window.partitionBy(split).orderBy("line")
+    before = inside.rowsBetween(Window.unboundedPreceding, -1)
+    lines = spark.read.option("lineSep", "\n").text(list(paths)).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"), quotes.alias("quotes"))
+    lines = lines.withColumn("odd", F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2)
+    ends = lines.groupBy(split).agg(
+        F.sum("quotes").alias("quotes"), F.max(F.when(F.col("odd") == 0, F.col("line"))).alias("last0"),
+        F.max(F.when(F.col("odd") == 1, F.col("line"))).alias("last1"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    known = ends.withColumn("turn", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2)
+    last = F.when(F.col("turn") == 0, F.col("last0")).otherwise(F.col("last1"))
+    known = known.withColumn("open", F.when(last.isNotNull(), F.struct(F.col("block"), last.alias("line"))))
+    known = known.select(*split, "turn", F.last("open", ignorenulls=True).over(earlier).alias("running"))
+    placed = lines.join(known, split)
+    begins = F.col("odd") == F.col("turn")
+    stops = (F.col("odd") + F.col("turn") + F.col("quotes")) % 2 == 0
+    here = F.last(F.when(begins, F.struct("block", "line")), ignorenulls=True).over(inside)
+    marked = placed.select("file", "block", "line", "value", (begins & stops).alias("whole"), F.coalesce(here, "running").alias("at"))
+    whole = marked.where("whole").select(F.col("value").alias("record"), "file", "at")
+    joined = marked.where("NOT whole").groupBy("file", "at").agg(F.array_sort(F.collect_list(F.struct("block", "line", "value"))).alias("p"))
+    return whole.unionByName(joined.select(F.array_join(F.transform("p", lambda x: x["value"]), "\n").alias("record"), "file", "at"))
+
+
+def _cells(spark: SparkSession, paths: Sequence[str], width: int, multiline: bool, encoding: str) -> DataFrame:
+    """Columns c0, c1, ..., the raw text of records of another width, and where each row stands."""
+    fields = [T.StructField(f"c{i}", T.StringType()) for i in range(width)]
+    schema = T.StructType([*fields, T.StructField(RECORD, T.StringType())])
+    options = {"columnNameOfCorruptRecord": RECORD, "mode": "PERMISSIVE", **QUOTING}
+    shown = [readable(spark, p) for p in paths]
+    if multiline and encoding.upper() == "UTF-8":
+        records = _records(spark, shown)
+        heads = records.where("at.block = 0").groupBy("file").agg(F.min(F.when(~is_blank(F.col("record")), F.col("at"))).alias("head"))
+        body = records.join(heads, "file").where((F.col("at") > F.col("head")) & ~is_blank(F.col("record")))
+        text = F.regexp_replace("record", "\r$", "")
+        parsed = body.select(F.from_csv(text, ", ".join(f"`{f.name}` string" for f in schema), {**options, "multiLine": "true"}).alias("r"),
+                             F.struct("file", "at.block", "at.line").alias(POSITION))
+        return parsed.select("r.*", POSITION)
+    # all cells are parsed whatever is selected, or else the width of a record would go unseen
+    options["columnPruning"] = "false"
+    rows = spark.read.schema(schema).options(header=True, multiLine=multiline, encoding=encoding, **options).csv(shown)
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("line"))
+    # always true: Spark wants a column of the file read beside the record
+    return rows.select("*", place.alias(POSITION)).where(F.length(F.coalesce("c0", F.lit(""))) >= 0)
+
+
+def _surplus(width: int) -> Column:
+    """Whether a record has a cell with content beyond the header; quoted parts are set aside to count separators."""
+    plain = F.regexp_replace(RECORD, '"(?:[^"]|"")*"', "q")
+    cells = F.split(plain, ",", -1)
+    return F.col(RECORD).isNotNull() & F.exists(F.slice(cells, F.lit(width + 1), F.greatest(F.size(cells), F.lit(1))), lambda c: ~is_blank(c))
+
+
+def _no_text(columns: Iterable[str]) -> Column:
+    found = F.lit(False)
+    for c in columns:
+        found = found | F.coalesce(F.contains(F.col(c), F.lit(REPLACEMENT)), F.lit(False))
+    return found
 
 
 def read_csv(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     *,
     rename: dict[str, str] | None = None,
     drop: Iterable[str] = (),
     require: Iterable[str] = (),
     multiline: bool | None = None,
     position: bool = False,
+    encoding: str = "UTF-8",
+    surplus: str = "fail",
+    bad_bytes: str = "fail",
 ) -> DataFrame:
     """All cells as text.
 
     Columns are read by position and named after the header, so names that
     differ only in case survive until ``rename`` and ``drop`` (matched with
-    their case) have sorted them out.  A file whose records all sit on one line
-    is split over tasks; ``multiline=None`` finds out.  ``position`` adds a
-    column that orders rows as they stand in the files.
+    their case) have sorted them out.  Several paths must share one header.
+    ``multiline=None`` finds out whether records span lines; either way a file is
+    split over tasks.  ``position`` adds a column that orders rows as they stand
+    in the files.
+
+    A record with cells beyond the header stops the read (``surplus="fail"``) or is
+    left to ``csv_rejects`` (``"reject"``); a shorter one is filled with NULL, as the
+    format's readers do, and ``csv_rejects`` lists it too.  Bytes that are not of the
+    encoding stop the read unless ``bad_bytes="keep"``.
     """
-    header = csv_header(spark, path)
+    paths = [path] if isinstance(path, str) else list(path)
+    header = csv_header(spark, paths[0], encoding)
     missing = [c for c in (*require, *(rename or {}), *drop) if c not in header]
     if missing:
-        raise KeyError(f"{path} lacks columns {missing}, has {header}")
+        raise KeyError(f"{paths[0]} lacks columns {missing}, has {header}")
     if multiline is None:
-        multiline = has_multiline_cells(spark, path)
-    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))])
-    cells = spark.read.schema(schema).options(header=True, multiLine=multiline, **QUOTING).csv(path)
+        multiline = has_multiline_cells(spark, *paths)
+    cells = _cells(spark, paths, len(header), multiline, encoding)
+    wide = _surplus(len(header))
+    if surplus == "fail":
+        message = F.concat(F.lit(f"{paths[0]}: more cells than the {len(header)} of the header: "), F.col(RECORD))
+        cells = cells.where(F.when(wide, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+    else:
+        cells = cells.where(~wide)
     kept = [i for i, name in enumerate(header) if name not in drop]
-    columns = [F.col(f"c{i}") for i in kept]
+    if bad_bytes == "fail":
+        message = F.lit(f"{paths[0]}: bytes that are not {encoding}")
+        broken = _no_text(f"c{i}" for i in kept)
+        cells = cells.where(F.when(broken, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
     names = [(rename or {}).get(header[i], header[i]) for i in kept]
+    columns = [F.col(f"c{i}") for i in kept]
     if position:
-        place = F.struct(
-            F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()
-        )
-        return cells.select(*columns, place.alias(POSITION)).toDF(*names, POSITION)
+        return cells.select(*columns, POSITION).toDF(*names, POSITION)
     return cells.select(*columns).toDF(*names)
+
+
+def csv_rejects(spark: SparkSession, path: str, *, multiline: bool | None = None, encoding: str = "UTF-8") -> DataFrame:
+    """(record, kind) of the records that do not have the header's width: "surplus" where content would be lost, else "other width"."""
+    header = csv_header(spark, path, encoding)
+    if multiline is None:
+        multiline = has_multiline_cells(spark, path)
+    cells = _cells(spark, [path], len(header), multiline, encoding)
+    return cells.where(F.col(RECORD).isNotNull()).select(
+        F.col(RECORD).alias("record"), F.when(_surplus(len(header)), F.lit("surplus")).otherwise(F.lit("other width")).alias("kind"))

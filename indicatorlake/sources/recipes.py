@@ -17,7 +17,7 @@ from ..functions import strip_dot_zero
 from ..operators.areas import alias_table, name_codes, region_table
 from ..operators.lookup import first_per_key, lookup_join
 from ..operators.reshape import columns_to_rows, diagonal_union, quoted, years_to_rows
-from .csv import POSITION, all_csvs, csv_by_name, csv_header, csv_names, long_table_csv, read_csv
+from .csv import POSITION, all_csvs, csv_by_name, csv_header, csv_names, find_long_table, long_table_csv, named_csv, read_csv
 
 
 @dataclass(frozen=True)
@@ -86,7 +86,8 @@ WIDE_FILES = {
 
 def wide_with_lookups(spark: SparkSession, folder: str, names: AreaNames | None = None) -> DataFrame:
     """Years in columns, plus series metadata and three kinds of notes."""
-    path = {k: csv_by_name(spark, folder, v) for k, v in WIDE_FILES.items()}
+    names_below = csv_names(spark, folder)
+    path = {k: named_csv(folder, names_below, v) for k, v in WIDE_FILES.items()}
     wide = read_csv(spark, path["main"], require=WIDE_IDS)
     years = [c for c in wide.columns if c not in WIDE_IDS]
     rows = columns_to_rows(wide, WIDE_IDS, years, "wb_year", "Value").where(F.col("Value").isNotNull())
@@ -176,14 +177,31 @@ def wide_with_names(spark: SparkSession, folder: str, names: AreaNames | None) -
 
 
 def many_files_with_names(spark: SparkSession, folder: str, names: AreaNames | None) -> DataFrame:
-    """Several long files of differing columns, areas given by name; files without the name are skipped."""
-    paths = [p for p in all_csvs(spark, folder) if LABOUR_AREA in csv_header(spark, p)]
-    if not paths:
+    """Several long files of differing columns, areas given by name; files without the name are left out (see passed_over).
+
+    Files of equal headers are read in one scan, so the plan grows with the number
+    of different headers.
+    """
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for path in all_csvs(spark, folder):
+        by_header.setdefault(tuple(csv_header(spark, path)), []).append(path)
+    groups = [paths for header, paths in by_header.items() if LABOUR_AREA in header]
+    if not groups:
         raise KeyError(f"no csv below {folder} has a column {LABOUR_AREA}")
-    rows = diagonal_union([read_csv(spark, p) for p in paths])
+    rows = diagonal_union([read_csv(spark, paths) for paths in groups])
     return _with_area_codes(rows, LABOUR_AREA, LABOUR_CODE, names, skip=True)
 
 
+def passed_over(spark: SparkSession, source_code: str, folder: str) -> list[str]:
+    """CSVs of a landed folder that the source's recipe does not read, and why, for the log."""
+    recipe = recipe_for(source_code)
+    if recipe is many_files_with_names:
+        return [f"no column {LABOUR_AREA}: {p}" for p in all_csvs(spark, folder) if LABOUR_AREA not in csv_header(spark, p)]
+    if recipe is long_table:
+        return [f"not the first long table: {n}" for n in find_long_table(spark, folder).passed_over]
+    return []
+
+
 RECIPES: dict[str, Recipe] = {
     "wb_wdi": wide_with_lookups,
     "agincentives": codes_without_dot_zero,

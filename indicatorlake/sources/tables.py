@@ -1,8 +1,10 @@
 """Tables in a Spark catalog database, kept as Parquet below one shared root.
 
-Every write goes to a folder of its own and the catalog is pointed at it last.
-A job that dies before that leaves the table as it was, readers of the old
-files are not disturbed, and running it again gives the same table.
+A table's name is a catalog view over a stored version: a folder, or a table of
+partitions.  Every write makes a version of its own and replaces the view last, in
+one catalog statement.  A job that dies before that leaves the table as it was,
+readers of the old version are not disturbed, and running it again gives the same
+table.
 """
 
 from __future__ import annotations
@@ -17,6 +19,10 @@ from pyspark.sql.utils import AnalysisException
 
 from ..operators.reshape import quoted
 
+#: Partition column that tells the generations of replaced keys apart; only inside versions.
+GENERATION = "_generation"
+FIRST = "first"
+
 
 def _literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -41,83 +47,100 @@ class Lake:
         return self.spark.table(self.name(table))
 
     def table_names(self) -> DataFrame:
-        """Tables of this lake as (table_name)."""
-        return self.spark.sql(f"SHOW TABLES IN {quoted(self.database)}").select(
-            F.col("tableName").alias("table_name")
+        """Tables of this lake as (table_name); stored versions have no name of their own here."""
+        return self.spark.sql(f"SHOW VIEWS IN {quoted(self.database)}").where("NOT isTemporary").select(
+            F.col("viewName").alias("table_name")
         )
 
     def _fresh_folder(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}/{uuid.uuid4().hex}"
 
-    def write(self, table: str, df: DataFrame, partition_by: str | None = None, replace: bool = True) -> int:
+    def _point(self, table: str, query: str, **properties: str) -> None:
+        """Let the table's name stand for a query over stored versions, in one statement."""
+        noted = ", ".join(f"{_literal(k)} = {_literal(v)}" for k, v in properties.items())
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(table)} TBLPROPERTIES ({noted}) AS {query}")
+
+    def _noted(self, table: str) -> dict[str, str]:
+        return {r.key: r.value for r in self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)}").collect()}
+
+    def publish(self, table: str, folder: str) -> None:
+        """Let a table stand for the Parquet files of a folder written elsewhere."""
+        self._point(table, f"SELECT * FROM parquet.{quoted(folder)}", folder=folder)
+
+    def folder(self, table: str) -> str | None:
+        """The folder a published table stands for."""
+        return self._noted(table).get("folder") if self.exists(table) else None
+
+    def write(self, table: str, df: DataFrame, partition_by: str | None = None, replace: bool = True, sort_by: Iterable[str] = ()) -> int:
         """Create a table, or replace it whole; returns its number of rows.
 
         With ``partition_by`` the rows are rebalanced on it: files stay large, and
         a value holding a great part of all rows is split over several tasks.
+        ``sort_by`` orders the rows of each file, so that readers skip row groups.
         """
         if not replace and self.exists(table):
             raise ValueError(f"table {table} exists")
         folder = self._fresh_folder(table)
-        seen = Observation(f"write-{uuid.uuid4().hex}")
+        version = f"{table}__{uuid.uuid4().hex}"
+        n, _ = self._store(df, f"{folder}/{GENERATION}={FIRST}" if partition_by else folder, partition_by, sort_by)
+        fields = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema)
+        if partition_by:
+            self.spark.sql(f"CREATE TABLE {self.name(version)} ({fields}, {quoted(GENERATION)} string) USING parquet "
+                           f"PARTITIONED BY ({quoted(GENERATION)}, {quoted(partition_by)}) LOCATION {_literal(folder)}")
+            self.spark.catalog.recoverPartitions(self.name(version))
+        else:
+            self.spark.sql(f"CREATE TABLE {self.name(version)} ({fields}) USING parquet LOCATION {_literal(folder)}")
+        columns = ", ".join(quoted(c) for c in df.columns)
+        where = f" WHERE {quoted(GENERATION)} = '{FIRST}'" if partition_by else ""
+        self._point(table, f"SELECT {columns} FROM {self.name(version)}{where}", version=version, stored=folder, columns=columns, generations="")
+        return n
+
+    def _store(self, df: DataFrame, folder: str, partition_by: str | None, sort_by: Iterable[str]) -> tuple[int, list[str]]:
+        """Write files; the number of rows and the values of the partition column."""
+        seen = Observation(f"store-{uuid.uuid4().hex}")
+        values = F.collect_set(partition_by) if partition_by else F.lit(None).cast("array<string>")
         rows = df.hint("rebalance", partition_by) if partition_by else df
-        writer = rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("errorifexists")
+        if sort_by:
+            rows = rows.sortWithinPartitions(*[c for c in (partition_by, *sort_by) if c])
+        metrics = [F.count(F.lit(1)).alias("n"), *([values.alias("values")] if partition_by else [])]
+        writer = rows.observe(seen, *metrics).write.mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(partition_by)
         writer.parquet(folder)
-        self._point(table, df, folder, partition_by)
-        return seen.get["n"]
+        found = seen.get
+        return found["n"], list(found.get("values") or [])
 
-    def _point(self, table: str, df: DataFrame, folder: str, partition_by: str | None) -> None:
-        fields = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema)
-        by = f"PARTITIONED BY ({quoted(partition_by)})" if partition_by else ""
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
-        self.spark.sql(
-            f"CREATE TABLE {self.name(table)} ({fields}) USING parquet {by} LOCATION {_literal(folder)}"
-        )
-        if partition_by:
-            self.spark.catalog.recoverPartitions(self.name(table))
-
-    def replace_keys(self, table: str, df: DataFrame, key: str, values: Iterable[str]) -> int:
+    def replace_keys(self, table: str, df: DataFrame, key: str, values: Iterable[str], sort_by: Iterable[str] = ()) -> int:
         """Replace all rows of the given values of the partition column ``key`` by those of ``df``.
 
-        A value with no new rows ends with none.  Only these partitions are
-        written; every other partition of the table is left alone.
+        A value with no new rows ends with none.  Only these partitions are written,
+        as a generation of their own that no reader sees until the table's view says
+        so for all of them at once.
         """
-        folder = self._fresh_folder(table)
+        noted = self._noted(table)
         wanted = list(dict.fromkeys(values))
-        seen = Observation(f"replace-{uuid.uuid4().hex}")
-        rows = df.where(F.col(key).isin(*wanted)).hint("rebalance", key)
-        rows = rows.observe(seen, F.count(F.lit(1)).alias("n"), F.collect_set(key).alias("written"))
-        rows.write.partitionBy(key).parquet(folder)
-        metrics = seen.get
-        self._repoint(table, folder, key, set(metrics["written"]), wanted)
-        return metrics["n"]
-
-    def _repoint(self, table: str, folder: str, key: str, written: set[str], wanted: list[str]) -> None:
-        """Point the partitions of the written values at ``folder`` and drop those of the others."""
-        name = self.name(table)
-        there = {r[0] for r in self.spark.sql(f"SHOW PARTITIONS {name}").collect()}
-        added, dropped = [], []
-        for value in wanted:
-            part = f"PARTITION ({quoted(key)} = {_literal(value)})"
-            place = f"{key}={_folder_name(value)}"
-            location = _literal(f"{folder}/{place}")
-            if value not in written:
-                dropped.append(part)
-            elif place in there:
-                self.spark.sql(f"ALTER TABLE {name} {part} SET LOCATION {location}")
-            else:
-                added.append(f"{part} LOCATION {location}")
+        generation = uuid.uuid4().hex
+        rows = df.where(F.col(key).isin(*wanted))
+        n, written = self._store(rows, f"{noted['stored']}/{GENERATION}={generation}", key, sort_by)
+        version = self.name(noted["version"])
+        added = [f"PARTITION ({quoted(GENERATION)} = '{generation}', {quoted(key)} = {_literal(v)}) "
+                 f"LOCATION {_literal(f'{noted["stored"]}/{GENERATION}={generation}/{key}={_folder_name(v)}')}" for v in sorted(written)]
         if added:
-            self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(added)}")
-        if dropped:
-            self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(dropped)}")
-        self.spark.catalog.refreshTable(name)
+            self.spark.sql(f"ALTER TABLE {version} ADD IF NOT EXISTS {' '.join(added)}")
+        # generation:key pairs, one for every key that is not of the first generation
+        current = dict(p.split("\x01", 1)[::-1] for p in noted["generations"].split("\x02") if p)
+        current |= {v: generation if v in written else "none" for v in wanted}
+        pairs = ", ".join(f"{_literal(k)}, {_literal(g)}" for k, g in sorted(current.items()))
+        live = f"coalesce(element_at(map({pairs}), {quoted(key)}), '{FIRST}')" if pairs else f"'{FIRST}'"
+        where = f" WHERE {quoted(GENERATION)} = {live}"
+        self._point(table, f"SELECT {noted['columns']} FROM {version}{where}",
+                    **{**{k: noted[k] for k in ("version", "stored", "columns")}, "generations": "\x02".join(f"{g}\x01{k}" for k, g in sorted(current.items()))})
+        return n
 
     def append(self, table: str, df: DataFrame) -> None:
         """Add rows, creating the table on first use."""
         if self.exists(table):
-            df.write.insertInto(self.name(table))
+            df.write.insertInto(self.name(self._noted(table)["version"]))
         else:
             self.write(table, df)
 
@@ -172,3 +195,12 @@ def export_files(
     writer = rows.write.mode("overwrite" if clear else "append").option("maxRecordsPerFile", rows_per_file)
     writer.option("compression", compression).format(fmt).save(folder)
     return seen.get["n"]
+
+
+def remove_others(spark: SparkSession, folder: str, kept: str) -> None:
+    """Delete what lies beside ``kept`` in its folder: files of earlier exports."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in system.listStatus(path):
+        if status.getPath().getName() != kept.rstrip("/").split("/")[-1]:
+            system.delete(status.getPath(), True)

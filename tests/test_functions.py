@@ -79,6 +79,9 @@ def test_is_blank(spark, text, blank):
 def test_source_version(spark):
     assert one(spark, lambda c: fn.source_version(c, "now"), "2024-05-01") == "20240501"
     assert one(spark, lambda c: fn.source_version(c, "now"), "soon") == "now"
+    for text, day in (("13/02/2024", "20240213"), ("1/2/24", "20240102"), ("2024.05.01", "20240501"), ("01-Feb-2024", "20240201"),
+                      ("1/2/2024 0:00", "20240102"), ("2024-5-1 12:30:05", "20240501"), ("1.2.2024", "20240201"), ("12-31-2024", "20241231")):
+        assert one(spark, lambda c: fn.source_version(c, "now"), text) == day, text
     assert one(spark, lambda c: fn.source_version(c, "now"), None) == "now"
     for text in ("2024/05/01", "5/1/2024", "20240501", "May 1, 2024", " 1 May 2024 ", "2024-05-01 10:00:00", "May 2024"):
         assert one(spark, lambda c: fn.source_version(c, "now"), text) == "20240501", text

@@ -11,14 +11,17 @@ from pyspark.sql import functions as F
 
 from indicatorlake.operators import quality as q
 from indicatorlake.operators.areas import alias_table, name_codes, region_table
-from indicatorlake.operators.grid import KEYS, gap_fill, pairs_by_block, reference_grid
+from indicatorlake.operators import grid
+from indicatorlake.operators.grid import KEYS, all_pairs, gap_fill, reference_grid
 from indicatorlake.operators.lookup import first_per_key, lookup_join
 from indicatorlake.operators.ordering import globally_ordered
 from indicatorlake.operators.reshape import rename_columns, years_to_rows
-from indicatorlake.operators.selection import Indicator, fan_out, processed, select_indicators
+from indicatorlake.operators.selection import Indicator, batches, fan_out, processed, select_indicators
 from indicatorlake.plans.harmonise import OBSERVATION, assert_observation, harmonise
-from workload import QUERIES
+from indicatorlake.plans.export import published_uids
+from workload.export_cases import _CONFIG, _stage_frame
 from workload.harmonise_cases import view
+from workload.standins import areas, run_sql
 
 SF = "/root/testdata/sf0.001"
 
@@ -48,9 +51,13 @@ def test_years_to_rows_needs_a_year(spark):
         years_to_rows(spark.createDataFrame([("1",)], "a string"), "year", "value")
 
 
-def test_pairs_by_block_is_the_product(spark):
-    left, right = spark.range(37).toDF("a"), spark.range(11).toDF("b")
-    assert rows(pairs_by_block(left, right, 5)) == Counter((a, b) for a in range(37) for b in range(11))
+def test_pairs_are_the_product_and_spread_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(grid, "CELLS_PER_TASK", 4000)
+    scope, uids = spark.range(20).toDF("a"), spark.range(500).selectExpr("CAST(id AS STRING) AS afs_uid")
+    pairs = all_pairs(scope, uids, 10)
+    assert rows(pairs.select("a", "afs_uid")) == Counter((a, str(u)) for a in range(20) for u in range(500))
+    cells = pairs.withColumn("y", F.explode(F.sequence(F.lit(1), F.lit(10)))).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in cells) == 100000 and len(cells) >= 20 and max(r["count"] for r in cells) < 12000
 
 
 def _stage(spark):
@@ -75,11 +82,11 @@ def test_gap_fill_equals_left_plus_anti_and_full_outer(spark):
 
 
 def test_gap_filled_export_joins_facts_without_shuffling_them(spark):
-    """Facts of one hot key must not meet in one task: outer joins of facts are broadcast, only the grid's anti join shuffles."""
-    plan = QUERIES["gap_filled_export"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    """Facts of one hot key must not meet in one task: they only meet broadcast dimensions, and no grid-sized side is built."""
+    scope, uids = areas(spark, SF), published_uids(run_sql(spark, SF, _CONFIG, "customer"))
+    plan = gap_fill(_stage_frame(spark, SF), scope, uids, 1998, 2001)._jdf.queryExecution().executedPlan().toString()
     joins = [line for line in plan.splitlines() if "Join" in line]
-    assert not [j for j in joins if "FullOuter" in j or "NestedLoop" in j or "Cartesian" in j]
-    assert not [j for j in joins if "SortMergeJoin" in j and "LeftOuter" in j]
+    assert not [j for j in joins if "FullOuter" in j or "Cartesian" in j or "LeftAnti" in j]
 
 
 def test_default_grid_ends_this_year(spark):
@@ -119,10 +126,35 @@ def test_fan_out_equals_the_union_of_filters(spark):
 
 def test_many_predicates_go_in_batches(spark):
     v = spark.range(50).toDF("x")
-    wanted = [Indicator(f"u{i}", f"x % 250 = {i}") for i in range(250)]
+    wanted = [Indicator(f"u{i}", f"x % 250 = {i} AND x IS NOT NULL AND x < 1000000") for i in range(250)]
+    assert len(list(batches(wanted))) == 2
     assert rows(select_indicators(v, wanted)) == Counter((f"u{i}", i) for i in range(50))
 
 
+def test_plain_predicates_reach_the_scan(spark, tmp_path):
+    spark.range(50).selectExpr("id AS x", "CAST(id % 5 AS STRING) AS k").write.parquet(f"{tmp_path}/v")
+    v = spark.read.parquet(f"{tmp_path}/v")
+
+    def pushed(*conditions):
+        df = fan_out(v, [Indicator(f"u{i}", c) for i, c in enumerate(conditions)])
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return plan.split("PushedFilters: [")[1].split("]")[0], rows(df)
+
+    assert pushed("k = '1'")[0] and "Or(" in pushed("k = '1'", "x < 7")[0]
+    both = pushed("k = '1'", "x < 7")[1]
+    assert both == Counter([("u0", i, "1") for i in range(1, 50, 5)] + [("u1", i, str(i % 5)) for i in range(7)])
+    assert pushed("k = '1'", "length(k) = 1")[0] == pushed("TRUE")[0]  # only what the explode itself asks
+
+
+def test_the_users_own_view_called_input_stays(spark):
+    spark.range(2).createOrReplaceTempView("input")
+    v = spark.range(6).selectExpr("id AS x", "'{}' AS bag")
+    query = "WITH big AS (SELECT * FROM input WHERE bag = '{}') SELECT afs_uid, x + 100 AS x, bag FROM big ;"
+    assert rows(processed(v, Indicator("u", "x > 3", query))) == Counter([("u", 104, "{}"), ("u", 105, "{}")])
+    assert spark.table("input").count() == 2
+    spark.catalog.dropTempView("input")
+
+
 def test_bad_predicate_and_missing_column_fail_before_running(spark):
     v = spark.range(3).toDF("x")
     with pytest.raises(AnalysisException):
@@ -161,15 +193,18 @@ def test_table_issues(spark):
 
 def test_names(spark):
     given = ["Southern Africa", " asia ", "Korea, Rep.", "Korea, Dem. People's Rep.", "Viet Nam", "Africa: Northern Africa", "Zork",
-             "Congo, Dem. Rep.", "Congo", "United Kingdom", "Atlantis", "South Africa", "Côte d'Ivoire"]
-    known = spark.createDataFrame([("710", "ZAF", "South Africa"), ("801", "AT1", "Atlantis"), ("802", "AT2", "Atlantis")],
+             "Congo, Dem. Rep.", "Congo", "United Kingdom", "Atlantis", "South Africa", "Côte d'Ivoire",
+             "Türkiye", "Hong Kong, China", "Bahamas, The", "St. Lucia", "Burma", "Curaçao", "Lebanon (Republic of)", "Lebanon, Northern", "São Tomé & Príncipe"]
+    known = spark.createDataFrame([("710", "ZAF", "South Africa"), ("801", "AT1", "Atlantis"), ("802", "AT2", "Atlantis"), ("344", "HKG", "Hong Kong"),
+                                   ("044", "BHS", "Bahamas"), ("662", "LCA", "Saint Lucia"), ("104", "MMR", "Myanmar"), ("531", "CUW", "Curacao"), ("422", "LBN", "Lebanon")],
                                   "m49_code string, iso3c string, area_name string")
     names = spark.createDataFrame([(n,) for n in [*given, None, "  "]], "n string")
     codes = name_codes(names, "n", "c", known, region_table(spark), alias_table(spark), skip_aggregates=True)
     assert {r.n: r.c for r in codes.collect()} == {
         "Southern Africa": "018", " asia ": "142", "Korea, Rep.": "410", "Korea, Dem. People's Rep.": "408", "Viet Nam": "704",
         "Africa: Northern Africa": None, "Zork": None, "Congo, Dem. Rep.": "180", "Congo": "178", "United Kingdom": "826",
-        "Atlantis": None, "South Africa": "710", "Côte d'Ivoire": "384"}
+        "Atlantis": None, "South Africa": "710", "Côte d'Ivoire": "384", "Türkiye": "792", "Hong Kong, China": "344", "Bahamas, The": "044",
+        "St. Lucia": "662", "Burma": "104", "Curaçao": "531", "Lebanon (Republic of)": "422", "Lebanon, Northern": None, "São Tomé & Príncipe": "678"}
 
 
 def test_view_schema_is_canonical_and_duplicate_areas_fan_out(spark):

@@ -7,7 +7,8 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from indicatorlake.plans import ingest, stage, sync
+from indicatorlake.operators.ordering import globally_ordered
+from indicatorlake.plans import export, ingest, stage, sync
 from indicatorlake.session import scratch_folder
 from indicatorlake.sources import csv, recipes
 from indicatorlake.sources.config import update_fields
@@ -103,6 +104,129 @@ def test_a_failed_write_leaves_the_table(spark, lake):
         assert lake.read("stg_y_tbl").count() == 4
 
 
+class Breaking:
+    """A session whose n-th catalog statement fails."""
+
+    def __init__(self, spark, after):
+        self.spark, self.left = spark, after
+
+    def __getattr__(self, name):
+        return getattr(self.spark, name)
+
+    def sql(self, text, *args, **kwargs):
+        if not text.startswith(("SHOW", "DESCRIBE")):
+            if self.left == 0:
+                raise RuntimeError("the catalog is gone")
+            self.left -= 1
+        return self.spark.sql(text, *args, **kwargs)
+
+
+@pytest.mark.parametrize("after", range(6))
+def test_no_moment_without_the_old_or_the_new_table(spark, lake, after):
+    old = spark.range(6).selectExpr("concat('u', id % 3) AS afs_uid", "id")
+    new = old.where("afs_uid <> 'u1'").selectExpr("afs_uid", "id + 100 AS id")
+    for table, key, work in (("a", None, lambda broken: broken.write("a", new)), ("b", "afs_uid", lambda broken: broken.write("b", new, "afs_uid")),
+                             ("c", "afs_uid", lambda broken: broken.replace_keys("c", new, "afs_uid", ["u0", "u1"]))):
+        lake.write(table, old, key)
+        before = sorted(map(tuple, lake.read(table).collect()))
+        broken = Lake(Breaking(spark, after + 1), lake.database, lake.root)
+        try:
+            work(broken)
+            failed = False
+        except RuntimeError:
+            failed = True
+        found = sorted(map(tuple, lake.read(table).collect()))
+        wanted = sorted(map(tuple, new.collect())) if table != "c" else sorted([("u0", 100), ("u0", 103), ("u2", 2), ("u2", 5)])
+        assert found == (before if failed else wanted)
+        if failed:  # running it again gives what one run gives
+            work(lake)
+            assert sorted(map(tuple, lake.read(table).collect())) == wanted
+    assert after < 4 or not failed
+
+
+def test_a_failing_push_is_logged(spark, lake, folder):
+    path = folder(s="k,v\n1,2\n") + "/s.csv"
+    broken = Lake(Breaking(spark, 2), lake.database, lake.root)
+    with pytest.raises(RuntimeError):
+        sync.push(broken, path, "cfg_x", "k", force=True)
+    assert lake.exists(sync.LOG) is False or lake.read(sync.LOG).head().status == "FAILED"
+
+
+def test_updates_never_double_config_rows(spark):
+    config = spark.createDataFrame([("a", "1"), ("b", None)], "k string, f string")
+    twice = spark.createDataFrame([("a", "2"), ("a", "3")], "k string, f string")
+    with pytest.raises(Exception, match="several updates for a"):
+        update_fields(config, twice, "k").collect()
+
+
+def test_surplus_cells_and_bad_bytes_stop_a_read(spark, folder, tmp_path):
+    root = folder(wide="a,b\n1,2\n3,4,LOST\n5\n6,7,\n", many='a,b\n1,"x\ny"\n3,4,LOST\n5\n"6\n",7\n')
+    for name, good in (("wide", {("1", "2"), ("5", None), ("6", "7")}), ("many", {("1", "x\ny"), ("5", None), ("6\n", "7")})):
+        with pytest.raises(Exception, match="LOST"):
+            csv.read_csv(spark, f"{root}/{name}.csv").collect()
+        assert {tuple(r) for r in csv.read_csv(spark, f"{root}/{name}.csv", surplus="reject").collect()} == good
+        kinds = {r.record: r.kind for r in csv.csv_rejects(spark, f"{root}/{name}.csv").collect()}
+        assert kinds["3,4,LOST"] == "surplus" and kinds["5"] == "other width"
+    (tmp_path / "latin.csv").write_bytes("a\nSão\n".encode("latin-1"))
+    with pytest.raises(Exception, match="bytes that are not UTF-8"):
+        csv.read_csv(spark, f"{tmp_path}/latin.csv").collect()
+    assert csv.read_csv(spark, f"{tmp_path}/latin.csv", encoding="ISO-8859-1").head().a == "São"
+    assert csv.read_csv(spark, f"{tmp_path}/latin.csv", bad_bytes="keep").count() == 1
+
+
+def test_hidden_names_are_listed_and_read(spark, tmp_path):
+    for k, name in enumerate(["_a.csv", "b.csv", ".c.csv", "_dir/d.csv", "__MACOSX/e.csv", "f.csv/part-0.csv", "f.csv/_SUCCESS"], 1):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(f"x\n{k}\n")
+    root = str(tmp_path)
+    assert csv.csv_names(spark, root) == [".c.csv", "_a.csv", "_dir/d.csv", "b.csv", "f.csv"]
+    assert {csv.read_csv(spark, f"{root}/{n}").head().x for n in csv.csv_names(spark, root)} == {"1", "2", "3", "4", "6"}
+    assert csv.read_csv(spark, f"{root}/_a.csv").head().x == "1"
+    assert {r.x for r in csv.read_csv(spark, [f"{root}/_a.csv", f"{root}/b.csv"]).collect()} == {"1", "2"}
+
+
+def test_records_over_lines_are_split_over_tasks(spark, folder):
+    rows = [(i, f"line {i}\nnext, \"\"q\"\" {i}" if i % 3 else f"plain {i}") for i in range(4000)]
+    root = folder(big="id,text\n" + "".join(f'{i},"{t}"\n' for i, t in rows))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        df = csv.read_csv(spark, f"{root}/big.csv", position=True)
+        found = [(int(r.id), r.text) for r in df.orderBy(csv.POSITION).collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert found == [(i, t.replace('""', '"')) for i, t in rows]
+
+
+def test_files_of_an_export_are_in_order(spark, lake, tmp_path):
+    rows = spark.range(1000).selectExpr("lpad(id * 7 % 1000, 3, '0') AS k", "id")
+    steps = export._published(lake, export.STAGE_TABLE, lambda: globally_ordered(rows.repartition(5), "k"), f"{tmp_path}/out", rows_per_file=100)
+    assert [work() for _, _, work in steps] == [1000, 1000]
+    files = sorted(p for p in (tmp_path / "out").glob("*/*.parquet"))
+    keys = [k for p in files for k in spark.read.parquet(str(p)).toPandas()["k"]]
+    assert keys == sorted(keys) and len(files) >= 10 and lake.read(export.STAGE_TABLE).count() == 1000
+    steps = export._published(lake, export.STAGE_TABLE, lambda: rows.limit(3), f"{tmp_path}/out")
+    assert [work() for _, _, work in steps] == [3, 3] and spark.read.parquet(f"{tmp_path}/out/*").count() == 3
+
+
+class Elsewhere:
+    """A session on a cluster that names no shared folder."""
+
+    class sparkContext:
+        master = "spark://host:7077"
+
+    class conf:
+        @staticmethod
+        def get(key, default=None):
+            return default
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        scratch_folder(Elsewhere(), "x")
+    assert "/x-" in scratch_folder(spark, "x")
+
+
 def test_a_table_may_be_rewritten_from_itself(spark, lake):
     lake.write("cfg", spark.createDataFrame([("u1", "DRAFT", "x"), ("u2", "DRAFT", None)], "k string, status string, f string"))
     updates = spark.createDataFrame([("u2", "y")], "k string, f string")
@@ -128,7 +252,15 @@ def test_ingest_reports_bad_sources_and_goes_on(spark, lake, folder):
     assert spark.read.parquet(f"{lake.root}/ag/good-20240102.parquet").columns[:2] == ["x", "y"]
     again = ingest.ingest(lake, {"good": f"{root}/good"}, None, codes="good".split())
     assert again.head().status == "SKIPPED"
-    assert ingest.ingest(lake, {"good": f"{root}/good"}, None, codes=["good"], force=True).head().status == "SUCCESS"
+    first = lake.folder(ingest.source_view_name("good"))
+    bad = folder(worse__a="x,y\n1,2,3\n")
+    assert ingest.ingest(lake, {"good": f"{bad}/worse"}, None, codes=["good"], force=True).head().status == "FAILED"
+    assert lake.folder(ingest.source_view_name("good")) == first and lake.read(ingest.source_view_name("good")).count() == 1
+    new = folder(new__a="x,y\n1,2\n3,4\n")
+    assert ingest.ingest(lake, {"good": f"{new}/new"}, None, codes=["good"], force=True).head().status == "SUCCESS"
+    assert lake.folder(ingest.source_view_name("good")) != first and lake.read(ingest.source_view_name("good")).count() == 2
+    statuses = [r.status for r in lake.read(ingest.SOURCE_LOG).where("afs_source_code = 'good'").collect()]
+    assert sorted(statuses) == ["FAILED", "SKIPPED", "SUCCESS", "SUCCESS"]
 
 
 def test_sheet_problems_stop_a_push(spark, lake, folder):

@@ -146,6 +146,17 @@ def table_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.unionByName(spark.createDataFrame(columns, rows.schema))
 
 
+@case("table_problems", """
+    SELECT * FROM (VALUES ('empty', 'empty is empty'), ('odd', 'odd has blank column names at [2]'), ('odd', 'odd repeats column names [''c_name'']'))
+    AS t(kind, issue) WHERE (SELECT count(*) FROM customer) > 0""")
+def table_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard problems of a table without rows, one with unusable columns, and one that is fine."""
+    rows = table(spark, sf_dir, "customer").select("c_name", "c_custkey")
+    odd = rows.select("c_name", F.col("c_name"), F.col("c_custkey").alias(" "))
+    found = [(kind, issue) for kind, df in (("empty", rows.where("c_custkey < 0")), ("odd", odd), ("fine", rows)) for issue in q.table_issues(df, kind)]
+    return spark.createDataFrame(found, "kind string, issue string")
+
+
 @case("missing_inputs", """
     SELECT DISTINCT l_partkey, CASE WHEN l_partkey IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'N' AND l_quantity < 10)
         THEN 'found' ELSE 'missing' END AS state FROM lineitem WHERE l_returnflag = 'R'""")
@@ -157,15 +168,21 @@ def missing_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.unionByName(q.missing_from(expected, existing, "l_partkey").withColumn("state", F.lit("missing")))
 
 
-_WANTED = """SELECT DISTINCT 'src' || CAST(o_custkey AS STRING) AS afs_source_code,
-    CASE WHEN o_orderpriority = '5-LOW' THEN 'unknown' ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END AS published
+# A day as publishers write it, each sort of order in a way of its own; day first only where the day is beyond 12.
+_Y, _M, _D = "CAST(year(o_orderdate) AS STRING)", "CAST(month(o_orderdate) AS STRING)", "CAST(day(o_orderdate) AS STRING)"
+_WANTED = f"""SELECT DISTINCT 'src' || CAST(o_custkey AS STRING) AS afs_source_code, CAST(o_orderdate AS DATE) AS day,
+    CASE WHEN o_orderpriority = '5-LOW' THEN 'unknown' WHEN o_orderpriority = '1-URGENT' AND day(o_orderdate) > 12 THEN {_D} || '/' || {_M} || '/' || {_Y}
+         WHEN o_orderpriority = '1-URGENT' THEN {_M} || '/' || {_D} || '/' || {_Y} || ' 0:00'
+         WHEN o_orderpriority = '2-HIGH' THEN {_Y} || '.' || {_M} || '.' || {_D}
+         WHEN o_orderpriority = '3-MEDIUM' THEN {_M} || '/' || {_D} || '/' || CAST(year(o_orderdate) - 1900 + 1900 AS STRING)
+         ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END AS published
     FROM orders"""
 _STORED = "SELECT 'src' || CAST(o_custkey AS STRING) AS afs_source_code, CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_orderstatus = 'F'"
 
 
 @case("new_versions", f"""
     WITH wanted AS (SELECT DISTINCT afs_source_code, CASE WHEN published = 'unknown' THEN 'run'
-                    ELSE replace(published, '-', '') END AS version FROM ({_WANTED})),
+                    ELSE strftime(day, '%Y%m%d') END AS version FROM ({_WANTED})),
     stored AS (SELECT afs_source_code, strftime(day, '%Y%m%d') AS version FROM ({_STORED}))
     SELECT * FROM wanted ANTI JOIN stored USING (afs_source_code, version)""")
 def new_source_versions(spark: SparkSession, sf_dir: str) -> DataFrame:

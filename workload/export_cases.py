@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from indicatorlake.operators.grid import TAXONOMY, reference_grid
-from indicatorlake.plans import export, stage
+from indicatorlake.plans import export, ingest, stage
+from indicatorlake.plans.views import register_views
 from indicatorlake.session import scratch_folder
 from indicatorlake.sources.tables import Lake, export_files
 
@@ -16,7 +17,7 @@ from . import config_cases, duck
 from .harmonise_cases import view
 from .registry import case
 from .stage_cases import CODE
-from .standins import AREAS, END_YEAR, OBSERVATIONS, START_YEAR, areas, observations, run_sql, shown, table
+from .standins import AREAS, END_YEAR, START_YEAR, UPDATED_AT, areas, raw_source, run_sql, shown
 
 _TWO = ("faostat_qcl", "wb_wdi")
 _RAW = " UNION ALL ".join(
@@ -94,6 +95,24 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(spark.read.parquet(folder))
 
 
+@case("stored_grid", f"""
+    WITH cfg AS ({_CONFIG}), areas AS ({AREAS}),
+    uids AS (SELECT DISTINCT afs_uid FROM cfg WHERE status IN ('REVIEW', 'ACTIVE'))
+    SELECT m49_code AS afs_m49_code, area_name AS afs_area_name, afs_uid, y.y AS afs_year, TRUE AS in_order
+    FROM areas, uids, (SELECT unnest(generate_series({START_YEAR}, {END_YEAR})) AS y) AS y""")
+def stored_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grid as a table; in_order compares every row with the last one before it in its file."""
+    lake = Lake(spark, f"grid_{uuid.uuid4().hex}", scratch_folder(spark, "grid"))
+    lake.write(stage.CONFIG, run_sql(spark, sf_dir, _CONFIG, "customer"))
+    export.build_grid(lake, areas(spark, sf_dir), START_YEAR, END_YEAR)
+    rows = lake.read(export.GRID_TABLE)
+    key = F.struct("afs_m49_code", "afs_uid", "afs_year")
+    inside = Window.partitionBy("file").orderBy("n")
+    numbered = rows.select("*", F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("n"), key.alias("key"))
+    ordered = F.coalesce(F.lag("key").over(inside) <= F.col("key"), F.lit(True))
+    return numbered.select(*rows.columns, ordered.alias("in_order"))
+
+
 _CONFIG_ROWS = [("late", CODE, "afs_year >= 2000", "ACTIVE"), ("area", CODE, "afs_m49_code IN ('003', '007')", "REVIEW"),
                 ("fresh", CODE, "afs_year = 1999", "DRAFT"), ("lost", "no_such_source", "TRUE", "ACTIVE")]
 
@@ -112,33 +131,90 @@ def _exported(spark: SparkSession, sf_dir: str) -> tuple[Lake, str]:
 
 
 _EXPORT_VIEW = f"WITH {duck.source_sql(CODE)}, v AS ({duck.view_sql(CODE)})"
+_PICKED = f"""picked AS (SELECT 'late' AS afs_uid, * FROM v WHERE afs_year >= 2000 UNION ALL
+        SELECT 'area', * FROM v WHERE afs_m49_code IN ('003', '007') AND afs_year >= {START_YEAR} UNION ALL
+        SELECT 'fresh', * FROM v WHERE afs_year = 1999),
+    ref AS (SELECT m49_code AS afs_m49_code, area_name AS afs_area_name, u AS afs_uid, y AS afs_year
+        FROM areas, (VALUES ('late'), ('area'), ('fresh'), ('lost')) AS t(u), (SELECT unnest(generate_series({START_YEAR}, {END_YEAR})) AS y))"""
+_OBSERVED = ["afs_iso3c", "area_ref", "area_name", "afs_value", "value", "afs_unit", "afs_flag", "GEO", "TIME_PERIOD",
+             "SERIES", "DIMS", "ATTRS", "afs_source_code", "afs_source_updated_at", "afs_source_ingested_at"]
+
 
+def _select(prefix: str) -> str:
+    return ", ".join(f'{prefix}."{c}"' for c in _OBSERVED)
 
+
+# fresh was a DRAFT when the tables were built and is REVIEW from then on, so its rows and cells count.
 @case("published_files", f"""
-    {_EXPORT_VIEW}, picked AS (SELECT 'late' AS u, * FROM v WHERE afs_year >= 2000 UNION ALL
-        SELECT 'area', * FROM v WHERE afs_m49_code IN ('003', '007') AND afs_year >= {START_YEAR} UNION ALL
-        SELECT 'fresh', * FROM v WHERE afs_year = 1999),
-    filled AS (SELECT u, afs_m49_code, afs_year, afs_year <= {END_YEAR} AND afs_m49_code IS NOT NULL AS scoped, count(*) AS n FROM picked GROUP BY ALL),
-    cells AS (SELECT u, m49_code, y FROM areas, (VALUES ('late'), ('area'), ('fresh'), ('lost')) AS t(u),
-              (SELECT unnest(generate_series({START_YEAR}, {END_YEAR})) AS y))
-    SELECT 'filled' AS what, u AS afs_uid, CAST(sum(n) AS BIGINT) AS n_rows FROM filled GROUP BY u
-    UNION ALL SELECT 'empty', u, count(*) FROM cells WHERE (u, m49_code, y) NOT IN (SELECT u, afs_m49_code, afs_year FROM filled WHERE scoped) GROUP BY u
-    UNION ALL SELECT 'raw', NULL, count(*) FROM v WHERE afs_year >= {START_YEAR}""")
+    {_EXPORT_VIEW}, {_PICKED},
+    joined AS (SELECT r.afs_m49_code, r.afs_uid, r.afs_year, r.afs_area_name, {_select("p")}
+          FROM ref AS r LEFT JOIN picked AS p USING (afs_m49_code, afs_uid, afs_year)
+        UNION ALL SELECT p.afs_m49_code, p.afs_uid, p.afs_year, NULL, {_select("p")}
+          FROM picked AS p LEFT JOIN ref AS r USING (afs_m49_code, afs_uid, afs_year) WHERE r.afs_year IS NULL)
+    SELECT joined.*, {", ".join(f"'{c} ' || afs_uid AS {c}" for c in TAXONOMY)} FROM joined""")
 def published_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both workflows from view to files, read back from the files."""
+    """Both workflows from view to files; the rows of the gap-filled one, read back from its files."""
+    _, folder = _exported(spark, sf_dir)
+    return shown(spark.read.parquet(f"{folder}/{export.STAGE_TABLE}/*"))
+
+
+@case("published_raw_files", f"{_EXPORT_VIEW} SELECT * FROM v WHERE afs_year >= {START_YEAR}")
+def published_raw_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, folder = _exported(spark, sf_dir)
-    filled = spark.read.parquet(f"{folder}/{export.STAGE_TABLE}")
-    what = F.when(F.col("afs_source_code").isNull(), F.lit("empty")).otherwise(F.lit("filled"))
-    counts = filled.groupBy(what.alias("what"), "afs_uid").agg(F.count(F.lit(1)).alias("n_rows"))
-    raw = spark.read.parquet(f"{folder}/{export.SOURCE_TABLE}").agg(F.count(F.lit(1)).alias("n_rows"))
-    return counts.unionByName(raw.select(F.lit("raw").alias("what"), F.lit(None).cast("string").alias("afs_uid"), "n_rows"))
+    return shown(spark.read.parquet(f"{folder}/{export.SOURCE_TABLE}/*"))
 
 
 @case("export_log", f"""
-    {_EXPORT_VIEW} SELECT 'raw' AS run_id, 'BUILD_SRC_TABLE' AS step, 'SUCCESS' AS job_status, 'faostat_qcl' AS inputs,
-        count(*) AS rows_affected FROM v WHERE afs_year >= {START_YEAR}
-    UNION ALL SELECT 'raw', 'EXPORT_SRC_FILES', 'SUCCESS', 'faostat_qcl', count(*) FROM v WHERE afs_year >= {START_YEAR}""")
+    {_EXPORT_VIEW}, {_PICKED}, raw_rows AS (SELECT count(*) AS n FROM v WHERE afs_year >= {START_YEAR}), grid AS (SELECT count(*) AS n FROM ref),
+    full_rows AS (SELECT count(*) AS n FROM picked FULL JOIN ref USING (afs_m49_code, afs_uid, afs_year))
+    SELECT 'raw' AS run_id, 'CHECK_INPUTS' AS step, 'src_no_such_source_vw' AS object_name, 'SKIPPED' AS job_status, NULL AS rows_affected
+    UNION ALL SELECT 'raw', 'BUILD_SRC_TABLE', 'exp_src_long_tbl', 'SUCCESS', n FROM raw_rows
+    UNION ALL SELECT 'raw', 'EXPORT_SRC_FILES', 'exp_src_long_tbl', 'SUCCESS', n FROM raw_rows
+    UNION ALL SELECT 'filled', 'CHECK_INPUTS', 'stg_no_such_source_tbl', 'SKIPPED', NULL
+    UNION ALL SELECT 'filled', 'BUILD_REF_TABLE', 'exp_ref_area_indicator_year', 'SUCCESS', n FROM grid
+    UNION ALL SELECT 'filled', 'BUILD_STG_TABLE', 'exp_stg_long_tbl', 'SUCCESS', n FROM full_rows
+    UNION ALL SELECT 'filled', 'EXPORT_STG_FILES', 'exp_stg_long_tbl', 'SUCCESS', n FROM full_rows""")
 def export_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake, _ = _exported(spark, sf_dir)
-    log = lake.read(export.LOG).where("run_id = 'raw'")
-    return log.select("run_id", "step", "job_status", F.array_join("source_stg_tbls", ",").alias("inputs"), "rows_affected")
+    name = F.element_at(F.split("object_name", "/"), -1)
+    return lake.read(export.LOG).select("run_id", "step", name.alias("object_name"), "job_status", "rows_affected")
+
+
+# Two days ----------------------------------------------------------------
+
+def _landed(spark: SparkSession, sf_dir: str, lake: Lake) -> str:
+    raw = raw_source(spark, sf_dir, CODE).drop("afs_source_code", "afs_source_updated_at", "afs_source_ingested_at")
+    raw.write.options(header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{lake.root}/in/a.csv")
+    return f"{lake.root}/in"
+
+
+@case("second_run", f"""
+    {_EXPORT_VIEW} SELECT afs_m49_code, afs_iso3c, nullif(area_ref, '') AS area_ref, area_name, afs_year, afs_value, value, afs_unit, afs_flag, "GEO", "SERIES", 'late' AS afs_uid,
+        'SKIPPED' AS second FROM v WHERE afs_year >= 2000""")
+def second_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source is landed; on the next day, without the first session's views, it is skipped, and the rest of the work finds it all the same."""
+    lake = Lake(spark, f"days_{uuid.uuid4().hex}", scratch_folder(spark, "days"))
+    folder = _landed(spark, sf_dir, lake)
+    lake.write(ingest.SOURCE_CONFIG, spark.createDataFrame(
+        [(CODE, "ag", UPDATED_AT, None)], "afs_source_code string, agency string, afs_source_updated_at string, afs_source_ingested_at string"))
+    lake.write(stage.CONFIG, spark.createDataFrame(
+        [("late", CODE, "afs_year >= 2000", "DRAFT", *[c for c in TAXONOMY])],
+        ", ".join(f"{c} string" for c in ("afs_uid", "afs_source_code", "filter_string", "status", *TAXONOMY))))
+    ingest.ingest(lake, {CODE: folder}, None)
+    spark.catalog.dropTempView(ingest.source_view_name(CODE))
+    spark.catalog.dropTempView(stage.view_name(CODE))
+    second = ingest.ingest(lake, {CODE: folder}, None).head().status
+    made, _ = register_views(areas(spark, sf_dir), [CODE], lake=lake)
+    stage.update(lake, made)
+    export.run_gap_filled_export(lake, areas(spark, sf_dir), f"{lake.root}/out", START_YEAR, END_YEAR)
+    rows = lake.read(export.STAGE_TABLE).where("afs_source_code IS NOT NULL")
+    return rows.select("afs_m49_code", "afs_iso3c", "area_ref", "area_name", "afs_year", "afs_value", "value", "afs_unit", "afs_flag", "GEO", "SERIES",
+                       "afs_uid", F.lit(second).alias("second"))
+
+
+@case("default_grid_years", f"""
+    SELECT m49_code AS afs_m49_code, y AS afs_year FROM ({AREAS}), (SELECT unnest(generate_series(2010, CAST(year(current_date) AS BIGINT))) AS y)""")
+def default_grid_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without an end year the grid ends with this year."""
+    uids = spark.createDataFrame([("u",)], "afs_uid string")
+    return reference_grid(areas(spark, sf_dir), uids, 2010).select("afs_m49_code", "afs_year")

@@ -14,6 +14,7 @@ from indicatorlake.operators.reshape import columns_to_rows, diagonal_union, yea
 from indicatorlake.plans import ingest, runlog
 from indicatorlake.session import scratch_folder
 from indicatorlake.sources import recipes
+from indicatorlake.sources.csv import csv_rejects, read_csv
 from indicatorlake.sources.naming import LINEAGE, source_table
 from indicatorlake.sources.tables import Lake
 
@@ -140,6 +141,43 @@ def diagonal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diagonal_union([documents, table(spark, sf_dir, "pages").withColumnRenamed("page_id", "id")])
 
 
+# Rows of another width than the header -------------------------------------
+
+_RAGGED = """
+    SELECT l_orderkey, l_linenumber, concat_ws(',', CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING),
+        CASE WHEN l_linenumber = 1 THEN '"cut, ' || chr(10) || 'here"' WHEN l_orderkey % 5 = 1 THEN NULL ELSE l_returnflag END,
+        CASE WHEN l_orderkey % 11 = 0 THEN 'lost' WHEN l_orderkey % 7 = 0 THEN '' END) AS line,
+        CASE WHEN l_orderkey % 11 = 0 AND (l_linenumber = 1 OR l_orderkey % 5 <> 1) THEN 'surplus'
+             WHEN l_linenumber <> 1 AND l_orderkey % 5 = 1 THEN CASE WHEN l_orderkey % 7 = 0 OR l_orderkey % 11 = 0 THEN NULL ELSE 'other width' END
+             WHEN l_orderkey % 7 = 0 THEN 'other width' END AS kind
+    FROM lineitem
+"""
+
+
+def _ragged(spark: SparkSession, sf_dir: str) -> str:
+    folder = f"{scratch_folder(spark, 'ragged')}/r.csv"
+    lines = run_sql(spark, sf_dir, _RAGGED, "lineitem").select("line").repartition(3)
+    # three part files, each with the header, as Spark's own writer has it
+    parts = lines.groupBy(F.spark_partition_id()).agg(F.array_join(F.collect_list("line"), "\n").alias("l"))
+    parts.select(F.concat_ws("\n", F.lit("order,line,flag"), "l").alias("value")).coalesce(1).repartition(3).write.text(folder)
+    return folder
+
+
+@case("csv_rejects", f"SELECT kind, line AS record FROM ({_RAGGED}) WHERE kind IS NOT NULL")
+def csv_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with content beyond the header, and rows that are shorter or end in an empty surplus cell."""
+    return csv_rejects(spark, _ragged(spark, sf_dir)).select("kind", "record")
+
+
+@case("csv_kept_rows", f"""
+    SELECT CAST(l_orderkey AS VARCHAR) AS "order", CAST(l_linenumber AS VARCHAR) AS line, count(*) AS n FROM ({_RAGGED})
+    WHERE kind IS DISTINCT FROM 'surplus' GROUP BY ALL""")
+def csv_kept_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With surplus rows left to the reject table, all others are read, those of records over several lines as well."""
+    kept = read_csv(spark, _ragged(spark, sf_dir), surplus="reject")
+    return kept.groupBy("order", "line").agg(F.count(F.lit(1)).alias("n"))
+
+
 # Names to codes ------------------------------------------------------------
 
 _NAMES = """
@@ -305,7 +343,8 @@ def recipe_wide_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @case("recipe_many_files", f"""
     {_AREA_NAMES}, rows AS (SELECT name, 'a' AS sex, CAST(c_custkey AS VARCHAR) AS v, NULL AS note FROM named WHERE c_acctbal >= 0
-        UNION ALL SELECT name, NULL, CAST(c_custkey AS VARCHAR), 'b' FROM named WHERE c_acctbal < 0)
+        UNION ALL SELECT name, NULL, CAST(c_custkey AS VARCHAR), 'b' FROM named WHERE c_acctbal < 0
+        UNION ALL SELECT n_name, 'h', CAST(n_nationkey AS VARCHAR), NULL FROM nation)
     SELECT name AS ref_area_label, sex AS sex_label, v AS obs_value, note AS note_source_label,
            {_AREA_CODE} AS ref_area_m49code, {LINEAGE_SQL} FROM rows""")
 def recipe_many_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -315,6 +354,8 @@ def recipe_many_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     _land(rich.selectExpr("name", "'a'", "c_custkey"), f"{folder}/a/one.csv", "﻿ref_area.label", "sex.label", "obs_value ")
     _land(poor.selectExpr("c_custkey", "'b'", "name"), f"{folder}/two.csv", "obs_value", "note_source.label", "ref_area.label")
     _land(table(spark, sf_dir, "nation"), f"{folder}/__MACOSX/three.csv", "ref_area.label", "n", "r")
+    hidden = table(spark, sf_dir, "nation").selectExpr("n_name", "'h'", "n_nationkey")
+    _land(hidden, f"{folder}/_hidden.csv", "ref_area.label", "sex.label", "obs_value")
     _land(table(spark, sf_dir, "nation"), f"{folder}/notes.csv")
     names = recipes.AreaNames.standard(areas(spark, sf_dir))
     return source_table(recipes.recipe_for("ilostat_emp_dwap_rt")(spark, folder, names), LINEAGE_VALUES)
@@ -322,7 +363,7 @@ def recipe_many_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Ingestion -----------------------------------------------------------------
 
-def _ingested(spark: SparkSession, sf_dir: str) -> tuple[Lake, str, DataFrame]:
+def _ingested(spark: SparkSession, sf_dir: str) -> tuple[Lake, list[str], DataFrame]:
     """Two sources landed, then asked for again together with an unknown one."""
     root = scratch_folder(spark, "ingest")
     lake = Lake(spark, f"ingest_{uuid.uuid4().hex}", root)
@@ -335,27 +376,28 @@ def _ingested(spark: SparkSession, sf_dir: str) -> tuple[Lake, str, DataFrame]:
     folders = {codes[0]: f"{root}/in/orders", codes[1]: f"{root}/in/part"}
     first = ingest.ingest(lake, folders, None)
     again = ingest.ingest(lake, folders, None, codes=[codes[0], "nowhere", codes[0]])
-    return lake, codes[0], first.unionByName(again)
+    return lake, codes, first.unionByName(again)
 
 
 @case("source_ingest", f"""
-    SELECT CAST(o_orderkey AS VARCHAR) AS order_key, o_orderpriority AS priority, 'orders' AS source,
-           '{UPDATED_AT}' AS afs_source_updated_at, TRUE AS dated FROM orders""")
+    SELECT CAST(o_orderkey AS VARCHAR) AS key, o_orderpriority AS label, 'orders' AS source, '{UPDATED_AT}' AS afs_source_updated_at, TRUE AS dated FROM orders
+    UNION ALL SELECT CAST(p_partkey AS VARCHAR), p_name, 'part', '2023-02-03', TRUE FROM part""")
 def source_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake, code, _ = _ingested(spark, sf_dir)
-    stored = spark.table(ingest.source_view_name(code))
-    return stored.select(
-        "order_key", "priority", F.substring_index("afs_source_code", "_", 1).alias("source"),
+    lake, codes, _ = _ingested(spark, sf_dir)
+    frames = [lake.read(ingest.source_view_name(code)) for code in codes]
+    named = [df.toDF("key", "label", *df.columns[2:]) for df in frames]
+    return named[0].unionByName(named[1]).select(
+        "key", "label", F.substring_index("afs_source_code", "_", 1).alias("source"),
         "afs_source_updated_at", F.col("afs_source_ingested_at").try_cast("timestamp").isNotNull().alias("dated"))
 
 
 @case("source_ingest_log", """
-    SELECT * FROM (VALUES ('orders', 'SUCCESS', TRUE, TRUE), ('part', 'SUCCESS', TRUE, TRUE), ('orders', 'SKIPPED', FALSE, TRUE))
-    AS t(source, status, stored, configured)""")
+    SELECT * FROM (VALUES ('orders', 'SUCCESS', TRUE, TRUE), ('part', 'SUCCESS', TRUE, TRUE), ('orders', 'SKIPPED', TRUE, TRUE),
+        ('nowhere', 'FAILED', FALSE, FALSE)) AS t(source, status, stored, configured)""")
 def source_ingest_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake, _, _ = _ingested(spark, sf_dir)
     written = lake.read(ingest.SOURCE_CONFIG).select("afs_source_code", F.col("afs_source_ingested_at").alias("at"))
     log = lake.read(ingest.SOURCE_LOG).join(written, "afs_source_code", "left")
     return log.select(
         F.substring_index("afs_source_code", "_", 1).alias("source"), "status",
-        (F.col("gcs_uri") != "").alias("stored"), F.col("at").isNotNull().alias("configured"))
+        (F.coalesce("uri", F.lit("")) != "").alias("stored"), F.col("at").isNotNull().alias("configured"))
