@@ -238,11 +238,13 @@ def repeated_windows(rows: DataFrame, texts: DataFrame, window: int = WINDOW, an
        statistics of its contexts.
     """
     seen = _contexts(rows, window, anchor)
-    twice = _contexts(rows, window, anchor).groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # stored, so that the join below is one of plain shuffles and a hot anchor can be split
+    twice = written(_contexts(rows, window, anchor).groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "anchors")
     met = written(seen.join(twice, "anchor"), "contexts")
     contents = written(met.groupBy("anchor", "content").agg(
         F.count("*").alias("times"), F.min(F.struct("key", "mark", "start", "size")).alias("place")), "contents")
-    anchors = contents.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("times").alias("fewest")).where("kinds > 1 and fewest = 1")
+    anchors = written(contents.groupBy("anchor").agg(
+        F.count("*").alias("kinds"), F.min("times").alias("fewest")).where("kinds > 1 and fewest = 1"), "mixed")
     reference = written(contents.join(anchors, "anchor").select(
         "place.*", "anchor", "times", (F.col("kinds") > CROWDED).alias("crowded")), "reference")
     asked = reference.groupBy("key", "mark").agg(F.collect_list(F.struct("start", "size", "anchor", "times", "crowded")).alias("asked"))
@@ -278,7 +280,8 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     rows = _keyed(docs, id_column, text)
     texts = rows.repartition("key", "mark")
     found = repeated_windows(rows, texts, window, anchor)
-    spans = found.groupBy("key", "mark").agg(F.collect_list(F.struct("start", "size")).alias("spans"))
+    # a set, so that equal rows do not repeat their spans; it holds as many as the text has contexts
+    spans = found.groupBy("key", "mark").agg(F.collect_set(F.struct("start", "size")).alias("spans"))
     joined = texts.join(spans, ["key", "mark"], "left").select("id", "text", "spans")
     kind = docs.schema[id_column].dataType.simpleString()
 
