@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import shutil
 import tempfile
@@ -35,6 +36,7 @@ def ship(spark: SparkSession) -> None:
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     folder = tempfile.mkdtemp(prefix="package-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     name = shutil.make_archive(
         os.path.join(folder, "indicatorlake-code"), "zip", os.path.dirname(package), os.path.basename(package))
     context.addPyFile(name)
@@ -171,8 +173,9 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """For every node of the edges the smallest node it is connected with: (node, root).
 
     Alternating large-star and small-star steps; each is an aggregation with
-    map-side reduction and an equi-join, and every round is written to the shared
-    folder.  Nothing about the graph reaches the driver but a count and a checksum.
+    map-side reduction and an equi-join of stored tables, so that the edges of a
+    node with very many of them can be split over tasks, and a lost executor costs
+    one step.  Nothing about the graph reaches the driver but a count and a checksum.
     An empty edge table gives an empty result.
     """
     links = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
@@ -180,9 +183,9 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     state = None
     while True:
         both = links.unionAll(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        lower = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        large = written(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v"), "large")
+        lower = written(large.groupBy("u").agg(F.min("v").alias("m")), "lower")
         small = large.join(lower, "u").select(F.explode(F.array(
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
         links = written(small.select("e.u", "e.v").where("u <> v").distinct(), "links")

@@ -196,6 +196,7 @@ def groups(docs: DataFrame, keys: list[str], text: str = "text", id_column: str
     roots = components(links(distinct.select("print")), "a", "b")
     placed = written(
         distinct.join(roots, distinct["print"] == roots["node"], "left").select("print", "first", F.coalesce("root", "print").alias("root")), "placed")
-    smallest = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = placed.join(smallest, "root").select("print", "root", "component_id")
+    # stored sides, so that the rows of a large group or a common fingerprint can be split over tasks
+    smallest = written(placed.groupBy("root").agg(F.min("first").alias("component_id")), "smallest")
+    named = written(placed.join(smallest, "root").select("print", "root", "component_id"), "named")
     return prints.join(named, "print").select(*keys, "print", "root", "component_id")
