@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import sentencepiece
 from pyspark.sql import functions as F
 
 from indicatorlake.llm import leaks, licenses, pii, quality, quotes, repeats, shards, simhash, subwords, tokens
@@ -235,7 +236,7 @@ def best_score(model, marked):
 
 def test_subwords(spark, make_docs, sample):
     model = subwords.pieces(PIECE)
-    model.ids = {t: i for i, t in model.texts.items()}
+    model.ids = {t: i for i, t in enumerate(model.texts) if t}
     coded = subwords.encode(make_docs(sample), ["doc_id"], PIECE)
     found = coded.collect()
     texts = Counter((i, t) for i, t in sample)
@@ -248,6 +249,10 @@ def test_subwords(spark, make_docs, sample):
             continue
         value = sum(model.scores.get(i, model.byte_score) for i in r.ids)
         assert value == pytest.approx(best_score(model, "▁" + text.replace(" ", "▁")))
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECE)
+    for r in [r for r in found if r.ids and "\x00" not in (by_id[r.doc_id] or "")][:60]:
+        if r.doc_id is not None and r.doc_id != 6:
+            assert library.decode(list(r.ids)) == by_id[r.doc_id]
     assert subwords.encode(make_docs([]), ["doc_id"], PIECE).count() == 0
 
 
