@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import is_blank, publish_date, source_version
 from ..sources.config import keyed_rows, update_fields
 from ..sources.naming import LINEAGE, source_table
-from ..sources.recipes import AreaNames, passed_over, recipe_for
+from ..sources.recipes import AreaNames, names_without_code, passed_over, recipe_for, repeated_lookup_keys
 from ..sources.tables import Lake, parquet_exists, version_path
 from . import runlog
 
@@ -55,12 +55,13 @@ def ingest_source(lake: Lake, row: dict, folder: str, names: AreaNames | None, f
                 lake.publish(table, path)
             notes.append(f"version is stored: {path}")
             return {**entry, "status": "SKIPPED", "uri": lake.folder(table), "table_name": table, "message": "; ".join(notes)}
-        notes += passed_over(lake.spark, code, folder)
+        notes += passed_over(lake.spark, code, folder) + repeated_lookup_keys(lake.spark, code, folder)
         lineage = dict(zip(LINEAGE, (code, updated, started)))
         rows = source_table(recipe_for(code)(lake.spark, folder, names), lineage)
         target = path if not stored else path.removesuffix(".parquet") + f"-{uuid.uuid4().hex}.parquet"
         rows.write.mode("errorifexists" if stored else "overwrite").parquet(target)
         lake.publish(table, target)
+        notes += names_without_code(lake.read(table), code)
         return {**entry, "status": "SUCCESS", "afs_source_ingested_at": started, "uri": target, "table_name": table,
                 "message": "; ".join(notes)}
     except Exception as error:  # one bad source must not stop the others

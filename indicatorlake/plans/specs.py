@@ -101,6 +101,7 @@ def _world_bank(dims: str, attrs: str, base_period: str = "") -> ViewSpec:
     )
 
 
+# Published key and column names.
 AQUASTAT = ViewSpec(
     area="ref_area", area_name="area", year=("plain", "time_period"), value="obs_value",
     unit="unit_measure_code", flag="obs_status",
@@ -111,6 +112,7 @@ AQUASTAT = ViewSpec(
                "obs_status observation_status unit_measure_code unit_measure unit_mult unit_multiplier"),
 )
 
+# Published key and column names.
 FOREST_CHANGE = replace(
     AQUASTAT, year=("range_end", "time_range"),
     renames={"variable": "variable_code", "variable_1": "variable_label",
@@ -131,6 +133,7 @@ def _fishstat(series: str, dims: str) -> ViewSpec:
     )
 
 
+# Published key and column names.
 ILOSTAT = ViewSpec(
     area="ref_area_m49code", area_name="ref_area_label", year=("leading", "time"), value="obs_value",
     flag="obs_status_label",
@@ -139,6 +142,7 @@ ILOSTAT = ViewSpec(
                "obs_status_label note_classif_label note_indicator_label note_source_label"),
 )
 
+# Published key and column names.
 SDG_DIMENSIONS = """
 age sex location level_status name_of_international_agreement education_level type_of_product
 type_of_facilities name_of_international_institution type_of_occupation tariff_regime_status
@@ -165,6 +169,7 @@ SDG = ViewSpec(
                "observationid observation_status~"),
 )
 
+# Published key and column names.
 AGINCENTIVES = ViewSpec(
     area="country_code", area_name="listname_en", area_rule="iso3",
     measures=("support_usd", "relevantvalueproduction", "nra"),

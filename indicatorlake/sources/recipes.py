@@ -13,11 +13,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import strip_dot_zero
+from ..functions import is_blank, strip_dot_zero
 from ..operators.areas import alias_table, name_codes, region_table
-from ..operators.lookup import first_per_key, lookup_join
+from ..operators.lookup import duplicate_keys, first_per_key, lookup_join
 from ..operators.reshape import columns_to_rows, diagonal_union, quoted, years_to_rows
 from .csv import POSITION, all_csvs, csv_by_name, csv_header, csv_names, find_long_table, long_table_csv, named_csv, read_csv
+from .naming import slug
 
 
 @dataclass(frozen=True)
@@ -202,6 +203,40 @@ def passed_over(spark: SparkSession, source_code: str, folder: str) -> list[str]
     return []
 
 
+# Lookup files of each source and their keys; columns of the finished table that hold area names and codes.
+LOOKUPS = {
+    "wb_wdi": [(WIDE_FILES["series"], ["Series Code"]), (WIDE_FILES["country"], ["CountryCode", "SeriesCode"]),
+               (WIDE_FILES["time"], ["SeriesCode", "Year"]), (WIDE_FILES["footnote"], ["CountryCode", "SeriesCode", "Year"])],
+    "fao_fishstat_globalproduction": [(PRODUCTION_SPECIES, ["SPECIES"]), (PRODUCTION_WATER, ["WATER_AREA"])],
+    "fao_fishstat_processed": [(PROCESSED_PRODUCT, ["PRODUCT"])],
+}
+NAMED = {wide_with_names: (FOOTPRINT_AREA, FOOTPRINT_CODE), many_files_with_names: (LABOUR_AREA, LABOUR_CODE)}
+NAMES_IN_LOG = 20
+
+
+def repeated_lookup_keys(spark: SparkSession, source_code: str, folder: str) -> list[str]:
+    """Lookup files in which a key has several rows, of which only the first counts, for the log."""
+    out = []
+    for file, keys in LOOKUPS.get(source_code, []):
+        n = duplicate_keys(read_csv(spark, csv_by_name(spark, folder, file), require=keys), keys).count()
+        if n:
+            out.append(f"{file}: {n} keys have several rows, the first counts")
+    return out
+
+
+def names_without_code(table: DataFrame, source_code: str) -> list[str]:
+    """Area names of a finished source table that got no code, for the log: how many, and the first of them."""
+    if recipe_for(source_code) not in NAMED:
+        return []
+    name, code = (slug(c) for c in NAMED[recipe_for(source_code)])
+    lost = table.where(F.col(code).isNull() & ~is_blank(F.col(name))).select(name).distinct()
+    first = [r[0] for r in lost.orderBy(name).limit(NAMES_IN_LOG + 1).collect()]
+    if not first:
+        return []
+    more = f" and {lost.count() - NAMES_IN_LOG} more" if len(first) > NAMES_IN_LOG else ""
+    return [f"names without a code: {', '.join(first[:NAMES_IN_LOG])}{more}"]
+
+
 RECIPES: dict[str, Recipe] = {
     "wb_wdi": wide_with_lookups,
     "agincentives": codes_without_dot_zero,

@@ -263,6 +263,21 @@ def test_ingest_reports_bad_sources_and_goes_on(spark, lake, folder):
     assert sorted(statuses) == ["FAILED", "SKIPPED", "SUCCESS", "SUCCESS"]
 
 
+def test_ingest_says_what_recipes_leave_out(spark, lake, folder):
+    root = folder(ilo__a="ref_area.label,v\nKenya,1\nNowhere,2\n", ilo__b="x\n1\n",
+                  **{"fish__AQUATIC_PROCESSED_PRODUCTION_raw_data (without aggregates)": "PRODUCT,v\nP1,1\n",
+                     "fish__AQUATIC_PROCESSED_PRODUCTION_PRODUCT_ATTRIBUTES": "PRODUCT,n\nP1,a\nP1,b\nP2,c\n"})
+    rows = [("ilostat_emp_dwap_rt", "ag", "some day", None), ("fao_fishstat_processed", "ag", "2024-01-02", None)]
+    lake.write(ingest.SOURCE_CONFIG, spark.createDataFrame(
+        rows, "afs_source_code string, agency string, afs_source_updated_at string, afs_source_ingested_at string"))
+    known = spark.createDataFrame([("404", "KEN", "Kenya")], "m49_code string, iso3c string, area_name string")
+    folders = {"ilostat_emp_dwap_rt": f"{root}/ilo", "fao_fishstat_processed": f"{root}/fish"}
+    log = {r.afs_source_code: r.message for r in ingest.ingest(lake, folders, recipes.AreaNames.standard(known)).collect()}
+    assert "publish date not understood: some day" in log["ilostat_emp_dwap_rt"]
+    assert "b.csv" in log["ilostat_emp_dwap_rt"] and "names without a code: Nowhere" in log["ilostat_emp_dwap_rt"]
+    assert "1 keys have several rows" in log["fao_fishstat_processed"]
+
+
 def test_sheet_problems_stop_a_push(spark, lake, folder):
     root = folder(ok="k,v\n007,1\n", dup="k,k\n1,2\n")
     assert sync.push(lake, f"{root}/ok.csv", "cfg", "k") == 1
