@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from indicatorlake.session import written
 
 #: Bytes of text that one round of array work handles; a longer single text is a round of its own.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 #: Base of the rolling hashes, odd, so that it has an inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
 
@@ -60,6 +60,7 @@ def chunks(batch: pa.RecordBatch, text: str = "text", size: int = CHUNK_BYTES) -
         high = max(low + 1, int(np.searchsorted(ends, before + size, "right")))
         yield batch.slice(low, high - low)
         low = high
+    pa.default_memory_pool().release_unused()  # a worker that waits for its next task holds no old batches
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
