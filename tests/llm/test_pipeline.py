@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 
 import public_tokenizers
@@ -73,3 +74,37 @@ def test_rows_equal_a_plain_version(spark):
         assert r.n_pieces == len(r.ids) and r.restored
     masked = "".join(model.decode(r.ids) for r in found)
     assert "[EMAIL]" in masked and not re.search(brute.PII["email"], masked)
+
+
+def shingles(text):
+    w = [bytes(c + 32 if 65 <= c <= 90 else c for c in x.encode()) for x in brute.words(text)]
+    return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+
+
+def alike(a, b):
+    return a == b or 5 * len(a & b) >= 4 * len(a | b)
+
+
+def test_near_copies_of_four_fifths_of_their_shingles_are_linked(spark, make_docs):
+    rng = random.Random(12)
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    for family in range(12):
+        base = [f"f{family}w{rng.randrange(500)}" for _ in range(rng.choice([40, 150, 400]))]
+        for _ in range(12):
+            words = list(base)
+            for at in rng.sample(range(len(words)), rng.randrange(1 + len(words) // 30)):
+                words[at] = f"new{rng.randrange(99999)}"
+            docs.append((10000 + len(docs), " ".join(words)))
+    docs += [(20000 + k, t) for k, t in enumerate(["a b c", "A  b c", "a b", "", None, "a b c d e", "a b c d e f"])]
+    sets = [shingles(t) for _, t in docs]
+    labels = list(range(len(docs)))
+    pairs = 0
+    for k in range(len(docs)):
+        for j in range(k):
+            if alike(sets[k], sets[j]):
+                pairs += bin(brute.fingerprint(docs[k][1]) ^ brute.fingerprint(docs[j][1])).count("1") > 2
+                old, new = labels[k], labels[j]
+                labels = [min(old, new) if x in (old, new) else x for x in labels]
+    assert pairs > 50  # beyond the two bits of op7
+    kept = [r.doc_id for r in pipeline.drop_near_copies(spark, make_docs(docs), SF).collect()]
+    assert sorted(kept) == sorted(docs[x][0] for x in set(labels))
