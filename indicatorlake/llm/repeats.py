@@ -21,7 +21,7 @@ WINDOW = 35
 ANCHOR = 16
 #: Contexts a shard holds on average.
 SHARD_CONTEXTS = 2000
-#: An anchor with more different contexts than this is routed window by window.
+#: The windows of an anchor with more different contexts than this are counted by content.
 CROWDED = 512
 
 
@@ -158,41 +158,44 @@ def _cut_out(texts: DataFrame, window: int) -> DataFrame:
                 index = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - size, size) + np.repeat(start, size)
                 rows = pa.array(owner)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("key").take(rows), part.column("mark").take(rows), *(flat.field(n) for n in ("start", "anchor", "times", "crowded")),
+                    [part.column("key").take(rows), part.column("mark").take(rows), *(flat.field(n) for n in ("start", "anchor", "times")),
                      pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(hashes[index]))],
-                    ["key", "mark", "start", "anchor", "times", "crowded", "words"])
+                    ["key", "mark", "start", "anchor", "times", "words"])
 
-    return texts.mapInArrow(run, "key long, mark long, start int, anchor long, times long, crowded boolean, words array<long>")
+    return texts.mapInArrow(run, "key long, mark long, start int, anchor long, times long, words array<long>")
 
 
-def _routed(contexts: DataFrame, shards: int, window: int) -> DataFrame:
-    """Contexts with the shard of their anchor; those of crowded anchors fall apart into windows, each dealt by its own hash."""
-
-    names = ["key", "mark", "start", "times", "words", "shard"]
+def _windows(texts: DataFrame, window: int) -> DataFrame:
+    """The hash of every window of the asked contexts of every text, with its place and how often its context occurs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in (batch.slice(k, 512) for k in range(0, batch.num_rows, 512)):
-                crowded = part.column("crowded").to_numpy(zero_copy_only=False).astype(bool)
-                plain = part.filter(pa.array(~crowded))
-                anchors = plain.column("anchor").to_numpy().view(np.uint64)
-                yield plain.select(names[:-1]).append_column("shard", pa.array((mixed(anchors) % np.uint64(shards)).astype(np.int64)))
-                full = part.filter(pa.array(crowded))
-                if not full.num_rows:
-                    continue
-                words = full.column("words")
-                flat = words.flatten().to_numpy()
-                counts = pc.list_value_length(words).to_numpy() - window + 1
-                rows = np.repeat(np.arange(full.num_rows), counts)
-                offset = np.arange(len(rows)) - np.repeat(np.cumsum(counts) - counts, counts)
-                at = offset + np.repeat(np.cumsum(counts + window - 1) - counts - window + 1, counts)
-                cut = flat[at[:, None] + np.arange(window)]
-                keys = windows(flat.view(np.uint64), window)[at]
-                taken = full.take(pa.array(rows))
+            for part in chunks(batch):
+                words = words_of(part.column("text"))
+                hashes = windows(words.hashes(), window).view(np.int64)
+                asked = part.column("asked")
+                owner = np.repeat(np.arange(part.num_rows), pc.list_value_length(asked).to_numpy(zero_copy_only=False))
+                flat = asked.flatten()
+                size = flat.field("size").to_numpy()
+                context = np.repeat(np.arange(len(size)), size)
+                start = flat.field("start").to_numpy()[context] + np.arange(len(context)) - np.repeat(np.cumsum(size) - size, size)
+                rows = owner[context]
                 yield pa.RecordBatch.from_arrays(
-                    [taken.column("key"), taken.column("mark"), pa.array((taken.column("start").to_numpy() + offset).astype(np.int32)), taken.column("times"),
-                     pa.ListArray.from_arrays(pa.array((np.arange(len(rows) + 1) * window).astype(np.int32)), pa.array(cut.ravel())),
-                     pa.array((mixed(keys) % np.uint64(shards)).astype(np.int64))], names)
+                    [pa.array(hashes[start + words.bounds[rows]]), part.column("key").take(pa.array(rows)), part.column("mark").take(pa.array(rows)),
+                     pa.array(start.astype(np.int32)), flat.field("times").take(pa.array(context))],
+                    ["window", "key", "mark", "start", "times"])
+
+    return texts.mapInArrow(run, "window long, key long, mark long, start int, times long")
+
+
+def _routed(contexts: DataFrame, shards: int) -> DataFrame:
+    """Contexts with the shard of their anchor."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            anchors = batch.column("anchor").to_numpy().view(np.uint64)
+            yield batch.select(["key", "mark", "start", "times", "words"]).append_column(
+                "shard", pa.array((mixed(anchors) % np.uint64(shards)).astype(np.int64)))
 
     return contexts.mapInArrow(run, "key long, mark long, start int, times long, words array<long>, shard long")
 
@@ -236,6 +239,9 @@ def repeated_windows(rows: DataFrame, texts: DataFrame, window: int = WINDOW, an
        their texts as reference, with the number of times each occurs, and dealt to
        shards by anchor; a suffix automaton of each shard gives the matching
        statistics of its contexts.
+    4. Anchors of very many contexts have no shard: their windows are counted by
+       content, and those found twice are joined back to their places, so that a
+       window common to many texts is no group of rows in one task.
     """
     seen = _contexts(rows, window, anchor)
     # stored, so that the join below is one of plain shuffles and a hot anchor can be split
@@ -247,13 +253,18 @@ def repeated_windows(rows: DataFrame, texts: DataFrame, window: int = WINDOW, an
         F.count("*").alias("kinds"), F.min("times").alias("fewest")).where("kinds > 1 and fewest = 1"), "mixed")
     reference = written(contents.join(anchors, "anchor").select(
         "place.*", "anchor", "times", (F.col("kinds") > CROWDED).alias("crowded")), "reference")
-    asked = reference.groupBy("key", "mark").agg(F.collect_list(F.struct("start", "size", "anchor", "times", "crowded")).alias("asked"))
-    cut = _cut_out(texts.join(asked, ["key", "mark"]).select("id", "key", "mark", "text", "asked"), window)
-    shards = 1 + reference.count() // SHARD_CONTEXTS
-    routed = _routed(cut, shards, window)
+    asked = {crowded: texts.join(
+        reference.where(F.col("crowded") == crowded).groupBy("key", "mark").agg(F.collect_list(F.struct("start", "size", "anchor", "times")).alias("asked")),
+        ["key", "mark"]).select("id", "key", "mark", "text", "asked") for crowded in (False, True)}
+    shards = 1 + reference.where("not crowded").count() // SHARD_CONTEXTS
+    routed = _routed(_cut_out(asked[False], window), shards)
     partial = routed.groupBy("shard").applyInPandas(_matched(window), "key long, mark long, start int, size int")
+    # stored, so that the rows of a window that many texts share can be split over tasks
+    places = written(_windows(asked[True], window), "windows")
+    again = written(places.groupBy("window").agg(F.sum("times").alias("n")).where("n > 1").select("window"), "again")
+    single = places.where("times = 1").join(again, "window").select("key", "mark", "start", F.lit(1).alias("size"))
     wholly = met.join(contents.where("times > 1").select("anchor", "content"), ["anchor", "content"]).select("key", "mark", "start", "size")
-    return wholly.unionAll(partial)
+    return wholly.unionAll(partial).unionAll(single)
 
 
 def _kept_words(text: str, spans: list[dict] | None, window: int) -> tuple[int, int, str]:

@@ -128,6 +128,32 @@ def test_repeats(spark, make_docs, sample, monkeypatch, crowded):
     assert repeats.remove_repeats(make_docs([])).count() == 0
 
 
+def test_a_passage_common_to_many_texts_is_no_group_of_rows(spark, make_docs, monkeypatch, tmp_path):
+    rng = random.Random(13)
+    passage = [f"p{k}" for k in range(60)]
+    docs = [" ".join([f"d{rng.randrange(10**6)}" for _ in range(40)] + passage + [f"e{rng.randrange(10**6)}" for _ in range(40)]) for _ in range(700)]
+    matched, folder = repeats._matched, str(tmp_path)
+
+    def counting(window):
+        inner = matched(window)
+
+        def run(shard):
+            import collections
+            import uuid
+
+            windows_ = collections.Counter(tuple(w[k : k + window]) for w in map(list, shard["words"]) for k in range(len(w) - window + 1))
+            with open(f"{folder}/{uuid.uuid4().hex}", "w") as file:
+                file.write(str(max(windows_.values(), default=0)))
+            return inner(shard)
+
+        return run
+
+    monkeypatch.setattr(repeats, "_matched", counting)
+    found = repeats.remove_repeats(make_docs(docs)).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256))
+    assert ordered(rows(found)) == ordered((i, *r) for i, r in enumerate(brute.removed(docs, repeats.WINDOW)))
+    assert max([0, *(int(f.read_text()) for f in tmp_path.iterdir())]) <= repeats.CROWDED
+
+
 def test_suffix_automaton_counts():
     rng = random.Random(5)
     texts = [([rng.randrange(3) for _ in range(rng.randrange(1, 30))], rng.randrange(1, 4)) for _ in range(12)]
