@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import leaks, licenses, pii, quality, quotes, repeats, shards, simhash, sql, subwords, tokens
+from . import alignment, leaks, licenses, neighbours, phrases, pii, quality, quotes, repeats, shards, simhash, sql, subwords, tokens
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,7 @@ ORACLES: dict[str, str] = {}
 #: Vocabulary files; the package that holds them is installed on every machine.
 COUNTED = "word_bpe_49k.json"
 ENCODED = "piece_bpe_32k.model"
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 SHARDS = 8
 
 
@@ -95,4 +96,21 @@ def op10_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.reply_order(table(spark, sf_dir, "conversations"))
 
 
-ORACLES |= {"op2_substring_dedup": sql.SUBSTRING_DEDUP, "op8_quality_rules": sql.QUALITY_RULES, "op9_pii": sql.PERSONAL_DATA}
+@query
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+@query
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), ["doc_id"], *map(tokenizer_path, ALIGNED))
+
+
+ORACLES |= {"op2_substring_dedup": sql.SUBSTRING_DEDUP, "op8_quality_rules": sql.QUALITY_RULES, "op9_pii": sql.PERSONAL_DATA,
+            "op11_phrase_collocations": sql.PHRASE_COLLOCATIONS}

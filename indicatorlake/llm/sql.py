@@ -87,3 +87,43 @@ FROM p LEFT JOIN s USING (rid) GROUP BY rid, doc_id"""
 
 
 PERSONAL_DATA = _personal()
+
+PHRASE_COLLOCATIONS = """
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[.,;:!?\\n\\x0B\\x0C\\r]')) AS piece
+    FROM documents),
+split AS (SELECT lang, regexp_extract_all(piece, '[^ \\t]+') AS w FROM pieces),
+placed AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM split),
+found AS (
+    SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase, count(*)::HUGEINT AS f
+    FROM placed, (VALUES (1), (2), (3)) AS sizes(k)
+    WHERE i + k - 1 <= len(w)
+    GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM found WHERE k = 1 GROUP BY lang),
+cuts AS (
+    SELECT c.lang, c.k, c.phrase, c.f, s.at,
+           array_to_string(string_split(c.phrase, ' ')[: s.at], ' ') AS head, array_to_string(string_split(c.phrase, ' ')[s.at + 1 :], ' ') AS tail
+    FROM found AS c JOIN (VALUES (1), (2)) AS s(at) ON s.at < c.k
+    WHERE c.k > 1 AND c.f >= 10),
+scored AS (
+    SELECT cuts.lang, cuts.k, cuts.phrase, cuts.f, l.f AS l, r.f AS r, 1000000 * cuts.f * cuts.f // (l.f * r.f) AS score, cuts.at
+    FROM cuts
+    JOIN found AS l ON l.lang = cuts.lang AND l.phrase = cuts.head
+    JOIN found AS r ON r.lang = cuts.lang AND r.phrase = cuts.tail),
+candidates AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, at) = 1),
+inside AS (
+    SELECT lang, phrase, max(f) AS longest FROM (
+        SELECT lang, f, array_to_string(string_split(phrase, ' ')[:2], ' ') AS phrase FROM candidates WHERE k = 3
+        UNION ALL
+        SELECT lang, f, array_to_string(string_split(phrase, ' ')[2:], ' ') FROM candidates WHERE k = 3)
+    GROUP BY lang, phrase),
+alive AS (
+    SELECT c.* FROM candidates AS c LEFT JOIN inside AS i ON i.lang = c.lang AND i.phrase = c.phrase
+    WHERE i.longest IS NULL OR 100 * i.longest < 50 * c.f)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, f DESC, phrase) AS rank, phrase,
+       f::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM alive JOIN totals USING (lang)
+QUALIFY rank <= 2000
+"""
