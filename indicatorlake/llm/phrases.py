@@ -54,10 +54,14 @@ def _languages(langs: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return coded.indices.to_numpy(), coded.dictionary
 
 
-def _joined(*hashes: np.ndarray) -> np.ndarray:
-    out = np.zeros_like(hashes[0])
-    for h in hashes:
-        out = mixed(out * np.uint64(3) + h)
+def _next(so_far: np.ndarray, h: np.ndarray) -> np.ndarray:
+    return mixed(so_far * np.uint64(3) + h)
+
+
+def _joined(language: np.ndarray, *words: np.ndarray) -> np.ndarray:
+    out = language
+    for h in words:
+        out = _next(out, h)
     return out
 
 
@@ -90,7 +94,7 @@ def _filter(phrases: DataFrame) -> Broadcast:
             out = _language_hash(langs)[row]
             for k in range(int(sizes.max(initial=0))):
                 more = sizes > k
-                out[more] = _joined(out[more], parts[first[more] + k])
+                out[more] = _next(out[more], parts[first[more] + k])
             slot, bit = Filter.slots(out)
             yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array((np.uint64(1) << bit).view(np.int64))], ["slot", "bits"])
 

@@ -94,25 +94,28 @@ WITH pieces AS (
            unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                      '[.,;:!?\\n\\x0B\\x0C\\r]')) AS piece
     FROM documents),
-split AS (SELECT lang, regexp_extract_all(piece, '[^ \\t]+') AS w FROM pieces),
-placed AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM split),
-found AS (
-    SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase, count(*)::HUGEINT AS f
-    FROM placed, (VALUES (1), (2), (3)) AS sizes(k)
-    WHERE i + k - 1 <= len(w)
-    GROUP BY ALL),
+split AS (SELECT row_number() OVER () AS piece_id, lang, regexp_extract_all(piece, '[^ \\t]+') AS w FROM pieces),
+placed AS (SELECT piece_id, lang, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM split),
+followed AS (
+    SELECT lang, x, lead(x, 1) OVER following AS y, lead(x, 2) OVER following AS z
+    FROM placed WINDOW following AS (PARTITION BY piece_id ORDER BY i)),
+phrases AS (
+    SELECT lang, 1 AS k, x AS phrase FROM followed
+    UNION ALL SELECT lang, 2, x || ' ' || y FROM followed WHERE y IS NOT NULL
+    UNION ALL SELECT lang, 3, x || ' ' || y || ' ' || z FROM followed WHERE z IS NOT NULL),
+found AS (SELECT lang, k, phrase, count(*)::HUGEINT AS f FROM phrases GROUP BY ALL),
 totals AS (SELECT lang, sum(f)::BIGINT AS n FROM found WHERE k = 1 GROUP BY lang),
 cuts AS (
-    SELECT c.lang, c.k, c.phrase, c.f, s.at,
-           array_to_string(string_split(c.phrase, ' ')[: s.at], ' ') AS head, array_to_string(string_split(c.phrase, ' ')[s.at + 1 :], ' ') AS tail
-    FROM found AS c JOIN (VALUES (1), (2)) AS s(at) ON s.at < c.k
+    SELECT c.lang, c.k, c.phrase, c.f, s.head_words,
+           array_to_string(string_split(c.phrase, ' ')[: s.head_words], ' ') AS head, array_to_string(string_split(c.phrase, ' ')[s.head_words + 1 :], ' ') AS tail
+    FROM found AS c JOIN (VALUES (1), (2)) AS s(head_words) ON s.head_words < c.k
     WHERE c.k > 1 AND c.f >= 10),
 scored AS (
-    SELECT cuts.lang, cuts.k, cuts.phrase, cuts.f, l.f AS l, r.f AS r, 1000000 * cuts.f * cuts.f // (l.f * r.f) AS score, cuts.at
+    SELECT cuts.lang, cuts.k, cuts.phrase, cuts.f, l.f AS l, r.f AS r, 1000000 * cuts.f * cuts.f // (l.f * r.f) AS score, cuts.head_words
     FROM cuts
     JOIN found AS l ON l.lang = cuts.lang AND l.phrase = cuts.head
     JOIN found AS r ON r.lang = cuts.lang AND r.phrase = cuts.tail),
-candidates AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, at) = 1),
+candidates AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, head_words) = 1),
 inside AS (
     SELECT lang, phrase, max(f) AS longest FROM (
         SELECT lang, f, array_to_string(string_split(phrase, ' ')[:2], ' ') AS phrase FROM candidates WHERE k = 3
