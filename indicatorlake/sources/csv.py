@@ -14,11 +14,12 @@ import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import is_blank
+from . import records
 
 # How the bulk files that hold the long table are named, and the folder archives add.
 LONG_TABLE_SUFFIX = "E_All_Data_(Normalized).csv"
@@ -26,6 +27,8 @@ ARCHIVE_FOLDER = "__MACOSX"
 QUOTING = {"quote": '"', "escape": '"'}
 POSITION = "_position"
 RECORD = "_record"
+FAULT = "_fault"
+SURPLUS, OTHER_WIDTH = "surplus", "other width"
 REPLACEMENT = "�"
 
 
@@ -140,7 +143,7 @@ def _first_record(spark: SparkSession, path: str, encoding: str) -> str:
     reader = java.BufferedReader(java.InputStreamReader(system.open(place), encoding))
     try:
         record = None
-        while record is None or record.count('"') % 2 or not record.strip():
+        while record is None or not record.strip() or re.search(records.OPENS, record):
             line = reader.readLine()
             if line is None:
                 break
@@ -159,77 +162,42 @@ def csv_header(spark: SparkSession, path: str, encoding: str = "UTF-8") -> list[
     return [cell.replace("\ufeff", "").strip() or f"unnamed_{i}" for i, cell in enumerate(cells)]
 
 
-def _odd_quotes(line: Column) -> Column:
-    return (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
-
-
-def has_multiline_cells(spark: SparkSession, *paths: str) -> bool:
-    """Whether some line holds an odd number of quotes, so that a record may span lines."""
-    return not spark.read.text([readable(spark, p) for p in paths]).where(_odd_quotes(F.col("value"))).isEmpty()
-
-
-def _records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """(record, file, at): records that may span lines, put together without a task that holds a whole file.
-
-    A line begins a record when an even number of quotes stands before it in its
-    file.  Quotes are counted split by split; a small table, one row a split, says how
-    many stand before each one and where the record began that runs into it.  Records
-    of one line go on as they are; the lines of others are joined by where they began.
-    """
-    split = ["file", "block"]
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    inside = Window.partitionBy(split).orderBy("line")
-    before = inside.rowsBetween(Window.unboundedPreceding, -1)
-    lines = spark.read.option("lineSep", "\n").text(list(paths)).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"), quotes.alias("quotes"))
-    lines = lines.withColumn("odd", F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2)
-    ends = lines.groupBy(split).agg(
-        F.sum("quotes").alias("quotes"), F.max(F.when(F.col("odd") == 0, F.col("line"))).alias("last0"),
-        F.max(F.when(F.col("odd") == 1, F.col("line"))).alias("last1"))
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    known = ends.withColumn("turn", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2)
-    last = F.when(F.col("turn") == 0, F.col("last0")).otherwise(F.col("last1"))
-    known = known.withColumn("open", F.when(last.isNotNull(), F.struct(F.col("block"), last.alias("line"))))
-    known = known.select(*split, "turn", F.last("open", ignorenulls=True).over(earlier).alias("running"))
-    placed = lines.join(known, split)
-    begins = F.col("odd") == F.col("turn")
-    stops = (F.col("odd") + F.col("turn") + F.col("quotes")) % 2 == 0
-    here = F.last(F.when(begins, F.struct("block", "line")), ignorenulls=True).over(inside)
-    marked = placed.select("file", "block", "line", "value", (begins & stops).alias("whole"), F.coalesce(here, "running").alias("at"))
-    whole = marked.where("whole").select(F.col("value").alias("record"), "file", "at")
-    joined = marked.where("NOT whole").groupBy("file", "at").agg(F.array_sort(F.collect_list(F.struct("block", "line", "value"))).alias("p"))
-    return whole.unionByName(joined.select(F.array_join(F.transform("p", lambda x: x["value"]), "\n").alias("record"), "file", "at"))
+def has_multiline_cells(spark: SparkSession, *paths: str, encoding: str = "UTF-8") -> bool:
+    """Whether some record spans lines or has text after a closing quote, so that its lines cannot be read one by one."""
+    if not records.splittable(encoding):
+        return True
+    return records.needs_records(records.lines_of(spark, [readable(spark, p) for p in paths], encoding))
 
 
 def _cells(spark: SparkSession, paths: Sequence[str], width: int, multiline: bool, encoding: str) -> DataFrame:
-    """Columns c0, c1, ..., the raw text of records of another width, and where each row stands."""
+    """Columns c0, c1, ..., the raw text and the fault of records that are not as the header says, and where each row stands."""
     fields = [T.StructField(f"c{i}", T.StringType()) for i in range(width)]
     schema = T.StructType([*fields, T.StructField(RECORD, T.StringType())])
     options = {"columnNameOfCorruptRecord": RECORD, "mode": "PERMISSIVE", **QUOTING}
     shown = [readable(spark, p) for p in paths]
-    if multiline and encoding.upper() == "UTF-8":
-        records = _records(spark, shown)
-        heads = records.where("at.block = 0").groupBy("file").agg(F.min(F.when(~is_blank(F.col("record")), F.col("at"))).alias("head"))
-        body = records.join(heads, "file").where((F.col("at") > F.col("head")) & ~is_blank(F.col("record")))
+    if multiline and records.splittable(encoding):
+        found = records.records_of(records.lines_of(spark, shown, encoding))
+        heads = found.where("at.block = 0").groupBy("file").agg(F.min(F.when(~is_blank(F.col("record")), F.col("at"))).alias("head"))
+        body = found.join(heads, "file").where((F.col("at") > F.col("head")) & ~is_blank(F.col("record")))
         text = F.regexp_replace("record", "\r$", "")
         parsed = body.select(F.from_csv(text, ", ".join(f"`{f.name}` string" for f in schema), {**options, "multiLine": "true"}).alias("r"),
-                             F.struct("file", "at.block", "at.line").alias(POSITION))
-        return parsed.select("r.*", POSITION)
+                             text.alias("text"), F.struct("file", "at.block", "at.line").alias(POSITION), "kind")
+        faults = F.coalesce("kind", _width_fault(F.col(f"r.{RECORD}"), width)).alias(FAULT)
+        return parsed.select(*[f"r.{f.name}" for f in fields], F.coalesce(f"r.{RECORD}", F.when(F.col("kind").isNotNull(), F.col("text"))).alias(RECORD), faults, POSITION)
     # all cells are parsed whatever is selected, or else the width of a record would go unseen
     options["columnPruning"] = "false"
     rows = spark.read.schema(schema).options(header=True, multiLine=multiline, encoding=encoding, **options).csv(shown)
     place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
                      F.monotonically_increasing_id().alias("line"))
     # always true: Spark wants a column of the file read beside the record
-    return rows.select("*", place.alias(POSITION)).where(F.length(F.coalesce("c0", F.lit(""))) >= 0)
+    return rows.select("*", _width_fault(F.col(RECORD), width).alias(FAULT), place.alias(POSITION)).where(F.length(F.coalesce("c0", F.lit(""))) >= 0)
 
 
-def _surplus(width: int) -> Column:
-    """Whether a record has a cell with content beyond the header; quoted parts are set aside to count separators."""
-    plain = F.regexp_replace(RECORD, '"(?:[^"]|"")*"', "q")
-    cells = F.split(plain, ",", -1)
-    return F.col(RECORD).isNotNull() & F.exists(F.slice(cells, F.lit(width + 1), F.greatest(F.size(cells), F.lit(1))), lambda c: ~is_blank(c))
+def _width_fault(record: Column, width: int) -> Column:
+    """"surplus" where a record of another width has content beyond the header, else "other width"; quoted cells are set aside to count separators."""
+    cells = F.split(F.regexp_replace(record, records.QUOTED_CELL, "q"), ",", -1)
+    surplus = F.exists(F.slice(cells, F.lit(width + 1), F.greatest(F.size(cells), F.lit(1))), lambda c: ~is_blank(c))
+    return F.when(record.isNotNull(), F.when(surplus, F.lit(SURPLUS)).otherwise(F.lit(OTHER_WIDTH)))
 
 
 def _no_text(columns: Iterable[str]) -> Column:
@@ -258,13 +226,16 @@ def read_csv(
     differ only in case survive until ``rename`` and ``drop`` (matched with
     their case) have sorted them out.  Several paths must share one header.
     ``multiline=None`` finds out whether records span lines; either way a file is
-    split over tasks.  ``position`` adds a column that orders rows as they stand
-    in the files.
-
-    A record with cells beyond the header stops the read (``surplus="fail"``) or is
-    left to ``csv_rejects`` (``"reject"``); a shorter one is filled with NULL, as the
-    format's readers do, and ``csv_rejects`` lists it too.  Bytes that are not of the
-    encoding stop the read unless ``bad_bytes="keep"``.
+    split over tasks, but for records that span lines in an encoding of several bytes
+    a letter other than UTF-8.  ``position`` adds a column that orders rows as they
+    stand in the files.
+
+    A quote within a cell that has none at its beginning is a letter.  Records that
+    lose content stop the read (``surplus="fail"``) or are left to ``csv_rejects``
+    (``"reject"``): those with cells beyond the header, with text after a closing
+    quote, or in a quoted cell that is never closed.  A shorter record is filled with
+    NULL, as the format's readers do, and ``csv_rejects`` lists it too.  Bytes that
+    are not of the encoding stop the read unless ``bad_bytes="keep"``.
     """
     paths = [path] if isinstance(path, str) else list(path)
     header = csv_header(spark, paths[0], encoding)
@@ -272,14 +243,15 @@ def read_csv(
     if missing:
         raise KeyError(f"{paths[0]} lacks columns {missing}, has {header}")
     if multiline is None:
-        multiline = has_multiline_cells(spark, *paths)
+        multiline = has_multiline_cells(spark, *paths, encoding=encoding)
     cells = _cells(spark, paths, len(header), multiline, encoding)
-    wide = _surplus(len(header))
+    loses = F.coalesce(F.col(FAULT) != OTHER_WIDTH, F.lit(False))
     if surplus == "fail":
-        message = F.concat(F.lit(f"{paths[0]}: more cells than the {len(header)} of the header: "), F.col(RECORD))
-        cells = cells.where(F.when(wide, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+        fault = F.when(F.col(FAULT) == SURPLUS, F.lit(f"more cells than the {len(header)} of the header")).otherwise(F.concat(FAULT, F.lit(" record")))
+        message = F.concat(F.lit(f"{paths[0]}: "), fault, F.lit(": "), F.substring(F.coalesce(RECORD, F.lit("")), 1, 500))
+        cells = cells.where(F.when(loses, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
     else:
-        cells = cells.where(~wide)
+        cells = cells.where(~loses)
     kept = [i for i, name in enumerate(header) if name not in drop]
     if bad_bytes == "fail":
         message = F.lit(f"{paths[0]}: bytes that are not {encoding}")
@@ -293,10 +265,15 @@ def read_csv(
 
 
 def csv_rejects(spark: SparkSession, path: str, *, multiline: bool | None = None, encoding: str = "UTF-8") -> DataFrame:
-    """(record, kind) of the records that do not have the header's width: "surplus" where content would be lost, else "other width"."""
+    """(record, kind) of the records that are not as the header says.
+
+    "surplus": cells with content beyond the header; "malformed": text after a closing
+    quote; "unclosed": a line from a quoted cell's beginning on that no quote closes;
+    "other width": shorter, or longer by empty cells only.  All but the last kind are
+    missing from what ``read_csv`` reads with ``surplus="reject"``.
+    """
     header = csv_header(spark, path, encoding)
     if multiline is None:
-        multiline = has_multiline_cells(spark, path)
+        multiline = has_multiline_cells(spark, path, encoding=encoding)
     cells = _cells(spark, [path], len(header), multiline, encoding)
-    return cells.where(F.col(RECORD).isNotNull()).select(
-        F.col(RECORD).alias("record"), F.when(_surplus(len(header)), F.lit("surplus")).otherwise(F.lit("other width")).alias("kind"))
+    return cells.where(F.col(FAULT).isNotNull()).select(F.col(RECORD).alias("record"), F.col(FAULT).alias("kind"))

@@ -144,7 +144,7 @@ def diagonal(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Rows of another width than the header -------------------------------------
 
 _RAGGED = """
-    SELECT l_orderkey, l_linenumber, concat_ws(',', CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING),
+    SELECT l_orderkey, l_linenumber, l_returnflag AS flag, concat_ws(',', CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING),
         CASE WHEN l_linenumber = 1 THEN '"cut, ' || chr(10) || 'here"' WHEN l_orderkey % 5 = 1 THEN NULL ELSE l_returnflag END,
         CASE WHEN l_orderkey % 11 = 0 THEN 'lost' WHEN l_orderkey % 7 = 0 THEN '' END) AS line,
         CASE WHEN l_orderkey % 11 = 0 AND (l_linenumber = 1 OR l_orderkey % 5 <> 1) THEN 'surplus'
@@ -154,13 +154,18 @@ _RAGGED = """
 """
 
 
+def _as_lines(lines: DataFrame, folder: str, header: str) -> str:
+    """Lines as the part files of a CSV, each with the header, in as many parts as Spark has."""
+    path = f"{folder}/r.csv"
+    place = F.monotonically_increasing_id()  # counts from a multiple of 2^33 in every part
+    first = place.bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    lines.select(F.when(first, F.concat(F.lit(f"{header}\n"), "line")).otherwise(F.col("line")).alias("value")).write.text(path)
+    return path
+
+
 def _ragged(spark: SparkSession, sf_dir: str) -> str:
-    folder = f"{scratch_folder(spark, 'ragged')}/r.csv"
     lines = run_sql(spark, sf_dir, _RAGGED, "lineitem").select("line").repartition(3)
-    # three part files, each with the header, as Spark's own writer has it
-    parts = lines.groupBy(F.spark_partition_id()).agg(F.array_join(F.collect_list("line"), "\n").alias("l"))
-    parts.select(F.concat_ws("\n", F.lit("order,line,flag"), "l").alias("value")).coalesce(1).repartition(3).write.text(folder)
-    return folder
+    return _as_lines(lines, scratch_folder(spark, "ragged"), "order,line,flag")
 
 
 @case("csv_rejects", f"SELECT kind, line AS record FROM ({_RAGGED}) WHERE kind IS NOT NULL")
@@ -170,12 +175,46 @@ def csv_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @case("csv_kept_rows", f"""
-    SELECT CAST(l_orderkey AS VARCHAR) AS "order", CAST(l_linenumber AS VARCHAR) AS line, count(*) AS n FROM ({_RAGGED})
+    SELECT CAST(l_orderkey AS VARCHAR) AS "order", CAST(l_linenumber AS VARCHAR) AS line,
+           CASE WHEN l_linenumber = 1 THEN 'cut, ' || chr(10) || 'here' WHEN l_orderkey % 5 = 1 THEN
+               CASE WHEN l_orderkey % 11 = 0 THEN 'lost' END ELSE flag END AS flag, count(*) AS n FROM ({_RAGGED})
     WHERE kind IS DISTINCT FROM 'surplus' GROUP BY ALL""")
 def csv_kept_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With surplus rows left to the reject table, all others are read, those of records over several lines as well."""
     kept = read_csv(spark, _ragged(spark, sf_dir), surplus="reject")
-    return kept.groupBy("order", "line").agg(F.count(F.lit(1)).alias("n"))
+    return kept.groupBy("order", "line", "flag").agg(F.count(F.lit(1)).alias("n"))
+
+
+# Quotes where none belong: within plain cells, after closing ones; cells over lines and of another width beside them.
+_QUOTES = """
+    SELECT l_orderkey, l_linenumber, CAST(l_orderkey AS STRING) || ',' || CAST(l_linenumber AS STRING) || ',' ||
+        CASE l_orderkey % 6 WHEN 0 THEN CAST(l_linenumber AS STRING) || '" pipe' WHEN 1 THEN 'say "' || l_returnflag || '", x'
+            WHEN 2 THEN '"in ' || chr(10) || ' ""two"" lines",y' WHEN 3 THEN '"shut" again,z'
+            WHEN 4 THEN '"' || repeat('long ""cell"", ', 300) || '"' ELSE '"' || l_returnflag || '"' END AS line,
+        CASE l_orderkey % 6 WHEN 3 THEN 'malformed' WHEN 0 THEN 'other width' WHEN 4 THEN 'other width' WHEN 5 THEN 'other width' END AS kind,
+        CASE l_orderkey % 6 WHEN 0 THEN CAST(l_linenumber AS STRING) || '" pipe' WHEN 1 THEN 'say "' || l_returnflag || '"'
+            WHEN 2 THEN 'in ' || chr(10) || ' "two" lines' WHEN 4 THEN repeat('long "cell", ', 300) ELSE l_returnflag END AS flag,
+        CASE l_orderkey % 6 WHEN 1 THEN ' x' WHEN 2 THEN 'y' END AS mark
+    FROM lineitem
+"""
+
+
+def _quotes(spark: SparkSession, sf_dir: str) -> str:
+    lines = run_sql(spark, sf_dir, _QUOTES, "lineitem").select("line").repartition(5)
+    return _as_lines(lines, scratch_folder(spark, "quotes"), "order,line,flag,mark")
+
+
+@case("csv_stray_quotes", f"""
+    SELECT CAST(l_orderkey AS VARCHAR) AS "order", CAST(l_linenumber AS VARCHAR) AS line, flag, mark FROM ({_QUOTES})
+    WHERE kind IS DISTINCT FROM 'malformed'""")
+def csv_stray_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every good record of a feed with quotes in all places, short rows and long cells."""
+    return read_csv(spark, _quotes(spark, sf_dir), surplus="reject")
+
+
+@case("csv_stray_quote_rejects", f"SELECT kind, line AS record FROM ({_QUOTES}) WHERE kind IS NOT NULL")
+def csv_stray_quote_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return csv_rejects(spark, _quotes(spark, sf_dir)).select("kind", "record")
 
 
 # Names to codes ------------------------------------------------------------
