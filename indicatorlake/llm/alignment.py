@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from collections.abc import Iterator
 
@@ -19,28 +20,33 @@ from .common import chunks, ship
 from .tokens import _byte_letters
 
 #: Bytes of text whose pairs of ids are counted together before Spark merges the counts.
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
+#: Fixed value: how byte-level files of this kind cut a text before any merge.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 RESULTS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 _loaded: dict[tuple[str, str], Pair] = {}
 
 
 class Pair:
-    """Both tokenizers, and for every id of each its bytes."""
+    """Both tokenizers, and for every id of each its bytes.
+
+    A is read from its file and run by tiktoken, which takes its merges as ranks; on
+    every code point, in all surroundings the pattern knows, both libraries agree.  A
+    file of another kind is run by the library it was written for.
+    """
 
     def __init__(self, a_path: str, b_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         import sentencepiece
-        import tokenizers
 
-        self.a = tokenizers.Tokenizer.from_file(a_path)
-        self.a.encode_special_tokens = True
-        self.a.no_truncation()
-        self.a.no_padding()
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
+        with open(a_path, encoding="utf-8") as file:
+            spec = json.load(file)
         byte = {letter: value for value, letter in enumerate(_byte_letters())}
         entries = {i: bytes(byte[c] for c in entry) if all(c in byte for c in entry) else entry.encode()
-                   for entry, i in self.a.get_vocab(with_added_tokens=True).items()}
+                   for entry, i in {**spec["model"]["vocab"], **{t["content"]: t["id"] for t in spec["added_tokens"]}}.items()}
+        self.encode_a = _by_ranks(spec, entries) or _by_its_library(a_path)
         self.a_bytes = pa.array([entries.get(i, b"") for i in range(max(entries) + 1)], pa.large_binary())
         self.b_bytes = pa.array([self._piece(i) for i in range(self.b.get_piece_size())], pa.large_binary())
         digits = max(len(self.a_bytes), len(self.b_bytes))
@@ -52,9 +58,32 @@ class Pair:
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
 
     def encoded(self, texts: list[str]) -> tuple[pa.Array, pa.Array]:
-        a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        b = self.b.encode(texts, num_threads=1)
-        return _lists(a), _lists(b)
+        return _lists(self.encode_a([" " + t for t in texts])), _lists(self.b.encode(texts, num_threads=1))
+
+
+def _by_ranks(spec: dict, entries: dict[int, bytes]):
+    """An encoder for a byte-level file whose ids stand in the order of its merges; None for other files."""
+    plain = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+    model, split = spec["model"], spec["pre_tokenizer"] or {}
+    ids = model["vocab"]
+    made = [ids["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    if spec["normalizer"] or any(split.get(k) != v for k, v in plain.items()) or made != list(range(256, 256 + len(made))):
+        return None
+    import tiktoken
+
+    ranks = {entries[i]: i for i in range(256 + len(made))}
+    coder = tiktoken.Encoding("a", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={})
+    return lambda texts: [coder.encode_ordinary(t) for t in texts]
+
+
+def _by_its_library(path: str):
+    import tokenizers
+
+    tokenizer = tokenizers.Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 def pair(a_path: str, b_path: str) -> Pair:
