@@ -7,9 +7,12 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_folder
+from .predicates import Index
+
 # Characters of predicates that one pass evaluates: Spark compiles expressions of
 # about this size; more of them take another scan.
 PREDICATE_TEXT = 8000
@@ -40,6 +43,11 @@ def indicators(config: DataFrame) -> dict[str, list[Indicator]]:
     return found
 
 
+def _check_uids(wanted: Iterable[Indicator]) -> None:
+    if any(SEPARATOR in i.uid or not i.uid for i in wanted):
+        raise ValueError("uids must be non-empty and free of control characters")
+
+
 def fan_out(view: DataFrame, wanted: Iterable[Indicator]) -> DataFrame:
     """Rows of ``view`` once per matching indicator, with ``afs_uid`` in front.
 
@@ -52,9 +60,8 @@ def fan_out(view: DataFrame, wanted: Iterable[Indicator]) -> DataFrame:
     use it.
     """
     batch = list(wanted)
-    if any(SEPARATOR in i.uid or not i.uid for i in batch):
-        raise ValueError("uids must be non-empty and free of control characters")
-    hits = F.concat_ws(SEPARATOR, *[F.when(F.expr(i.condition), F.lit(i.uid)) for i in batch])
+    _check_uids(batch)
+    hits = _uids(batch)
     split = F.explode(F.split("_uids", SEPARATOR)).alias("afs_uid")
     plain = [i.condition for i in batch]
     if not any(CALL.search(c) or c.strip().upper() == "TRUE" for c in plain):
@@ -62,13 +69,17 @@ def fan_out(view: DataFrame, wanted: Iterable[Indicator]) -> DataFrame:
     return view.withColumn("_uids", hits).select(split, *view.columns).where("afs_uid <> ''")
 
 
-def processed(view: DataFrame, indicator: Indicator) -> DataFrame:
-    """Run an indicator's own SQL over its selected rows and re-select the view's columns by name."""
-    selected = view.where(F.expr(indicator.condition)).select(F.lit(indicator.uid).alias("afs_uid"), "*")
+def _queried(selected: DataFrame, indicator: Indicator) -> DataFrame:
+    """The result of an indicator's own SQL over its selected rows."""
     text = indicator.query.replace("{", "{{").replace("}", "}}")
     # a relation of this one statement, whatever views the session has
-    result = view.sparkSession.sql(f"WITH input AS (SELECT * FROM {{selected}})\nSELECT * FROM (\n{text}\n)", selected=selected)
-    return result.select("afs_uid", *view.columns)
+    return selected.sparkSession.sql(f"WITH input AS (SELECT * FROM {{selected}})\nSELECT * FROM (\n{text}\n)", selected=selected)
+
+
+def processed(view: DataFrame, indicator: Indicator) -> DataFrame:
+    """Run an indicator's own SQL over its selected rows and re-select the view's columns by name."""
+    rows = view.where(F.expr(indicator.condition)).select(F.lit(indicator.uid).alias("afs_uid"), "*")
+    return _queried(rows, indicator).select("afs_uid", *view.columns)
 
 
 def batches(wanted: Iterable[Indicator]) -> Iterator[list[Indicator]]:
@@ -85,12 +96,53 @@ def batches(wanted: Iterable[Indicator]) -> Iterator[list[Indicator]]:
         yield batch
 
 
+def _uids(batch: list[Indicator]) -> Column:
+    """The uids whose predicate holds, as one text."""
+    return F.concat_ws(SEPARATOR, *[F.when(F.expr(i.condition), F.lit(i.uid)) for i in batch])
+
+
+def selected(view: DataFrame, wanted: Iterable[Indicator]) -> DataFrame:
+    """Rows of ``view`` once per matching indicator, with ``afs_uid`` in front, in one scan.
+
+    Indicators with an equality in their predicate are found through an index; the
+    predicates of the others run on every row, beside it.
+    """
+    wanted = list(wanted)
+    _check_uids(wanted)
+    index = Index(view, [(i.uid, i.condition) for i in wanted])
+    if not index.found:
+        return reduce(DataFrame.unionByName, [fan_out(view, batch) for batch in batches(wanted)])
+    others = {uid for uid, _ in index.others}
+    beside = batches(i for i in wanted if i.uid in others)
+    return index.select([F.split(_uids(batch), SEPARATOR) for batch in beside])
+
+
+def processed_together(view: DataFrame, wanted: Iterable[Indicator]) -> list[DataFrame]:
+    """The results of several indicators' queries, over rows that are selected and stored once.
+
+    The view is scanned once for all of them.  Their rows lie in one folder for each
+    uid, and a query reads its own; a uid with a great share of the rows is spread over
+    files.  Every query is analysed first, so that a wrong one shows before anything runs.
+    """
+    wanted = list(wanted)
+    if len(wanted) < 2:
+        return [processed(view, i) for i in wanted]
+    for i in wanted:
+        processed(view, i)
+    spark, rows = view.sparkSession, selected(view, wanted)
+    folder = scratch_folder(spark, "selected")
+    rows.hint("rebalance", "afs_uid").write.partitionBy("afs_uid").parquet(folder)
+    # with the schema, or else uids that look like numbers would become such
+    stored = spark.read.schema(rows.schema).parquet(folder)
+    return [_queried(stored.where(F.col("afs_uid") == i.uid).select("afs_uid", *view.columns), i).select("afs_uid", *view.columns) for i in wanted]
+
+
 def select_indicators(view: DataFrame, wanted: Iterable[Indicator]) -> DataFrame:
     """All indicators of one view as one stage frame (afs_uid + the view's columns)."""
     wanted = list(wanted)
-    plain = [i for i in wanted if not i.query]
-    branches = [fan_out(view, batch) for batch in batches(plain)]
-    branches += [processed(view, i) for i in wanted if i.query]
+    plain, queries = [i for i in wanted if not i.query], [i for i in wanted if i.query]
+    branches = [selected(view, plain)] if plain else []
+    branches += processed_together(view, queries)
     if not branches:
         raise ValueError("no indicator to select")
     return reduce(DataFrame.unionByName, branches)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections import Counter
 from functools import reduce
 
@@ -16,7 +17,8 @@ from indicatorlake.operators.grid import KEYS, all_pairs, gap_fill, reference_gr
 from indicatorlake.operators.lookup import first_per_key, lookup_join
 from indicatorlake.operators.ordering import globally_ordered
 from indicatorlake.operators.reshape import rename_columns, years_to_rows
-from indicatorlake.operators.selection import Indicator, batches, fan_out, processed, select_indicators
+from indicatorlake.operators import predicates
+from indicatorlake.operators.selection import Indicator, batches, fan_out, processed, processed_together, select_indicators, selected
 from indicatorlake.plans.harmonise import OBSERVATION, assert_observation, harmonise
 from indicatorlake.plans.export import published_uids
 from workload.export_cases import _CONFIG, _stage_frame
@@ -146,6 +148,54 @@ def test_plain_predicates_reach_the_scan(spark, tmp_path):
     assert pushed("k = '1'", "length(k) = 1")[0] == pushed("TRUE")[0]  # only what the explode itself asks
 
 
+CONDITIONS = [
+    "k = 'a'", "k = 'a' AND x > 3", "x = 3", "k IN ('a', 'b', 'a') AND x = 2", "'b' = k AND k = 'b'", "k = 'a' AND k = 'b'", "k IS NULL", "TRUE", "k = NULL",
+    "k = 'a' OR x = 1", "k BETWEEN 'a' AND 'b' AND x IN (1, 2, 3)", "get_json_object(bag, '$.n') = 'it''s \"5\"' AND k = 'b'", "x = 1L AND k <> 'a'", "x = 1 AND k <> 'c'",
+    "NOT (k = 'a')", "x = 2.0 AND k = 'c'", "CAST(n AS INT) = 7 AND k = 'number'", "lower(k) = 'a'", "k <=> NULL AND x = 5", "k = '' AND x = 5", "x IN (1, NULL)",
+    "(k = 'a' AND (x = 1 AND lower(k) IN ('a', 'c')))", "k = '3' AND x = 1", "k = 'a\\\\b'"]
+
+
+def test_an_index_of_predicates_equals_the_union_of_filters(spark, monkeypatch):
+    monkeypatch.setattr(predicates, "RESTS_TOGETHER", 2)
+    names, bags = ["a", "b", "c", None, "", "3", "number", "a\\b"], [json.dumps({"n": 'it\'s "5"'}), "{}", None, "no json"]
+    v = spark.createDataFrame([(x, k, bag, "7" if k == "number" else "1") for x in range(6) for k in names for bag in bags], "x int, k string, bag string, n string")
+    wanted = [Indicator(f"u{i}", c) for i, c in enumerate(CONDITIONS)]
+    union = reduce(lambda a, b: a.unionByName(b), [v.where(i.condition).select(F.lit(i.uid).alias("afs_uid"), "*") for i in wanted])
+    assert rows(selected(v, wanted)) == rows(union) and ("u11", 0, "b", bags[0], "1") in rows(union)
+    index = predicates.Index(v, [(i.uid, i.condition) for i in wanted])
+    assert {uid for uid, _, _ in index.found} >= {"u0", "u1", "u2", "u3", "u4", "u5", "u11", "u13", "u17", "u21", "u22", "u23"}
+    assert {uid for uid, _ in index.others} >= {"u6", "u7", "u9", "u14", "u20"}
+    only = [i for i in wanted if i.uid in {"u0", "u2", "u5"}]
+    plan = selected(v, only)._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(selected(v, only)) == Counter({k: n for k, n in rows(union).items() if k[0] in {"u0", "u2", "u5"}}) and "Join" in plan
+
+
+def test_thousands_of_predicates_are_one_scan(spark, tmp_path):
+    spark.range(3000).selectExpr("CAST(id % 1500 AS STRING) AS k", "CAST(id AS INT) AS x").write.parquet(f"{tmp_path}/v")
+    v = spark.read.parquet(f"{tmp_path}/v")
+    wanted = [Indicator(f"u{i}", f"k = '{i % 1500}'" + (f" AND x >= {i % 1500 + i % 7}" if i % 2 else "")) for i in range(3000)]
+    df = selected(v, wanted)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "In(k" in plan.replace("PushedFilters: [In(k", "In(k")
+    expected = Counter((w.uid, str(x % 1500), x) for i, w in enumerate(wanted) for x in (i % 1500, i % 1500 + 1500) if i % 2 == 0 or x >= i % 1500 + i % 7)
+    assert rows(df) == expected
+
+
+def test_queries_share_one_stored_selection(spark, tmp_path):
+    spark.range(100).selectExpr("CAST(id AS INT) AS x", "CAST(id % 4 AS STRING) AS k").write.parquet(f"{tmp_path}/v")
+    v = spark.read.parquet(f"{tmp_path}/v")
+    wanted = [Indicator("007", "k = '1'", "SELECT afs_uid, max(x) AS x, k FROM input GROUP BY afs_uid, k"), Indicator("a/b c", "x < 3", "SELECT * FROM input"),
+              Indicator("none", "k = '9'", "SELECT * FROM input")]
+    out = processed_together(v, wanted)
+    assert not any(f"{tmp_path}/v" in f for df in out for f in df.inputFiles())
+    assert rows(reduce(lambda a, b: a.unionByName(b), out)) == Counter([("007", 97, "1"), *(("a/b c", x, str(x)) for x in range(3))])
+    assert "PartitionFilters: [isnotnull(afs_uid" in out[1]._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(AnalysisException):
+        processed_together(v, [*wanted, Indicator("bad", "k = '1'", "SELECT nope FROM input")])
+    with pytest.raises(ValueError):
+        selected(v, [Indicator("u", "x")])
+
+
 def test_the_users_own_view_called_input_stays(spark):
     spark.range(2).createOrReplaceTempView("input")
     v = spark.range(6).selectExpr("id AS x", "'{}' AS bag")

@@ -45,6 +45,29 @@ def stage_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(select_indicators(view(spark, sf_dir, CODE), indicators()))
 
 
+# Every area with every item, each an indicator of its own: 1,000 predicates of equalities, half of them with a range beside.
+_MANY_AREAS, _MANY_ITEMS = 25, 40
+
+
+def many_indicators() -> list[Indicator]:
+    out = [Indicator(f"a{a}i{i}", f"afs_m49_code = '{a:03}' AND get_json_object(SERIES, '$.item_code') = 'item_code {i}'" + (" AND afs_year >= 2000" if i % 2 else ""))
+           for a in range(_MANY_AREAS) for i in range(_MANY_ITEMS)]
+    return [*out, Indicator("some", "afs_m49_code IN ('003', '004', '005') AND afs_flag IS NULL"), Indicator("late", "afs_year >= 2010")]
+
+
+@case("stage_many_indicators", f"""
+    {_VIEW}, asked AS (
+        SELECT 'a' || a || 'i' || i AS afs_uid, printf('%03d', a) AS area, 'item_code ' || i AS item, CASE WHEN i % 2 = 1 THEN 2000 ELSE -9999 END AS since
+        FROM range({_MANY_AREAS}) AS x(a), range({_MANY_ITEMS}) AS y(i))
+    SELECT afs_uid, v.* FROM v JOIN asked ON afs_m49_code = area AND json_extract_string("SERIES", '$.item_code') = item
+    WHERE since = -9999 OR afs_year >= since
+    UNION ALL SELECT 'some', v.* FROM v WHERE afs_m49_code IN ('003', '004', '005') AND afs_flag IS NULL
+    UNION ALL SELECT 'late', v.* FROM v WHERE afs_year >= 2010""")
+def stage_many_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One scan, in which rows meet their indicators by an equi-join."""
+    return shown(select_indicators(view(spark, sf_dir, CODE), many_indicators()))
+
+
 @case("stage_query_plan", f"""
     {_VIEW}, picked AS ({_SELECTED})
     SELECT 'src_faostat_qcl_vw' AS stg_view, 'stg_faostat_qcl_tbl' AS stg_tbl,
