@@ -21,7 +21,9 @@ LEAST = 10
 INSIDE_PERCENT = 50
 SCALE = 1_000_000
 #: Bytes of text whose phrases are counted together before Spark merges the counts.
-BLOCK_BYTES = 1 << 22
+BLOCK_BYTES = 1 << 21
+#: Rows that a task hands to Spark at a time.
+SENT_ROWS = 1 << 15
 #: Bits of a filter; phrases that share a bit are counted in vain, never missed.
 FILTER_BITS = 1 << 25
 #: The frontier first reaches the FIRST * BEST-th best pair of words, then FURTHER times as many, and so on.
@@ -81,8 +83,22 @@ class Filter:
         return (self.bits[slot] >> bit & np.uint64(1)).astype(bool)
 
 
-def _filter(phrases: DataFrame) -> Broadcast:
-    """A filter of the phrases of a table (lang, phrase): FILTER_BITS bits, however many phrases there are."""
+def _filter(hashes: DataFrame) -> Broadcast:
+    """A filter of the hashes of a table (h): FILTER_BITS bits, however many rows there are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slot, bit = Filter.slots(batch.column("h").to_numpy().view(np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array((np.uint64(1) << bit).view(np.int64))], ["slot", "bits"])
+
+    found = hashes.select("h").mapInArrow(run, "slot long, bits long").groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
+    bits = np.zeros(FILTER_BITS // 64, np.uint64)
+    bits[found["slot"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return hashes.sparkSession.sparkContext.broadcast(bits)
+
+
+def _hashes(phrases: DataFrame) -> DataFrame:
+    """The hash (h) of every row (lang, phrase)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -95,13 +111,9 @@ def _filter(phrases: DataFrame) -> Broadcast:
             for k in range(int(sizes.max(initial=0))):
                 more = sizes > k
                 out[more] = _next(out[more], parts[first[more] + k])
-            slot, bit = Filter.slots(out)
-            yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array((np.uint64(1) << bit).view(np.int64))], ["slot", "bits"])
+            yield pa.RecordBatch.from_arrays([pa.array(out.view(np.int64))], ["h"])
 
-    found = phrases.select("lang", "phrase").mapInArrow(run, "slot long, bits long").groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
-    bits = np.zeros(FILTER_BITS // 64, np.uint64)
-    bits[found["slot"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
-    return phrases.sparkSession.sparkContext.broadcast(bits)
+    return phrases.select("lang", "phrase").mapInArrow(run, "h long")
 
 
 def _language_hash(langs: pa.Array) -> np.ndarray:
@@ -109,33 +121,44 @@ def _language_hash(langs: pa.Array) -> np.ndarray:
     return spans_hash(data, at[:-1], at[1:])
 
 
-def _counted(docs: DataFrame, size: int, keep: Callable[[list[np.ndarray]], np.ndarray]) -> DataFrame:
-    """(lang, phrase, f) of all phrases of ``size`` words that ``keep`` lets through by the hashes of language and words."""
+def _counted(docs: DataFrame, size: int, keep: Callable[[list[np.ndarray]], np.ndarray], spell: bool = True) -> DataFrame:
+    """(lang, phrase, f) of all phrases of ``size`` words that ``keep`` lets through by the hashes of language and words.
+
+    Without ``spell`` they come as (h, f), by a hash that different phrases may share.
+    """
+
+    def counts_of(part: pa.RecordBatch) -> pa.RecordBatch:
+        words, goes_on, spelled = _split(part.column("text"))
+        row, langs = _languages(part.column("lang"))
+        kinds, ids = len(spelled.dictionary) or 1, spelled.indices.to_numpy().astype(np.int64)
+        lang = row[words.rows].astype(np.int64)
+        places = np.arange(len(ids))
+        for k in range(1, size):  # phrases that go on
+            places = places[goes_on[places + k - 1]]
+        hashes = words.hashes()
+        kept = keep([_language_hash(langs)[lang[places]], *(hashes[places + k] for k in range(size))])
+        places = places[kept]
+        number = lang[places]
+        for k in range(size):
+            number = np.unique(number, return_inverse=True)[1].astype(np.int64) * kinds + ids[places + k]
+        _, first, counts = np.unique(number, return_index=True, return_counts=True)
+        at, counts = places[first], pa.array(counts.astype(np.int64))
+        if not spell:
+            h = _joined(_language_hash(langs)[lang[at]], *(hashes[at + k] for k in range(size)))
+            return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), counts], ["h", "f"])
+        parts = [spelled.dictionary.take(pa.array(ids[at + k])) for k in range(size)]
+        phrase = parts[0] if size == 1 else pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string()))
+        return pa.RecordBatch.from_arrays([langs.take(pa.array(lang[at])), phrase.cast(pa.string()), counts], ["lang", "phrase", "f"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "text", BLOCK_BYTES):
-                words, goes_on, spelled = _split(part.column("text"))
-                row, langs = _languages(part.column("lang"))
-                kinds, ids = len(spelled.dictionary) or 1, spelled.indices.to_numpy().astype(np.int64)
-                lang = row[words.rows].astype(np.int64)
-                places = np.arange(len(ids))
-                for k in range(1, size):  # phrases that go on
-                    places = places[goes_on[places + k - 1]]
-                number = lang[places]
-                for k in range(size):
-                    number = np.unique(number, return_inverse=True)[1].astype(np.int64) * kinds + ids[places + k]
-                _, first, counts = np.unique(number, return_index=True, return_counts=True)
-                at = places[first]
-                hashes = words.hashes()
-                kept = keep([_language_hash(langs)[lang[at]], *(hashes[at + k] for k in range(size))])
-                at, counts = at[kept], counts[kept]
-                parts = [spelled.dictionary.take(pa.array(ids[at + k])) for k in range(size)]
-                phrase = parts[0] if size == 1 else pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string()))
-                yield pa.RecordBatch.from_arrays(
-                    [langs.take(pa.array(lang[at])), phrase.cast(pa.string()), pa.array(counts.astype(np.int64))], ["lang", "phrase", "f"])
-
-    return docs.mapInArrow(run, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+                found = counts_of(part)
+                for low in range(0, found.num_rows, SENT_ROWS):
+                    yield found.slice(low, SENT_ROWS)
+
+    by = ["lang", "phrase"] if spell else ["h"]
+    return docs.mapInArrow(run, "lang string, phrase string, f long" if spell else "h long, f long").groupBy(*by).agg(F.sum("f").alias("f"))
 
 
 def _score(a: str, left: str, right: str) -> Column:
@@ -181,8 +204,9 @@ def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", best:
     ``best`` survivors there is done, ties included; the others go on to a lower edge.
 
     Counts are exact: a block of texts counts its phrases by their words and Spark
-    sums the blocks' counts, so that no phrase is a hot key.  What a round looks for
-    goes to the tasks as a filter of FILTER_BITS bits.
+    sums the blocks' counts, so that no phrase is a hot key.  What is looked for goes
+    to the tasks as a filter of FILTER_BITS bits; phrases that pass in vain are counted
+    and then left out by their counts.
 
     A null text has no words, a null language is ``und``; empty texts and words of any
     length are handled, repeated rows count each, an empty table gives no rows, and
@@ -194,26 +218,29 @@ def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", best:
     words = written(_counted(plain, 1, lambda h: np.ones(len(h[0]), bool)), "words")
     totals = written(words.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
     often = words.where(F.col("f") >= least)
-    frequent = _filter(often)
+    frequent = _filter(_hashes(often))
 
     def of_frequent(h: list[np.ndarray]) -> np.ndarray:
         known = Filter(frequent.value)
         return known.holds(_joined(h[0], h[1])) & known.holds(_joined(h[0], h[2]))
 
-    pairs = written(_counted(plain, 2, of_frequent).where(F.col("f") >= least), "pairs")
+    # most pairs are rare, so they are first counted by their hash, which can only count too many
+    likely = _filter(_counted(plain, 2, of_frequent, spell=False).where(F.col("f") >= least))
     frequent.unpersist()
+    pairs = written(_counted(plain, 2, lambda h: Filter(likely.value).holds(_joined(*h))).where(F.col("f") >= least), "pairs")
+    likely.unpersist()
     sides = pairs.withColumns({"front": _part(1, 1), "back": _part(2, 1)})
     pairs = written(_with_counts(_with_counts(sides, "front", "l", often), "back", "r", often).select(
         "lang", "phrase", "f", "l", "r", _score("f", "l", "r").alias("score")).withColumn(
         "bound", F.greatest("score", _score("f", "f", "l"))), "scored-pairs")  # f f / (f l) is f / l
-    known_pairs = _filter(pairs)
+    known_pairs = _filter(_hashes(pairs))
     open_, rank, above, found = totals.select("lang"), best * FIRST, None, None
     while True:
         edges = written(_edges(pairs, open_.select("lang", F.lit(rank).cast("long").alias("rank"))), "edges")
         frontier = pairs.join(edges, "lang").where("bound >= edge")
         if above is not None:
             frontier = frontier.join(above.withColumnRenamed("edge", "before"), "lang").where("bound < before")
-        reached = _filter(frontier)
+        reached = _filter(_hashes(frontier))
 
         def around_frontier(h: list[np.ndarray], reached: Broadcast = reached) -> np.ndarray:
             front, back = _joined(h[0], h[1], h[2]), _joined(h[0], h[2], h[3])
