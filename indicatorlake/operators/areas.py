@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import is_blank, strip
 from ..session import written
+from .area_tokens import codes_by_words
 from .reshape import quoted
 
 # M49 region names and their codes.
@@ -53,7 +54,7 @@ COUNTRY_ALIASES = [
     ("bolivia", r"bolivia", "068"),
     ("brunei", r"brunei", "096"),
     ("cape", r"cape verde", "132"),
-    ("congo", r"democratic republic.*congo|congo.*dem|\bdr congo", "180"),
+    ("congo", r"\bdem.*congo|congo.*\bdem|\bdr congo", "180"),
     ("congo", r"^(?!.*dem)(?!.*\bdr\b).*congo", "178"),
     ("ivoire", r"c.te d.ivoire", "384"),
     ("ivory", r"ivory coast", "384"),
@@ -82,7 +83,7 @@ COUNTRY_ALIASES = [
     ("britain", r"great britain", "826"),
     ("kingdom", r"united kingdom", "826"),
     ("usa", r"\busa\b", "840"),
-    ("states", r"united states(?!.*(virgin|minor))", "840"),
+    ("states", r"^(?!.*(virgin|minor)).*united states", "840"),
     ("venezuela", r"venezuela", "862"),
     ("vietnam", r"vietnam", "704"),
     ("viet", r"viet nam", "704"),
@@ -135,8 +136,9 @@ def bare_letters(text: Column) -> Column:
 
 
 def plain_name(name: Column) -> Column:
-    """Lower-case words of a name without marks, one space apart; a leading "st" is "saint" and "&" is "and"."""
-    words = F.trim(F.regexp_replace(F.replace(bare_letters(name), F.lit("&"), F.lit(" and ")), r"(?U)[^\p{L}\p{N}]+", " "))
+    """Lower-case words of a name without marks, one space apart; a leading "st" is "saint", "&" is "and", "U.S." is "us"."""
+    joined = F.regexp_replace(bare_letters(name), r"(?U)(?<=\b\p{L})\.(?=\p{L}\b)", "")  # "u.s.a." is "usa."
+    words = F.trim(F.regexp_replace(F.replace(joined, F.lit("&"), F.lit(" and ")), r"(?U)[^\p{L}\p{N}]+", " "))
     return F.regexp_replace(words, r"^st ", "saint ")
 
 
@@ -155,14 +157,17 @@ def name_codes(
     regions: DataFrame,
     aliases: DataFrame,
     skip_aggregates: bool = False,
+    by_words: bool = False,
 ) -> DataFrame:
     """(name, code) for every distinct non-blank name of ``df``; NULL code when none or several fit.
 
     Region names match first and exactly (so "Southern Africa" is no country).
     The rest match a reference name or a listed spelling word for word, accents
-    aside, or an alias pattern; aliases are found by equi-join on a word of the
+    aside, or else an alias pattern; aliases are found by equi-join on a word of the
     name, so no name meets every pattern.  Only names that match nothing so are
-    tried without an addition such as ", The" or "(Republic of)".
+    tried without an addition such as ", The" or "(Republic of)", on both sides, and
+    with ``by_words`` what is left then by the weight of the words they share with an
+    area (``area_tokens``).
     With ``skip_aggregates`` a name holding a colon never matches.
 
     The names and the finished mapping are written out: the facts are read once
@@ -186,10 +191,12 @@ def name_codes(
         .join(known, "_plain")
         .select("_name", "_code", F.lit(1).alias("_rank"))
     )
+    shorter = areas.select(short_name(F.col("area_name")).alias("_plain"), F.col("m49_code").alias("_code")).where("_plain IS NOT NULL")
+    short = known.unionByName(shorter.join(known, "_plain", "left_anti")).distinct()
     shortened = (
-        open_names.withColumn("_plain", short_name(F.col("_key")))
-        .join(known, "_plain")
-        .select("_name", "_code", F.lit(2).alias("_rank"))
+        open_names.withColumn("_plain", F.explode(F.array(plain_name(F.col("_key")), short_name(F.col("_key")))))
+        .join(short, "_plain")
+        .select("_name", "_code", F.lit(3).alias("_rank"))
     )
     words = open_names.select(
         "_name", "_key", F.explode(F.array_distinct(F.split(plain_name(F.col("_key")), " "))).alias("anchor")
@@ -197,10 +204,15 @@ def name_codes(
     by_alias = (
         words.join(aliases, "anchor")
         .where(F.rlike(bare_letters(F.col("_key")), F.col("pattern")) | F.rlike(F.col("_key"), F.col("pattern")))
-        .select("_name", F.col("m49_code").alias("_code"), F.lit(1).alias("_rank"))
+        .select("_name", F.col("m49_code").alias("_code"), F.lit(2).alias("_rank"))
     )
+    found = exact.unionByName(by_alias).unionByName(shortened)
+    if by_words:
+        found = written(found, "named")
+        rest = open_names.join(found, "_name", "left_anti").select("_name", plain_name(F.col("_key")).alias("_plain"))
+        found = found.unionByName(codes_by_words(rest, short).withColumn("_rank", F.lit(4)))
     single = (
-        exact.unionByName(by_alias).unionByName(shortened)
+        found
         .groupBy("_name", "_rank").agg(F.min("_code").alias("_low"), F.max("_code").alias("_high"))
         .groupBy("_name").agg(F.min_by(F.struct("_low", "_high"), "_rank").alias("_c"))
         .where("_c._low = _c._high")

@@ -26,6 +26,7 @@ class AreaNames:
     areas: DataFrame  # m49_code, iso3c, area_name
     regions: DataFrame  # area_name, m49_code
     aliases: DataFrame  # anchor, pattern, m49_code
+    by_words: bool = True  # whether names that match nothing word for word are told by their rarest words
 
     @staticmethod
     def standard(areas: DataFrame) -> AreaNames:
@@ -164,7 +165,7 @@ LABOUR_AREA, LABOUR_CODE = "ref_area.label", "ref_area.m49code"
 
 
 def _with_area_codes(rows: DataFrame, area: str, code: str, names: AreaNames, skip: bool = False) -> DataFrame:
-    codes = name_codes(rows, area, code, names.areas, names.regions, names.aliases, skip)
+    codes = name_codes(rows, area, code, names.areas, names.regions, names.aliases, skip, names.by_words)
     return lookup_join(rows, codes, {area: area})
 
 

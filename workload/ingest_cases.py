@@ -254,6 +254,27 @@ def name_to_code(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup_join(facts, codes, {"name": "name"})
 
 
+# Areas of two words each; names hold both in turn with generic ones, only the one that an area has for itself, only a shared one, or a strange one.
+_WORD_AREAS = """SELECT lpad(CAST(n_nationkey AS STRING), 3, '0') AS m49_code, 'A' || CAST(n_nationkey AS STRING) AS iso3c,
+    'Own' || CAST(n_nationkey AS STRING) || ' Shared' || CAST(n_nationkey % 5 AS STRING) AS area_name FROM nation"""
+_WORD_NAMES = """SELECT c_custkey, CASE c_custkey % 6
+        WHEN 0 THEN 'Rep. of Shared' || CAST(c_nationkey % 5 AS STRING) || ', Own' || CAST(c_nationkey AS STRING)
+        WHEN 1 THEN 'Kingdom of Own' || CAST(c_nationkey AS STRING) WHEN 2 THEN 'Shared' || CAST(c_nationkey % 5 AS STRING) || ' (Republic)'
+        WHEN 3 THEN 'Own' || CAST(c_nationkey AS STRING) || ' and Other' WHEN 4 THEN 'Own' || CAST(c_nationkey AS STRING) || ' Own' || CAST((c_nationkey + 1) % 25 AS STRING)
+        ELSE 'shared' || CAST(c_nationkey % 5 AS STRING) || ' OWN' || CAST(c_nationkey AS STRING) END AS name FROM customer"""
+
+
+@case("name_codes_by_words", f"""
+    SELECT c_custkey, name, CASE WHEN c_custkey % 6 IN (0, 1, 5) THEN printf('%03d', c_nationkey) END AS m49
+    FROM ({_WORD_NAMES}) JOIN customer USING (c_custkey)""")
+def name_codes_by_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names that match no reference name word for word."""
+    facts = run_sql(spark, sf_dir, _WORD_NAMES, "customer")
+    areas, aliases = run_sql(spark, sf_dir, _WORD_AREAS, "nation"), run_sql(spark, sf_dir, _ALIASES, "nation").where("m49_code < '0'")
+    codes = name_codes(facts, "name", "m49", areas, region_table(spark), aliases, by_words=True)
+    return lookup_join(facts, codes, {"name": "name"})
+
+
 @case("unmatched_names", f"{_NAME_CODES} SELECT name FROM names WHERE name NOT IN (SELECT name FROM codes) ORDER BY name")
 def unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unmatched_names(_codes(spark, sf_dir)[1], "name", "m49")
