@@ -74,24 +74,6 @@ def column_diff(left: DataFrame, right: DataFrame) -> tuple[list[str], list[str]
     return sorted(set(left.columns) - set(right.columns)), sorted(set(right.columns) - set(left.columns))
 
 
-def key_diff(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Keys (as text) that only one of two tables holds, with the side that holds them.
-
-    One shuffle: both sides are tagged, unioned and reduced by key with partial
-    aggregation, so repeated keys collapse before they travel.
-    """
-    text = F.col(quoted(key)).cast("string").alias("key")
-    tagged = left.select(text, F.lit(True).alias("is_left")).unionByName(
-        right.select(text, F.lit(False).alias("is_left"))
-    )
-    sides = tagged.groupBy("key").agg(
-        F.bool_or("is_left").alias("in_left"), F.bool_or(~F.col("is_left")).alias("in_right")
-    )
-    return sides.where("NOT (in_left AND in_right)").select(
-        "key", F.when(F.col("in_left"), F.lit("left")).otherwise(F.lit("right")).alias("only_in")
-    )
-
-
 def missing_from(expected: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     """Distinct expected names with no counterpart; both sides collapse to names before they travel."""
     return expected.select(key).distinct().join(existing.select(key).distinct(), key, "left_anti")

@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.quality import RUNNABLE_STATUSES, runnable, source_codes, valid_rows, with_reasons
-from ..operators.selection import indicators, select_indicators
+from ..operators.changes import row_changes
+from ..operators.selection import Indicator, indicators, select_indicators, selected
+from ..session import written
 from ..sources.config import promote
 from ..sources.tables import Lake
 from . import runlog
@@ -19,6 +21,8 @@ from .harmonise import assert_observation
 CONFIG = "cfg_stage_tbl"
 LOG = "log_stage_tbl"
 MAX_CONCURRENCY = 10
+#: When a version was published and stored, the same for all its rows.
+STAMPS = ("afs_source_updated_at", "afs_source_ingested_at")
 FILE_ORDER = ("afs_year", "afs_m49_code")
 
 
@@ -126,6 +130,46 @@ def reconstruct(
     return _run(lake, groups, skipped, "RECONSTRUCT", True, max_concurrency, run_id or runlog.new_run_id())
 
 
+def changed_uids(before: DataFrame, after: DataFrame, wanted: Iterable[Indicator]) -> list[str]:
+    """Indicators that select a row which came, went or changed between two versions of a view.
+
+    When a version was published and stored does not count as a change; indicators
+    that ask for it are always named.
+    """
+    wanted = list(wanted)
+    always = {i.uid for i in wanted if any(c in f"{i.condition} {i.query}" for c in STAMPS)}
+    rest = [i for i in wanted if i.uid not in always]
+    if not rest:
+        return sorted(always)
+    columns = [c for c in after.columns if c not in STAMPS]
+    changed = written(row_changes(before, after, columns).select(*columns), "changed")
+    hit = selected(changed, rest).select("afs_uid").distinct().collect()
+    return sorted(always | {r.afs_uid for r in hit})
+
+
+def refresh(
+    lake: Lake, before: dict[str, DataFrame], views: dict[str, DataFrame], max_concurrency: int = MAX_CONCURRENCY, run_id: str | None = None
+) -> DataFrame:
+    """After new versions of sources: stage the runnable indicators whose rows changed, and leave the others as they are.
+
+    ``before`` has the views of the versions that stage tables were made from; a source
+    that is not among them, or has no stage table yet, is staged whole.  A source
+    without a changed row is logged as SKIPPED.
+    """
+    config = runnable(checked_config(lake, views), RUNNABLE_STATUSES)
+    names: dict[str, list[str]] = {}
+    skipped = left_out(lake, views, RUNNABLE_STATUSES, None)
+    for code, wanted in indicators(config).items():
+        known = code in before and lake.exists(table_name(code))
+        names[code] = changed_uids(before[code], views[code], wanted) if known else [i.uid for i in wanted]
+        if not names[code]:
+            skipped.append({"stg_view": view_name(code), "stg_tbl": table_name(code), "afs_uid_list": sorted(i.uid for i in wanted),
+                            "error_message": "no row changed"})
+    chosen = [(code, uid) for code, uids in names.items() for uid in uids]
+    asked = config.where(F.concat_ws("\x01", "afs_source_code", "afs_uid").isin([f"{code}\x01{uid}" for code, uid in chosen]))
+    return _run(lake, plan_groups(asked, views), skipped, "REFRESH", False, max_concurrency, run_id or runlog.new_run_id())
+
+
 def unused_tables(lake: Lake, views: dict[str, DataFrame]) -> DataFrame:
     """Stage tables that no checked config row feeds, with their number of rows, by name."""
     used = checked_config(lake, views).select(

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..operators.quality import column_diff, key_diff, table_issues
+from ..operators.changes import key_diff
+from ..operators.quality import column_diff, table_issues
 from ..sources.config import config_from_csv, sheet_rows
 from ..sources.tables import Lake
 from . import runlog

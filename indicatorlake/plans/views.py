@@ -59,3 +59,9 @@ def register_views(
         except Exception as error:  # reported per view
             row.update(status="FAILED", message=runlog.error_text(error))
     return views, rows
+
+
+def previous_views(areas: DataFrame, codes: Iterable[str], lake: Lake) -> dict[str, DataFrame]:
+    """The views of the versions that the present ones took the place of; sources of one version only are left out."""
+    found = {code: lake.before(source_view_name(code)) for code in codes}
+    return {code: harmonise(source, areas, code) for code, source in found.items() if source is not None}

@@ -64,13 +64,21 @@ class Lake:
         return {r.key: r.value for r in self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)}").collect()}
 
     def publish(self, table: str, folder: str) -> None:
-        """Let a table stand for the Parquet files of a folder written elsewhere."""
-        self._point(table, f"SELECT * FROM parquet.{quoted(folder)}", folder=folder)
+        """Let a table stand for the Parquet files of a folder written elsewhere, and note which one it stood for."""
+        known = self._noted(table) if self.exists(table) else {}
+        before = known.get("folder") if known.get("folder") != folder else known.get("before")
+        noted = {"before": before} if before else {}
+        self._point(table, f"SELECT * FROM parquet.{quoted(folder)}", folder=folder, **noted)
 
     def folder(self, table: str) -> str | None:
         """The folder a published table stands for."""
         return self._noted(table).get("folder") if self.exists(table) else None
 
+    def before(self, table: str) -> DataFrame | None:
+        """The rows of the folder a published table stood for before its present one."""
+        folder = self._noted(table).get("before") if self.exists(table) else None
+        return self.spark.read.parquet(folder) if folder and parquet_exists(self.spark, folder) else None
+
     def write(self, table: str, df: DataFrame, partition_by: str | None = None, replace: bool = True, sort_by: Iterable[str] = ()) -> int:
         """Create a table, or replace it whole; returns its number of rows.
 

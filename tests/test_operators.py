@@ -14,10 +14,11 @@ from indicatorlake.operators import quality as q
 from indicatorlake.operators.areas import alias_table, name_codes, region_table
 from indicatorlake.operators import grid
 from indicatorlake.operators.grid import KEYS, all_pairs, gap_fill, reference_grid
+from indicatorlake.operators.changes import BUCKETS, key_diff, row_changes
 from indicatorlake.operators.lookup import first_per_key, lookup_join
 from indicatorlake.operators.ordering import globally_ordered
 from indicatorlake.operators.reshape import rename_columns, years_to_rows
-from indicatorlake.operators import predicates
+from indicatorlake.operators import changes, predicates
 from indicatorlake.operators.selection import Indicator, batches, fan_out, processed, processed_together, select_indicators, selected
 from indicatorlake.plans.harmonise import OBSERVATION, assert_observation, harmonise
 from indicatorlake.plans.export import published_uids
@@ -232,7 +233,7 @@ def test_config_reasons(spark):
 def test_key_diff_counts_null_as_a_key(spark):
     left = spark.createDataFrame([("a",), ("a",), (None,)], "k string")
     right = spark.createDataFrame([("a",), ("b",)], "k string")
-    assert rows(q.key_diff(left, right, "k")) == Counter([(None, "left"), ("b", "right")])
+    assert rows(key_diff(left, right, "k")) == Counter([(None, "left"), ("b", "right")])
 
 
 def test_table_issues(spark):
@@ -267,3 +268,26 @@ def test_view_schema_is_canonical_and_duplicate_areas_fan_out(spark):
                                "'c' AS afs_source_code", "'d' AS afs_source_updated_at", "'2024-01-01' AS afs_source_ingested_at")
     twice = spark.createDataFrame([("001", "X"), ("002", "X")], "m49_code string, iso3c string")
     assert harmonise(source, twice, "fsd").count() == 2
+
+
+def test_row_changes_are_a_multiset_difference(spark):
+    schema = "a string, b string, x double"
+    before = [("k", None, 1.0), (None, "k", 1.0), ("same", "s", 0.0), ("twice", "t", 2.0), ("twice", "t", 2.0), ("gone", "g", None), ("nan", "n", float("nan"))]
+    after = [(None, "k", 1.0), (None, "k", 1.0), ("same", "s", -0.0), ("twice", "t", 2.0), ("new", "g", None), ("nan", "n", float("nan")), (None, None, None)]
+    b, a = spark.createDataFrame(before, schema), spark.createDataFrame(after, schema)
+    assert rows(row_changes(b, a, ["a", "b", "x"])) == Counter([
+        ("k", None, 1.0, 1, 0), (None, "k", 1.0, 1, 2), ("twice", "t", 2.0, 2, 1), ("gone", "g", None, 1, 0), ("new", "g", None, 0, 1), (None, None, None, 0, 1)])
+    assert rows(row_changes(b, a, ["x"])) == Counter([(2.0, 2, 1), (None, 1, 2)])
+    assert row_changes(b, b.orderBy("a"), ["a", "b", "x"]).count() == 0
+    assert row_changes(b.where("false"), b.where("false"), ["a"]).count() == 0
+
+
+def test_only_buckets_that_differ_are_compared(spark):
+    left = spark.range(20000).selectExpr("CAST(id AS STRING) AS k", "id % 7 AS v")
+    right = left.where("k <> '77'").unionByName(spark.createDataFrame([("new", 1)], "k string, v long"))
+    found = key_diff(left, right, "k")
+    assert rows(found) == Counter([("77", "left"), ("new", "right")])
+    differ = changes.differing_buckets(left, right, [F.col("k")], [F.col("k")])
+    assert 1 <= differ.count() <= 2 < 20000 < BUCKETS
+    shuffled = [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "SortMergeJoin" in line]
+    assert shuffled == []  # the few buckets go to the rows, not the rows to them

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from indicatorlake.functions import source_version
 from indicatorlake.operators import quality as q
+from indicatorlake.operators.changes import key_diff, row_changes
 from indicatorlake.plans import sync
 from indicatorlake.session import scratch_folder
 from indicatorlake.sources import config as c
@@ -142,10 +143,30 @@ def table_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     left, right = run_sql(spark, sf_dir, _V1, "customer"), run_sql(spark, sf_dir, _V2, "customer")
     only_left, only_right = q.column_diff(left, right)
     columns = [("column", n, "left") for n in only_left] + [("column", n, "right") for n in only_right]
-    rows = q.key_diff(left, right, "c_custkey").select(F.lit("row").alias("kind"), F.col("key").alias("name"), "only_in")
+    rows = key_diff(left, right, "c_custkey").select(F.lit("row").alias("kind"), F.col("key").alias("name"), "only_in")
     return rows.unionByName(spark.createDataFrame(columns, rows.schema))
 
 
+# Lines of two versions: some are gone, some came, some changed a NULL from one column to the other, some are there once more.
+_LINES = "SELECT l_orderkey, l_suppkey, l_returnflag, CASE WHEN l_linenumber = 3 THEN NULL ELSE l_linestatus END AS l_linestatus, l_quantity FROM lineitem"
+_BEFORE = f"SELECT * FROM ({_LINES}) WHERE l_orderkey % 50 <> 7"
+_AFTER = f"""SELECT l_orderkey, l_suppkey, CASE WHEN l_orderkey % 40 = 3 THEN l_linestatus ELSE l_returnflag END AS l_returnflag,
+        CASE WHEN l_orderkey % 40 = 3 THEN l_returnflag ELSE l_linestatus END AS l_linestatus, l_quantity FROM ({_LINES}) WHERE l_orderkey % 60 <> 9
+    UNION ALL SELECT * FROM ({_LINES}) WHERE l_orderkey % 70 = 1 AND l_orderkey % 60 <> 9"""
+
+
+@case("changed_rows", f"""
+    WITH b AS ({_BEFORE}), a AS ({_AFTER})
+    SELECT 'gone' AS kind, *, count(*) AS n FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a) GROUP BY ALL
+    UNION ALL SELECT 'came', *, count(*) FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) GROUP BY ALL""")
+def changed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a new version of a table lost and gained, each row as often as it did."""
+    before, after = run_sql(spark, sf_dir, _BEFORE, "lineitem"), run_sql(spark, sf_dir, _AFTER, "lineitem")
+    found = row_changes(before, after, before.columns)
+    return found.select(F.when(F.col("n_before") > F.col("n_after"), F.lit("gone")).otherwise(F.lit("came")).alias("kind"), *before.columns,
+                        F.abs(F.col("n_before") - F.col("n_after")).alias("n"))
+
+
 @case("table_problems", """
     SELECT * FROM (VALUES ('empty', 'empty is empty'), ('odd', 'odd has blank column names at [2]'), ('odd', 'odd repeats column names [''c_name'']'))
     AS t(kind, issue) WHERE (SELECT count(*) FROM customer) > 0""")

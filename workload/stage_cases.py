@@ -138,6 +138,30 @@ def replace_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read("stg_orders_tbl")
 
 
+# The next version of the view: rows of one unit are gone, those of one area doubled.
+_NEXT = "SELECT * FROM v WHERE afs_flag IS DISTINCT FROM 'flag 4' UNION ALL SELECT * FROM v WHERE afs_m49_code = '007' AND afs_year = 1997"
+
+
+@case("stage_refreshed", f"""
+    {_VIEW}, v2 AS ({_NEXT}), changed AS (
+        (SELECT * EXCLUDE (afs_source_ingested_at) FROM v EXCEPT ALL SELECT * EXCLUDE (afs_source_ingested_at) FROM v2)
+        UNION ALL (SELECT * EXCLUDE (afs_source_ingested_at) FROM v2 EXCEPT ALL SELECT * EXCLUDE (afs_source_ingested_at) FROM v))
+    {" UNION ALL ".join(f"SELECT '{uid}' AS afs_uid, (SELECT count(*) FROM v2 WHERE {sql}) AS n_rows, EXISTS (SELECT 1 FROM changed WHERE {sql}) AS restaged"
+                        for uid, _, sql in PREDICATES)}""")
+def stage_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A new version of a source: rows of each indicator afterwards, and whether it was staged anew."""
+    lake = _lake(spark)
+    lake.write(stage.CONFIG, _config(spark, [(uid, CODE, condition, "ACTIVE", None) for uid, condition, _ in PREDICATES]))
+    now = view(spark, sf_dir, CODE)
+    later = now.where("NOT (afs_flag <=> 'flag 4')").unionByName(now.where("afs_m49_code = '007' AND afs_year = 1997"))
+    stage.reconstruct(lake, {CODE: now})
+    log = stage.refresh(lake, {CODE: now}, {CODE: later}).where("job_status = 'SUCCESS'").select(F.explode("afs_uid_list").alias("afs_uid"), F.lit(True).alias("restaged"))
+    counts = lake.read(stage.table_name(CODE)).groupBy("afs_uid").agg(F.count("*").alias("n_rows"))
+    asked = spark.createDataFrame([(uid,) for uid, _, _ in PREDICATES], "afs_uid string")
+    return asked.join(counts, "afs_uid", "left").join(log, "afs_uid", "left").select(
+        "afs_uid", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), F.coalesce("restaged", F.lit(False)).alias("restaged"))
+
+
 CONFIG_ROWS = [
     ("late", CODE, "afs_year >= 2000", "DRAFT", None),
     ("area", CODE, "afs_m49_code IN ('003', '007')", "ACTIVE", None),
