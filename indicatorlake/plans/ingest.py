@@ -94,4 +94,5 @@ def ingest(
         if run["status"] == "SUCCESS":
             updates = runlog.log_frame(lake.spark, runlog.SOURCE_LOG, [run]).select("afs_source_code", "afs_source_ingested_at")
             lake.write(SOURCE_CONFIG, update_fields(lake.read(SOURCE_CONFIG), updates, "afs_source_code"))
+            lake.drop_old_versions(SOURCE_CONFIG)
     return runlog.log_frame(lake.spark, runlog.SOURCE_LOG, runs)

@@ -105,6 +105,7 @@ def _run(lake: Lake, groups: list[dict], skipped: list[dict], run_type: str, reb
     uids = [u for r in results if r["job_status"] == "SUCCESS" for u in r["afs_uid_list"]]
     if uids:
         lake.write(CONFIG, promote(lake.read(CONFIG), uids))
+        lake.drop_old_versions(CONFIG)
     return runlog.log_frame(lake.spark, runlog.STAGE_LOG, results + noted)
 
 

@@ -9,6 +9,8 @@ table.
 
 from __future__ import annotations
 
+import re
+import time
 import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
@@ -22,12 +24,21 @@ from ..operators.reshape import quoted
 #: Partition column that tells the generations of replaced keys apart; only inside versions.
 GENERATION = "_generation"
 FIRST = "first"
+#: Old versions that ``drop_old_versions`` leaves for running readers.
+KEPT_VERSIONS = 3
+#: Replaced keys that a table's view names one by one.
+MOST_GENERATIONS = 200
 
 
 def _literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _generations(noted: dict[str, str]) -> dict[str, str]:
+    """The generation of every key that is not of the first one."""
+    return dict(pair.split("\x01", 1)[::-1] for pair in noted["generations"].split("\x02") if pair)
+
+
 @dataclass(frozen=True)
 class Lake:
     spark: SparkSession
@@ -94,15 +105,38 @@ class Lake:
         fields = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema)
         if partition_by:
             self.spark.sql(f"CREATE TABLE {self.name(version)} ({fields}, {quoted(GENERATION)} string) USING parquet "
-                           f"PARTITIONED BY ({quoted(GENERATION)}, {quoted(partition_by)}) LOCATION {_literal(folder)}")
+                           f"PARTITIONED BY ({quoted(GENERATION)}, {quoted(partition_by)}) LOCATION {_literal(folder)} {self._made(folder)}")
             self.spark.catalog.recoverPartitions(self.name(version))
         else:
-            self.spark.sql(f"CREATE TABLE {self.name(version)} ({fields}) USING parquet LOCATION {_literal(folder)}")
+            self.spark.sql(f"CREATE TABLE {self.name(version)} ({fields}) USING parquet LOCATION {_literal(folder)} {self._made(folder)}")
         columns = ", ".join(quoted(c) for c in df.columns)
         where = f" WHERE {quoted(GENERATION)} = '{FIRST}'" if partition_by else ""
         self._point(table, f"SELECT {columns} FROM {self.name(version)}{where}", version=version, stored=folder, columns=columns, generations="")
         return n
 
+    @staticmethod
+    def _made(folder: str) -> str:
+        return f"TBLPROPERTIES ('made' = '{time.time_ns()}', 'stored' = {_literal(folder)})"
+
+    def drop_old_versions(self, table: str, keep: int = KEPT_VERSIONS) -> int:
+        """Drop the versions a table does not stand for, but for the ``keep`` newest of them, with their files.
+
+        Readers of a dropped version fail, so ``keep`` has to cover the writes that
+        happen while one reads.  Published folders are not the lake's to remove.
+        Returns how many were dropped.
+        """
+        current = self._noted(table).get("version") if self.exists(table) else None
+        names = [r.tableName for r in self.spark.sql(f"SHOW TABLES IN {quoted(self.database)} LIKE '{table}__*'").collect()]
+        old = [n for n in names if re.fullmatch(re.escape(table.lower()) + "__[0-9a-f]{32}", n.lower()) and n != current]
+        aged = sorted(((int(self._noted(n).get("made", 0)), n) for n in old), reverse=True)
+        for _, name in aged[keep:]:
+            folder = self._noted(name).get("stored")
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(name)}")
+            if folder:
+                path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        return len(aged[keep:])
+
     def _store(self, df: DataFrame, folder: str, partition_by: str | None, sort_by: Iterable[str]) -> tuple[int, list[str]]:
         """Write files; the number of rows and the values of the partition column."""
         seen = Observation(f"store-{uuid.uuid4().hex}")
@@ -123,7 +157,11 @@ class Lake:
 
         A value with no new rows ends with none.  Only these partitions are written,
         as a generation of their own that no reader sees until the table's view says
-        so for all of them at once.
+        so for all of them at once.  Two runs may replace different keys of a table at
+        a time; where another run replaced the same ones, or the table as a whole, this
+        one is refused.  (Catalogs compare nothing by themselves: a change in the moment
+        between this check and the next statement would go unseen.)  Beyond
+        MOST_GENERATIONS replaced keys the table is stored anew as one version.
         """
         noted = self._noted(table)
         wanted = list(dict.fromkeys(values))
@@ -135,14 +173,19 @@ class Lake:
                  f"LOCATION {_literal(f'{noted["stored"]}/{GENERATION}={generation}/{key}={_folder_name(v)}')}" for v in sorted(written)]
         if added:
             self.spark.sql(f"ALTER TABLE {version} ADD IF NOT EXISTS {' '.join(added)}")
-        # generation:key pairs, one for every key that is not of the first generation
-        current = dict(p.split("\x01", 1)[::-1] for p in noted["generations"].split("\x02") if p)
+        # what other runs did meanwhile: their keys stay theirs, a key of both is refused
+        now = self._noted(table)
+        seen, current = _generations(noted), _generations(now)
+        if now["version"] != noted["version"] or any(seen.get(v) != current.get(v) for v in wanted):
+            raise RuntimeError(f"{table} was changed by another run while this one wrote; its rows stay, nothing of this run is shown")
         current |= {v: generation if v in written else "none" for v in wanted}
         pairs = ", ".join(f"{_literal(k)}, {_literal(g)}" for k, g in sorted(current.items()))
         live = f"coalesce(element_at(map({pairs}), {quoted(key)}), '{FIRST}')" if pairs else f"'{FIRST}'"
         where = f" WHERE {quoted(GENERATION)} = {live}"
-        self._point(table, f"SELECT {noted['columns']} FROM {version}{where}",
-                    **{**{k: noted[k] for k in ("version", "stored", "columns")}, "generations": "\x02".join(f"{g}\x01{k}" for k, g in sorted(current.items()))})
+        self._point(table, f"SELECT {now['columns']} FROM {version}{where}",
+                    **{**{k: now[k] for k in ("version", "stored", "columns")}, "generations": "\x02".join(f"{g}\x01{k}" for k, g in sorted(current.items()))})
+        if len(current) > MOST_GENERATIONS:  # the view's text would grow with every key ever replaced
+            self.write(table, self.read(table), key, sort_by=sort_by)
         return n
 
     def append(self, table: str, df: DataFrame) -> None:
