@@ -12,6 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +20,8 @@ from indicatorlake.session import written
 
 #: Bytes of text that one round of array work handles; a longer single text is a round of its own.
 CHUNK_BYTES = 1 << 18
+#: Bytes from which on a span is hashed as a whole.
+LONG = 256
 #: Base of the rolling hashes, odd, so that it has an inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
 
@@ -93,12 +96,21 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 def spans_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of values[start:end] for every span; equal contents give equal hashes."""
+    """A 64-bit hash of values[start:end] for every span; equal contents give equal hashes.
+
+    A sum of powers modulo 2**64 can be made to collide by spans of 1,024 values and
+    more; spans of LONG bytes and more are hashed as a whole by XXH3 instead.
+    """
     up, down = powers(len(values) + 1)
     sums = np.zeros(len(values) + 1, np.uint64)
     np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up[: len(values)], out=sums[1:])
     raw = (sums[ends] - sums[starts]) * down[starts]
-    return mixed(raw + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    out = mixed(raw + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    if values.dtype == np.uint8:
+        data = np.ascontiguousarray(values)
+        for k in np.flatnonzero(ends - starts >= LONG).tolist():
+            out[k] = xxhash.xxh3_64_intdigest(data[starts[k] : ends[k]])
+    return out
 
 
 def folding(separators: bytes = b" \t\n\r\x0b\x0c") -> np.ndarray:

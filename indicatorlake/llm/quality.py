@@ -53,8 +53,14 @@ def _line_repeats(words: Words, chars: np.ndarray) -> tuple[np.ndarray, np.ndarr
     starts, ends, owner, first, last = starts[full], ends[full], owner[full], first[full], last[full]
     keys = spans_hash(data, starts, ends) ^ (owner.astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
     order = np.argsort(keys, kind="stable")
+    same = keys[order][1:] == keys[order][:-1]
     again = np.zeros(len(keys), bool)
-    again[order[1:]] = keys[order][1:] == keys[order][:-1]
+    again[order[1:]] = same
+    raw = data.tobytes()
+    for k, before in zip(order[1:][same].tolist(), order[:-1][same].tolist()):
+        if raw[starts[k] : ends[k]] != raw[starts[before] : ends[before]]:  # equal in hash only: by content then
+            seen = {raw[starts[j] : ends[j]] for j in range(k) if owner[j] == owner[k]}
+            again[k] = raw[starts[k] : ends[k]] in seen
     sums = np.zeros(len(chars) + 1, np.int64)
     np.cumsum(chars, out=sums[1:])
     inside = (sums[last] - sums[first])[again]

@@ -182,10 +182,10 @@ def _windows(texts: DataFrame, window: int) -> DataFrame:
                 rows = owner[context]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(hashes[start + words.bounds[rows]]), part.column("key").take(pa.array(rows)), part.column("mark").take(pa.array(rows)),
-                     pa.array(start.astype(np.int32)), flat.field("times").take(pa.array(context))],
-                    ["window", "key", "mark", "start", "times"])
+                     pa.array(start.astype(np.int32)), *(flat.field(n).take(pa.array(context)) for n in ("times", "anchor"))],
+                    ["window", "key", "mark", "start", "times", "anchor"])
 
-    return texts.mapInArrow(run, "window long, key long, mark long, start int, times long")
+    return texts.mapInArrow(run, "window long, key long, mark long, start int, times long, anchor long")
 
 
 def _routed(contexts: DataFrame, shards: int) -> DataFrame:
@@ -261,8 +261,9 @@ def repeated_windows(rows: DataFrame, texts: DataFrame, window: int = WINDOW, an
     partial = routed.groupBy("shard").applyInPandas(_matched(window), "key long, mark long, start int, size int")
     # stored, so that the rows of a window that many texts share can be split over tasks
     places = written(_windows(asked[True], window), "windows")
-    again = written(places.groupBy("window").agg(F.sum("times").alias("n")).where("n > 1").select("window"), "again")
-    single = places.where("times = 1").join(again, "window").select("key", "mark", "start", F.lit(1).alias("size"))
+    # equal windows have equal anchors, so both hashes together name a window, by 128 bits
+    again = written(places.groupBy("anchor", "window").agg(F.sum("times").alias("n")).where("n > 1").select("anchor", "window"), "again")
+    single = places.where("times = 1").join(again, ["anchor", "window"]).select("key", "mark", "start", F.lit(1).alias("size"))
     wholly = met.join(contents.where("times > 1").select("anchor", "content"), ["anchor", "content"]).select("key", "mark", "start", "size")
     return wholly.unionAll(partial).unionAll(single)
 
