@@ -11,9 +11,12 @@ from __future__ import annotations
 import csv as python_csv
 import re
 import uuid
+from collections import Counter
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,11 +33,15 @@ RECORD = "_record"
 FAULT = "_fault"
 SURPLUS, OTHER_WIDTH = "surplus", "other width"
 REPLACEMENT = "�"
+HEADERS_AT_ONCE = 16
+
+
+SCHEME = r"^[A-Za-z0-9+.-]+:/*"
 
 
 def _plain(path: str) -> str:
     """A path without its scheme, which different calls spell differently."""
-    return re.sub(r"^[A-Za-z0-9+.-]+:/*", "/", path).rstrip("/")
+    return re.sub(SCHEME, "/", path).rstrip("/")
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -130,13 +137,21 @@ def all_csvs(spark: SparkSession, folder: str) -> list[str]:
     return [_join(folder, n) for n in names]
 
 
+def _data_files(spark: SparkSession, path: str) -> list[str]:
+    """The files of a CSV, qualified as Spark names them: itself, or the part files of a folder that hold something."""
+    place, system = _hadoop(spark, path)
+    if not system.getFileStatus(place).isDirectory():
+        return [place.toUri().toString()]
+    return sorted(p.getPath().toUri().toString() for p in system.listStatus(place)
+                  if not p.getPath().getName().startswith(("_", ".")) and p.getLen() > 0)
+
+
 def _first_record(spark: SparkSession, path: str, encoding: str) -> str:
     """The first record of a CSV, read from the file system without a job; a few lines at most."""
     place, system = _hadoop(spark, path)
     if system.getFileStatus(place).isDirectory():
-        parts = sorted(p.getPath().toString() for p in system.listStatus(place)
-                       if not p.getPath().getName().startswith(("_", ".")) and p.getLen() > 0)
-        place = spark._jvm.org.apache.hadoop.fs.Path(parts[0]) if parts else None
+        parts = _data_files(spark, path)
+        place = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(parts[0])) if parts else None
     if place is None:
         raise ValueError(f"{path} is empty")
     java = spark._jvm.java.io
@@ -193,20 +208,42 @@ def _cells(spark: SparkSession, paths: Sequence[str], width: int, multiline: boo
     return rows.select("*", _width_fault(F.col(RECORD), width).alias(FAULT), place.alias(POSITION)).where(F.length(F.coalesce("c0", F.lit(""))) >= 0)
 
 
+def _beyond(cells: Column, width: int | Column) -> Column:
+    """Whether there is content beyond the first ``width`` cells."""
+    return F.exists(F.slice(cells, F.lit(1) + width, F.greatest(F.size(cells), F.lit(1))), lambda c: ~is_blank(c))
+
+
+def _raw_cells(record: Column) -> Column:
+    """The cells of a record, quoted ones set aside, to count them."""
+    return F.split(F.regexp_replace(record, records.QUOTED_CELL, "q"), ",", -1)
+
+
 def _width_fault(record: Column, width: int) -> Column:
-    """"surplus" where a record of another width has content beyond the header, else "other width"; quoted cells are set aside to count separators."""
-    cells = F.split(F.regexp_replace(record, records.QUOTED_CELL, "q"), ",", -1)
-    surplus = F.exists(F.slice(cells, F.lit(width + 1), F.greatest(F.size(cells), F.lit(1))), lambda c: ~is_blank(c))
+    """"surplus" where a record of another width has content beyond the header, else "other width"."""
+    surplus = _beyond(_raw_cells(record), width)
     return F.when(record.isNotNull(), F.when(surplus, F.lit(SURPLUS)).otherwise(F.lit(OTHER_WIDTH)))
 
 
-def _no_text(columns: Iterable[str]) -> Column:
+def _no_text(cells: Iterable[Column]) -> Column:
     found = F.lit(False)
-    for c in columns:
-        found = found | F.coalesce(F.contains(F.col(c), F.lit(REPLACEMENT)), F.lit(False))
+    for c in cells:
+        found = found | F.coalesce(F.contains(c, F.lit(REPLACEMENT)), F.lit(False))
     return found
 
 
+def _stopping(rows: DataFrame, fault: Column, message: Column) -> DataFrame:
+    return rows.where(F.when(fault, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+
+
+def _without_loss(cells: DataFrame, shown: str, surplus: str) -> DataFrame:
+    """Rows without those that lose content, which stop the read unless they are left to ``csv_rejects``."""
+    loses = F.coalesce(F.col(FAULT) != OTHER_WIDTH, F.lit(False))
+    if surplus != "fail":
+        return cells.where(~loses)
+    fault = F.when(F.col(FAULT) == SURPLUS, F.lit("more cells than the header")).otherwise(F.concat(FAULT, F.lit(" record")))
+    return _stopping(cells, loses, F.concat(F.lit(f"{shown}: "), fault, F.lit(": "), F.substring(F.coalesce(RECORD, F.lit("")), 1, 500)))
+
+
 def read_csv(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -244,19 +281,10 @@ def read_csv(
         raise KeyError(f"{paths[0]} lacks columns {missing}, has {header}")
     if multiline is None:
         multiline = has_multiline_cells(spark, *paths, encoding=encoding)
-    cells = _cells(spark, paths, len(header), multiline, encoding)
-    loses = F.coalesce(F.col(FAULT) != OTHER_WIDTH, F.lit(False))
-    if surplus == "fail":
-        fault = F.when(F.col(FAULT) == SURPLUS, F.lit(f"more cells than the {len(header)} of the header")).otherwise(F.concat(FAULT, F.lit(" record")))
-        message = F.concat(F.lit(f"{paths[0]}: "), fault, F.lit(": "), F.substring(F.coalesce(RECORD, F.lit("")), 1, 500))
-        cells = cells.where(F.when(loses, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
-    else:
-        cells = cells.where(~loses)
+    cells = _without_loss(_cells(spark, paths, len(header), multiline, encoding), paths[0], surplus)
     kept = [i for i, name in enumerate(header) if name not in drop]
     if bad_bytes == "fail":
-        message = F.lit(f"{paths[0]}: bytes that are not {encoding}")
-        broken = _no_text(f"c{i}" for i in kept)
-        cells = cells.where(F.when(broken, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+        cells = _stopping(cells, _no_text(F.col(f"c{i}") for i in kept), F.lit(f"{paths[0]}: bytes that are not {encoding}"))
     names = [(rename or {}).get(header[i], header[i]) for i in kept]
     columns = [F.col(f"c{i}") for i in kept]
     if position:
@@ -264,6 +292,50 @@ def read_csv(
     return cells.select(*columns).toDF(*names)
 
 
+def csv_headers(spark: SparkSession, paths: Sequence[str], encoding: str = "UTF-8") -> dict[str, list[str]]:
+    """The header of each CSV; many files are opened at a time."""
+    with ThreadPoolExecutor(max_workers=HEADERS_AT_ONCE) as pool:
+        return dict(zip(paths, pool.map(lambda path: csv_header(spark, path, encoding), paths)))
+
+
+def read_csvs(spark: SparkSession, headers: dict[str, list[str]], *, multiline: bool | None = None, encoding: str = "UTF-8",
+              surplus: str = "fail", bad_bytes: str = "fail") -> DataFrame:
+    """CSVs of any headers (by path) as one table of all their columns, in one scan; columns a file lacks are NULL.
+
+    Every row's cells are read by place.  A small table says, for each file, how wide
+    it is and where it has each column; rows meet it by their file's name and pick
+    their cells.  So the plan is the same for two headers and for a thousand.
+    Faults are told as ``read_csv`` tells them.
+    """
+    for path, header in headers.items():
+        twice = sorted(name for name, n in Counter(header).items() if n > 1)
+        if twice:
+            raise ValueError(f"{path} has columns twice: {twice}")
+    paths = list(headers)
+    columns = list(dict.fromkeys(name for header in headers.values() for name in header))
+    widest = max(map(len, headers.values()))
+    if multiline is None:
+        multiline = has_multiline_cells(spark, *paths, encoding=encoding)
+    shown = [readable(spark, p) for p in paths]
+    files = [(file, path) for path, visible in zip(paths, shown) for file in _data_files(spark, visible)]
+    places = {path: {name: k for k, name in enumerate(header)} for path, header in headers.items()}
+    table = spark.createDataFrame(pa.table({
+        "_file": pa.array([_plain(file) for file, _ in files], pa.string()), "_width": pa.array([len(headers[path]) for _, path in files], pa.int32()),
+        "_at": pa.array([[places[path].get(name) for name in columns] for _, path in files], pa.list_(pa.int32()))}))
+    rows = _cells(spark, shown, widest, multiline, encoding).join(table, F.regexp_replace(F.col(f"{POSITION}.file"), SCHEME, "/") == F.col("_file"))
+    parsed = F.array(*[F.col(f"c{i}") for i in range(widest)])
+    raw = _raw_cells(F.col(RECORD))
+    surplus_here = _beyond(parsed, F.col("_width")) | F.coalesce(_beyond(raw, F.col("_width")), F.lit(False))
+    other = F.when(F.col(RECORD).isNotNull() & (F.size(raw) != F.col("_width")), F.lit(OTHER_WIDTH))
+    told = F.when(F.col(FAULT).isin(SURPLUS, OTHER_WIDTH) | F.col(FAULT).isNull(), F.when(surplus_here, F.lit(SURPLUS)).otherwise(other)).otherwise(F.col(FAULT))
+    rows = _without_loss(rows.withColumn(FAULT, told).withColumn(RECORD, F.coalesce(RECORD, F.array_join(parsed, ","))), "one of the files", surplus)
+    picked = [F.get("_cells", F.get("_at", F.lit(j))).alias(f"t{j}") for j in range(len(columns))]
+    out = rows.select(parsed.alias("_cells"), "_at").select(*picked)
+    if bad_bytes == "fail":
+        out = _stopping(out, _no_text(F.col(f"t{j}") for j in range(len(columns))), F.lit(f"bytes that are not {encoding}"))
+    return out.toDF(*columns)
+
+
 def csv_rejects(spark: SparkSession, path: str, *, multiline: bool | None = None, encoding: str = "UTF-8") -> DataFrame:
     """(record, kind) of the records that are not as the header says.
 

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from ..functions import is_blank, strip_dot_zero
 from ..operators.areas import alias_table, name_codes, region_table
 from ..operators.lookup import duplicate_keys, first_per_key, lookup_join
-from ..operators.reshape import columns_to_rows, diagonal_union, quoted, years_to_rows
-from .csv import POSITION, all_csvs, csv_by_name, csv_header, csv_names, find_long_table, long_table_csv, named_csv, read_csv
+from ..operators.reshape import columns_to_rows, quoted, years_to_rows
+from .csv import POSITION, all_csvs, csv_by_name, csv_headers, csv_names, find_long_table, long_table_csv, named_csv, read_csv, read_csvs
 from .naming import slug
 
 
@@ -181,16 +181,13 @@ def wide_with_names(spark: SparkSession, folder: str, names: AreaNames | None) -
 def many_files_with_names(spark: SparkSession, folder: str, names: AreaNames | None) -> DataFrame:
     """Several long files of differing columns, areas given by name; files without the name are left out (see passed_over).
 
-    Files of equal headers are read in one scan, so the plan grows with the number
-    of different headers.
+    All files are read in one scan, whatever their headers, so the plan does not grow
+    with their number.
     """
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for path in all_csvs(spark, folder):
-        by_header.setdefault(tuple(csv_header(spark, path)), []).append(path)
-    groups = [paths for header, paths in by_header.items() if LABOUR_AREA in header]
-    if not groups:
+    headers = {path: header for path, header in csv_headers(spark, all_csvs(spark, folder)).items() if LABOUR_AREA in header}
+    if not headers:
         raise KeyError(f"no csv below {folder} has a column {LABOUR_AREA}")
-    rows = diagonal_union([read_csv(spark, paths) for paths in groups])
+    rows = read_csvs(spark, headers)
     return _with_area_codes(rows, LABOUR_AREA, LABOUR_CODE, names, skip=True)
 
 
@@ -198,7 +195,7 @@ def passed_over(spark: SparkSession, source_code: str, folder: str) -> list[str]
     """CSVs of a landed folder that the source's recipe does not read, and why, for the log."""
     recipe = recipe_for(source_code)
     if recipe is many_files_with_names:
-        return [f"no column {LABOUR_AREA}: {p}" for p in all_csvs(spark, folder) if LABOUR_AREA not in csv_header(spark, p)]
+        return [f"no column {LABOUR_AREA}: {p}" for p, header in csv_headers(spark, all_csvs(spark, folder)).items() if LABOUR_AREA not in header]
     if recipe is long_table:
         return [f"not the first long table: {n}" for n in find_long_table(spark, folder).passed_over]
     return []

@@ -6,6 +6,7 @@ import random
 
 import pytest
 
+from indicatorlake.operators.reshape import diagonal_union
 from indicatorlake.sources import csv, records
 
 
@@ -113,3 +114,33 @@ def test_long_cells_of_records_of_another_width(spark, tmp_path, inner):
     kept = {r.a: len(r.b) for r in csv.read_csv(spark, str(path), surplus="reject").collect()}
     size = len(inner.replace('""', '"'))
     assert kept == {"1": size, "4": size, "6": size + 1}
+
+
+def test_files_of_any_headers_are_one_scan(spark, tmp_path):
+    rng = random.Random(9)
+    names = [f"col {k}" for k in range(9)]
+    for k in range(14):
+        header = rng.sample(names, rng.randrange(1, 9))
+        cells = [[rng.choice(["", "a", "b c", 'q"x', '"in, quotes"', '"two\nlines"' if k % 3 else "z"]) for _ in header] for _ in range(rng.randrange(4))]
+        cells += [["cut"], ["long"] * len(header) + ["", " "]]
+        (tmp_path / f"_f {k}.csv" if k % 2 else tmp_path / f"f {k}.csv").write_text(
+            ",".join(header) + "\n" + "".join(",".join(row) + "\n" for row in cells))
+    paths = csv.all_csvs(spark, str(tmp_path))
+    headers = csv.csv_headers(spark, paths)
+    together = csv.read_csvs(spark, headers)
+    apart = diagonal_union([csv.read_csv(spark, p) for p in paths])
+    assert together.columns == apart.columns and len(paths) == 14
+    assert sorted(map(repr, together.collect())) == sorted(map(repr, apart.collect()))
+
+    def nodes(df):
+        return len(df._jdf.queryExecution().optimizedPlan().toString().splitlines())
+
+    few = [p for p in paths if "two" in open(p).read()][:2]
+    assert nodes(csv.read_csvs(spark, {p: headers[p] for p in few}, multiline=True)) == nodes(csv.read_csvs(spark, headers, multiline=True))
+    (tmp_path / "wide.csv").write_text("col 1\n1,lost\n")
+    with pytest.raises(Exception, match="lost"):
+        csv.read_csvs(spark, csv.csv_headers(spark, csv.all_csvs(spark, str(tmp_path)))).collect()
+    kept = csv.read_csvs(spark, csv.csv_headers(spark, csv.all_csvs(spark, str(tmp_path))), surplus="reject")
+    assert kept.count() == together.count()
+    with pytest.raises(ValueError, match="twice"):
+        csv.read_csvs(spark, {paths[0]: ["a", "a"]})

@@ -14,7 +14,7 @@ from indicatorlake.operators.reshape import columns_to_rows, diagonal_union, yea
 from indicatorlake.plans import ingest, runlog
 from indicatorlake.session import scratch_folder
 from indicatorlake.sources import recipes
-from indicatorlake.sources.csv import csv_rejects, read_csv
+from indicatorlake.sources.csv import all_csvs, csv_headers, csv_rejects, read_csv, read_csvs
 from indicatorlake.sources.naming import LINEAGE, source_table
 from indicatorlake.sources.tables import Lake
 
@@ -421,6 +421,30 @@ def recipe_many_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_table(recipes.recipe_for("ilostat_emp_dwap_rt")(spark, folder, names), LINEAGE_VALUES)
 
 
+# A file for every nation, each with the columns that the bits of its number choose, in an order of its own.
+_BITS = 5
+
+
+@case("csv_many_headers", f"""
+    SELECT CAST(c_custkey AS VARCHAR) AS id,
+        {', '.join(f"CASE WHEN (c_nationkey >> {j}) & 1 = 1 THEN c_mktsegment || ' {j}, of ' || c_custkey END AS x{j}" for j in range(_BITS))}
+    FROM customer""")
+def csv_many_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of 25 different headers in one scan."""
+    folder = scratch_folder(spark, "headers")
+    customers = table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey", "c_mktsegment").cache()
+    for k in range(25):
+        bits = [j for j in range(_BITS) if k >> j & 1]
+        cells = [F.concat("c_mktsegment", F.lit(f" {j}, of "), "c_custkey") for j in bits]
+        names = [f"x{j}" for j in bits]
+        cut = k % (len(bits) + 1)
+        rows = customers.where(F.col("c_nationkey") == k).select(*cells[:cut], "c_custkey", *cells[cut:])
+        _land(rows, f"{folder}/n{k}.csv", *names[:cut], "id", *names[cut:])
+    read = read_csvs(spark, csv_headers(spark, all_csvs(spark, folder)))
+    customers.unpersist()
+    return read.select("id", *[f"x{j}" for j in range(_BITS)])
+
+
 # Ingestion -----------------------------------------------------------------
 
 def _ingested(spark: SparkSession, sf_dir: str) -> tuple[Lake, list[str], DataFrame]:
