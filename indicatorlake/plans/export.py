@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.grid import KEYS, gap_fill, reference_grid, with_taxonomy
-from ..operators.ordering import globally_ordered, stored_and_ordered
+from ..operators.ordering import stored_and_ordered
 from ..operators.quality import PUBLISHED_STATUSES, source_codes
+from ..session import discard
 from ..sources.tables import Lake, export_files, remove_others
 from . import runlog
 from .harmonise import assert_observation
@@ -38,9 +39,9 @@ RAW_ORDER = ("afs_m49_code", "afs_source_code", "afs_year")
 FILLED_ORDER = ("afs_m49_code", "afs_id", "afs_year")
 
 
-def raw_export(views: dict[str, DataFrame], start_year: int = START_YEAR) -> DataFrame:
-    """All harmonised views as one ordered table."""
-    return stored_and_ordered(union_from(views, start_year), *RAW_ORDER)
+def raw_export(views: dict[str, DataFrame], start_year: int = START_YEAR, file_bytes: int | None = None) -> DataFrame:
+    """All harmonised views as one ordered table, in files of about ``file_bytes`` if that is given."""
+    return stored_and_ordered(union_from(views, start_year), *RAW_ORDER, range_bytes=file_bytes)
 
 
 def published_uids(config: DataFrame) -> DataFrame:
@@ -48,12 +49,13 @@ def published_uids(config: DataFrame) -> DataFrame:
 
 
 def gap_filled_export(
-    stage: DataFrame, areas: DataFrame, config: DataFrame, start_year: int = START_YEAR, end_year: int | None = None
+    stage: DataFrame, areas: DataFrame, config: DataFrame, start_year: int = START_YEAR, end_year: int | None = None,
+    file_bytes: int | None = None,
 ) -> DataFrame:
-    """Grid, stage rows and indicator taxonomy as one ordered table of 30 columns."""
+    """Grid, stage rows and indicator taxonomy as one ordered table of 30 columns, in files of about ``file_bytes`` if that is given."""
     filled = gap_fill(stage, areas, published_uids(config), start_year, end_year)
     full = with_taxonomy(filled, config, PUBLISHED_STATUSES)
-    return stored_and_ordered(full, *FILLED_ORDER)
+    return stored_and_ordered(full, *FILLED_ORDER, range_bytes=file_bytes)
 
 
 def existing_sources(config: DataFrame, existing: Sequence[str]) -> tuple[list[str], list[str]]:
@@ -94,7 +96,9 @@ def _published(lake: Lake, table: str, make: Callable[[], DataFrame], folder: st
     written: dict[str, int] = {}
 
     def build() -> int:
-        written["n"] = export_files(make(), place, **options)
+        rows = make()
+        written["n"] = export_files(rows, place, **options)
+        discard(rows)
         if options.get("fmt", "parquet") == "parquet":
             lake.publish(table, place)
         else:
@@ -110,10 +114,10 @@ def _published(lake: Lake, table: str, make: Callable[[], DataFrame], folder: st
 
 def run_raw_export(
     lake: Lake, views: dict[str, DataFrame], folder: str, start_year: int = START_YEAR,
-    run_id: str | None = None, **options,
+    run_id: str | None = None, file_bytes: int | None = None, **options,
 ) -> DataFrame:
     found, missing = existing_sources(lake.read(CONFIG), list(views))
-    steps = _published(lake, SOURCE_TABLE, lambda: raw_export({c: views[c] for c in found}, start_year),
+    steps = _published(lake, SOURCE_TABLE, lambda: raw_export({c: views[c] for c in found}, start_year, file_bytes),
                        f"{folder.rstrip('/')}/{SOURCE_TABLE}", **options)
     return _logged(lake, steps, found, [view_name(c) for c in missing], run_id or runlog.new_run_id())
 
@@ -121,24 +125,27 @@ def run_raw_export(
 def build_grid(lake: Lake, areas: DataFrame, start_year: int = START_YEAR, end_year: int | None = None) -> int:
     """Store the area x indicator x year grid, ordered, as a table of its own; returns its rows."""
     grid = reference_grid(areas, published_uids(lake.read(CONFIG)), start_year, end_year)
-    return lake.write(GRID_TABLE, globally_ordered(grid, *KEYS))
+    ordered = stored_and_ordered(grid, *KEYS)
+    n = lake.write(GRID_TABLE, ordered)
+    discard(ordered)
+    return n
 
 
 def run_gap_filled_export(
     lake: Lake, areas: DataFrame, folder: str, start_year: int = START_YEAR, end_year: int | None = None,
-    run_id: str | None = None, **options,
+    run_id: str | None = None, file_bytes: int | None = None, grid_table: bool = True, **options,
 ) -> DataFrame:
-    """Grid table, published table and files.  The published rows need no grid table; it is there to be looked at."""
+    """Grid table, published table and files.  The published rows need no grid table; it is there to be looked at, unless ``grid_table`` is off."""
     config = lake.read(CONFIG)
     codes = [r[0] for r in source_codes(config).collect()]
     found, missing = existing_sources(config, [c for c in codes if lake.exists(table_name(c))])
 
     def filled() -> DataFrame:
         stage = union_from({c: stage_rows(lake, c) for c in found}, start_year)
-        return gap_filled_export(stage, areas, config, start_year, end_year)
+        return gap_filled_export(stage, areas, config, start_year, end_year, file_bytes)
 
-    steps = [("BUILD_REF_TABLE", GRID_TABLE, lambda: build_grid(lake, areas, start_year, end_year)),
-             *_published(lake, STAGE_TABLE, filled, f"{folder.rstrip('/')}/{STAGE_TABLE}", **options)]
+    grid = [("BUILD_REF_TABLE", GRID_TABLE, lambda: build_grid(lake, areas, start_year, end_year))] if grid_table else []
+    steps = [*grid, *_published(lake, STAGE_TABLE, filled, f"{folder.rstrip('/')}/{STAGE_TABLE}", **options)]
     return _logged(lake, steps, found, [table_name(c) for c in missing], run_id or runlog.new_run_id())
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -72,3 +73,24 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     folder = scratch_folder(df.sparkSession, purpose)
     df.write.parquet(folder)
     return df.sparkSession.read.parquet(folder)
+
+
+def stored_bytes(spark: SparkSession, folder: str) -> int:
+    """Bytes of all files below a folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the scratch results that a frame reads, once nothing reads them any more."""
+    spark = df.sparkSession
+    folders = {m[0] for m in (re.match(r".*/[a-z-]+-[0-9a-f]{32}(?=/)", path) for path in df.inputFiles()) if m}
+    shared = scratch_folder(spark, "x").rsplit("/", 1)[0]
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        if _bare(folder).rsplit("/", 1)[0] == _bare(shared):
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _bare(path: str) -> str:
+    return re.sub(r"^[A-Za-z0-9+.-]+:/*", "/", path)

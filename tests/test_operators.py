@@ -18,10 +18,12 @@ from indicatorlake.operators.changes import BUCKETS, key_diff, row_changes
 from indicatorlake.operators.lookup import first_per_key, lookup_join
 from indicatorlake.operators.ordering import globally_ordered
 from indicatorlake.operators.reshape import rename_columns, years_to_rows
-from indicatorlake.operators import changes, predicates
+from indicatorlake.operators import changes, ordering, predicates
 from indicatorlake.operators.selection import Indicator, batches, fan_out, processed, processed_together, select_indicators, selected
 from indicatorlake.plans.harmonise import OBSERVATION, assert_observation, harmonise
 from indicatorlake.plans.export import published_uids
+from indicatorlake.session import discard
+from indicatorlake.sources.tables import export_files
 from workload.export_cases import _CONFIG, _stage_frame
 from workload.harmonise_cases import view
 from workload.standins import areas, run_sql
@@ -116,6 +118,43 @@ def test_global_order_holds_over_partitions_and_splits_a_hot_key(spark):
     assert max(n for _, _, n in held.values()) < 40000 / 2
 
 
+def test_ranges_come_from_the_job_that_stores_the_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ordering, "SAMPLED_ROWS", 16)
+    kinds = "CASE WHEN id % 3 > 0 THEN NULL WHEN id % 5 = 0 THEN 'hot' ELSE CAST(id * 7919 % 1000 AS STRING) END AS k, CAST(id * 31 % 90 AS INT) AS n, CAST(IF(id % 11 = 0, 'NaN', CAST(id % 13 AS STRING)) AS DOUBLE) AS d"
+    df = spark.sql(f"SELECT id, {kinds} FROM range(0, 60000, 1, 6)")
+    ordered = ordering.stored_and_ordered(df, "k", "n", "d")
+    held = ordered.withColumn("p", F.spark_partition_id()).collect()
+    key = [tuple((v is not None, 2 if isinstance(v, float) and v != v else 1 if v is not None else 0, 0 if v is None or v != v else v) for v in (r.k, r.n, r.d)) for r in held]
+    assert key == sorted(key) and sorted(r.id for r in held) == list(range(60000))
+    sizes = Counter(r.p for r in held)
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(sizes) == ranges and max(sizes.values()) < 2 * 60000 / ranges
+    plan = ordered._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "passthrough" in plan
+    discard(ordered)
+    assert ordering.stored_and_ordered(df.where("false"), "k").count() == 0
+    assert [r.id for r in ordering.stored_and_ordered(df.where("id < 2"), "id").collect()] == [0, 1]
+
+
+def test_files_hold_equal_bytes_whatever_the_width_of_their_rows(spark, tmp_path, monkeypatch):
+    """Short rows first, rows of 4 KB last: files by numbers of rows would differ a hundredfold.
+
+    The tasks here hold two files each, not a part of one as at the target's real size, so more of their rows are sampled.
+    """
+    monkeypatch.setattr(ordering, "SAMPLED_ROWS", 4096)
+    df = spark.sql("""SELECT lpad(CAST(id AS STRING), 6, '0') AS k,
+        substring(concat_ws('', transform(sequence(1, 64), i -> sha2(CONCAT(id, 'x', i), 256))), 1, CASE WHEN id < 20000 THEN 40 WHEN id < 23000 THEN 800 ELSE 4000 END) AS text
+        FROM range(0, 24000, 1, 6)""")
+    target = 300_000
+    ordered = ordering.stored_and_ordered(df, "k", range_bytes=target)
+    assert export_files(ordered, f"{tmp_path}/out", rows_per_file=0) == 24000
+    files = sorted((tmp_path / "out").glob("*.parquet"))
+    sizes = [f.stat().st_size for f in files]
+    assert len(files) > 8 and all(0.8 * target < size < 1.2 * target for size in sizes[:-1]) and sizes[-1] < 1.2 * target
+    keys = [k for f in files for k in spark.read.parquet(str(f)).toPandas()["k"]]
+    assert keys == sorted(keys)
+
+
 INDICATORS = [Indicator("a", "afs_year >= 2000"), Indicator("b", "TRUE"), Indicator("c", "afs_flag = NULL"),
               Indicator("d", "get_json_object(SERIES, '$.item') = 'item 3'"), Indicator("e", "afs_m49_code = '003'")]
 
