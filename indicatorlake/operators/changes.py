@@ -23,15 +23,19 @@ def _bucket(columns: Sequence[Column]) -> Column:
     return F.pmod(_hash(columns, 0), F.lit(BUCKETS)).cast("int")
 
 
-def bucket_sums(df: DataFrame, columns: Sequence[Column], side: str) -> DataFrame:
-    """(_bucket, side): how many rows a bucket has and the sums of two hashes of them, whatever their order.
+def sums_of(columns: Sequence[Column]) -> Column:
+    """How many rows there are and the sums of two hashes of them, as an aggregate whatever their order.
 
-    Sums of half hashes, which stay within a long for two thousand million rows a bucket.
+    Sums of half hashes, which stay within a long for two thousand million rows.
     """
-    hashes = df.select(_bucket(columns).alias("_bucket"), _hash(columns, 1).alias("_0"), _hash(columns, 2).alias("_1"))
-    halves = [half for h in ("_0", "_1") for half in (F.col(h).bitwiseAND(F.lit(_HALF)), F.shiftrightunsigned(h, 32))]
-    sums = [F.sum(half).alias(f"s{k}") for k, half in enumerate(halves)]
-    return hashes.groupBy("_bucket").agg(F.struct(F.count(F.lit(1)).alias("rows"), *sums).alias(side))
+    hashes = [_hash(columns, seed) for seed in (1, 2)]
+    halves = [half for h in hashes for half in (h.bitwiseAND(F.lit(_HALF)), F.shiftrightunsigned(h, 32))]
+    return F.struct(F.count(F.lit(1)).alias("rows"), *[F.sum(half).alias(f"s{k}") for k, half in enumerate(halves)])
+
+
+def bucket_sums(df: DataFrame, columns: Sequence[Column], side: str) -> DataFrame:
+    """(_bucket, side): the sums of every bucket's rows."""
+    return df.groupBy(_bucket(columns).alias("_bucket")).agg(sums_of(columns).alias(side))
 
 
 def differing_buckets(left: DataFrame, right: DataFrame, by_left: Sequence[Column], by_right: Sequence[Column]) -> DataFrame:

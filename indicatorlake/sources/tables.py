@@ -14,6 +14,7 @@ import time
 import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -188,6 +189,19 @@ class Lake:
             self.write(table, self.read(table), key, sort_by=sort_by)
         return n
 
+    def partitions(self, table: str) -> dict[str, str]:
+        """The values of the partition column that a table shows, each with a mark that changes when its rows are replaced.
+
+        From the catalog alone; a value whose rows were all replaced by none is not among them.
+        """
+        noted = self._noted(table)
+        current, found = _generations(noted), {}
+        for r in self.spark.sql(f"SHOW PARTITIONS {self.name(noted['version'])}").collect():
+            generation, value = (unquote(part.split("=", 1)[1]) for part in r.partition.split("/"))
+            if generation == current.get(value, FIRST):
+                found[value] = f"{noted['version']}:{generation}"
+        return found
+
     def append(self, table: str, df: DataFrame) -> None:
         """Add rows, creating the table on first use."""
         if self.exists(table):
