@@ -69,6 +69,12 @@ def table_issues(df: DataFrame, name: str) -> list[str]:
     return issues
 
 
+def blank_cells(df: DataFrame) -> DataFrame:
+    """(column_name, n_blank): how many cells of each column are NULL or white space; one pass over the table."""
+    counts = [F.struct(F.lit(c).alias("column_name"), F.count_if(is_blank(F.col(quoted(c)).cast("string"))).alias("n_blank")) for c in df.columns]
+    return df.agg(F.array(*counts).alias("all")).select(F.explode("all").alias("c")).select("c.*")
+
+
 def column_diff(left: DataFrame, right: DataFrame) -> tuple[list[str], list[str]]:
     """Column names only in the left table, and only in the right."""
     return sorted(set(left.columns) - set(right.columns)), sorted(set(right.columns) - set(left.columns))

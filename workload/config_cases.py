@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from indicatorlake.functions import source_version
 from indicatorlake.operators import quality as q
 from indicatorlake.operators.changes import key_diff, row_changes
+from indicatorlake.operators.lookup import duplicate_keys
 from indicatorlake.plans import sync
 from indicatorlake.session import scratch_folder
 from indicatorlake.sources import config as c
@@ -168,14 +169,23 @@ def changed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @case("table_problems", """
-    SELECT * FROM (VALUES ('empty', 'empty is empty'), ('odd', 'odd has blank column names at [2]'), ('odd', 'odd repeats column names [''c_name'']'))
-    AS t(kind, issue) WHERE (SELECT count(*) FROM customer) > 0""")
+    SELECT * FROM (VALUES ('empty', 'empty is empty', CAST(0 AS BIGINT)), ('odd', 'odd has blank column names at [2]', 0), ('odd', 'odd repeats column names [''c_name'']', 0))
+    AS t(kind, issue, n) WHERE (SELECT count(*) FROM customer) > 0
+    UNION ALL SELECT 'fine', 'keys of c_nationkey in several rows', count(*) FROM (SELECT 1 FROM customer GROUP BY c_nationkey, c_mktsegment HAVING count(*) > 1)
+    UNION ALL SELECT 'fine', 'blank cells of label', count(*) FROM customer WHERE c_custkey % 4 IN (0, 1)
+    UNION ALL SELECT 'fine', 'blank cells of c_custkey', 0""")
 def table_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hard problems of a table without rows, one with unusable columns, and one that is fine."""
-    rows = table(spark, sf_dir, "customer").select("c_name", "c_custkey")
+    """Hard problems of a table without rows, one with unusable columns, and one that is fine, whose rows are looked at too."""
+    customers = table(spark, sf_dir, "customer")
+    rows = customers.select("c_name", "c_custkey")
     odd = rows.select("c_name", F.col("c_name"), F.col("c_custkey").alias(" "))
-    found = [(kind, issue) for kind, df in (("empty", rows.where("c_custkey < 0")), ("odd", odd), ("fine", rows)) for issue in q.table_issues(df, kind)]
-    return spark.createDataFrame(found, "kind string, issue string")
+    found = [(kind, issue, 0) for kind, df in (("empty", rows.where("c_custkey < 0")), ("odd", odd), ("fine", rows)) for issue in q.table_issues(df, kind)]
+    issues = spark.createDataFrame(found, "kind string, issue string, n long")
+    label = F.when(F.col("c_custkey") % 4 == 0, F.lit(" ")).when(F.col("c_custkey") % 4 != 1, F.col("c_name"))
+    blank = q.blank_cells(customers.select("c_custkey", label.alias("label")))
+    twice = duplicate_keys(customers, ["c_nationkey", "c_mktsegment"]).agg(F.count("*").alias("n"))
+    return issues.unionByName(twice.select(F.lit("fine").alias("kind"), F.lit("keys of c_nationkey in several rows").alias("issue"), "n")).unionByName(
+        blank.select(F.lit("fine").alias("kind"), F.concat(F.lit("blank cells of "), "column_name").alias("issue"), F.col("n_blank").alias("n")))
 
 
 @case("missing_inputs", """
