@@ -17,6 +17,8 @@ from .shards import prefix_sums
 
 _MARK = re.compile(r"[ \t]*>")
 _SPACES = re.compile(r"\s+")
+#: Between two sentences of a normalised passage.
+_SENTENCE_END = re.compile(r"(?<=[.!?…。！？]) ")
 
 
 def quote_level(line: str) -> tuple[int, str]:
@@ -41,8 +43,8 @@ def parsed(text: str) -> tuple[str, list[int], list[dict]]:
     """The message's own text, the hashes of its own passages, and its quotes (level, hash, size).
 
     A passage is a run of lines of one quote level, without blank lines inside; its
-    single lines count as passages as well, so that a quote of part of a paragraph
-    is found.  An attribution line ("... wrote:") right before a quote belongs to it.
+    single lines and, however the lines are broken, its sentences count as passages as
+    well, so that a quote of part of a paragraph is found.  An attribution line ("... wrote:") right before a quote belongs to it.
     """
     lines = [quote_level(line) for line in text.split("\n")]
     dropped = set()
@@ -66,7 +68,7 @@ def parsed(text: str) -> tuple[str, list[int], list[dict]]:
         if level < 0:
             continue
         whole = normalised(" ".join(rest))
-        for passage in {whole, *(normalised(r) for r in rest)} - {""}:
+        for passage in {whole, *(normalised(r) for r in rest), *_SENTENCE_END.split(whole)} - {""}:
             if level == 0:
                 own.add(_key(passage))
             else:
@@ -124,7 +126,9 @@ def reply_order(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
     plain = messages.select(messages[conv].cast("long").alias("conv"), messages[turn].cast("long").alias("turn"), messages[role].alias("role"), messages[text].alias("text"))
     split = written(_split(plain), "messages")
     asked = split.where(F.size("quotes") > 0).select("conv", "turn", F.explode("quotes").alias("q")).select("conv", "turn", "q.*").distinct()
+    asked = written(asked, "asked")  # stored, as the other side, so that a passage that many turns quote can be split over tasks
     sources = split.select("conv", "turn", F.explode("passages").alias("passage")).groupBy("conv", "passage").agg(F.min("turn").alias("source"))
+    sources = written(sources, "sources")
     linked = asked.join(sources, ["conv", "passage"]).where(F.col("source") < F.col("turn"))
     votes = linked.groupBy("conv", "turn", "source").agg(F.min("level").alias("level"), F.sum("size").alias("size"))
     best = votes.groupBy("conv", "turn").agg(
