@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
@@ -15,6 +16,8 @@ TOTAL = {"get_json_object", "lower", "upper", "trim", "ltrim", "rtrim", "coalesc
 TEXT, WHOLE = ("string",), ("tinyint", "smallint", "int", "bigint")
 #: Rests that one CASE tells apart; more of them are told apart in two steps.
 RESTS_TOGETHER = 64
+_MARK = "\x02"
+_MARKED = re.compile(f"{_MARK}([0-9]+){_MARK}")
 
 
 @dataclass(frozen=True)
@@ -80,6 +83,29 @@ def split(spark: SparkSession, condition: str) -> Split:
     return Split(tuple(atom for atom, _ in atoms if atom is not None), rest or None)
 
 
+def _template(condition: str) -> tuple[str, list[str]]:
+    """A predicate with marks in place of its texts, and the texts; as it is where quoting is not plain."""
+    if any(c in condition for c in ("\\", '"', "`", "''", "--", "/*", _MARK)) or re.search(r"\w'", condition):
+        return condition, []
+    texts: list[str] = []
+
+    def mark(found: re.Match) -> str:
+        texts.append(found[1])
+        return f"'{_MARK}{len(texts) - 1}{_MARK}'"
+
+    return re.sub(r"'([^']*)'", mark, condition), texts
+
+
+def _filled(shape: Split, texts: list[str]) -> Split:
+    """The parts of a template with the texts in place of the marks."""
+
+    def put(text: str) -> str:
+        return _MARKED.sub(lambda m: texts[int(m[1])], text)
+
+    atoms = tuple(Atom(put(a.text), put(a.left), tuple(dict.fromkeys(map(put, a.values))), a.kinds) for a in shape.atoms)
+    return Split(atoms, put(shape.rest) if shape.rest else None)
+
+
 class Index:
     """The predicates of many indicators over one view.
 
@@ -92,8 +118,11 @@ class Index:
 
     def __init__(self, view: DataFrame, wanted: Iterable[tuple[str, str]]):
         self.view = view
-        parts = [(uid, condition, split(view.sparkSession, condition)) for uid, condition in wanted]
-        self._check([condition for _, condition, _ in parts])
+        # predicates that differ in their texts only are parsed and analysed once
+        forms = [(uid, condition, *_template(condition)) for uid, condition in wanted]
+        shapes = {form: split(view.sparkSession, form) for form in dict.fromkeys(form for _, _, form, _ in forms)}
+        self._check(list({form: condition for _, condition, form, _ in forms}.values()))
+        parts = [(uid, condition, _filled(shapes[form], texts) if texts else shapes[form]) for uid, condition, form, texts in forms]
         self.kinds = self._kinds({a.left for _, _, s in parts for a in s.atoms})
         self.found, self.others = [], []
         for uid, condition, s in parts:

@@ -192,6 +192,7 @@ CONDITIONS = [
     "k = 'a'", "k = 'a' AND x > 3", "x = 3", "k IN ('a', 'b', 'a') AND x = 2", "'b' = k AND k = 'b'", "k = 'a' AND k = 'b'", "k IS NULL", "TRUE", "k = NULL",
     "k = 'a' OR x = 1", "k BETWEEN 'a' AND 'b' AND x IN (1, 2, 3)", "get_json_object(bag, '$.n') = 'it''s \"5\"' AND k = 'b'", "x = 1L AND k <> 'a'", "x = 1 AND k <> 'c'",
     "NOT (k = 'a')", "x = 2.0 AND k = 'c'", "CAST(n AS INT) = 7 AND k = 'number'", "lower(k) = 'a'", "k <=> NULL AND x = 5", "k = '' AND x = 5", "x IN (1, NULL)",
+    "k = 'a' AND n = '1'", "k = 'c' AND n = '7'", "k = '-- a' OR k = 'b'", "k IN ('b', 'c') AND lower(k) = 'c'",
     "(k = 'a' AND (x = 1 AND lower(k) IN ('a', 'c')))", "k = '3' AND x = 1", "k = 'a\\\\b'"]
 
 
@@ -203,7 +204,7 @@ def test_an_index_of_predicates_equals_the_union_of_filters(spark, monkeypatch):
     union = reduce(lambda a, b: a.unionByName(b), [v.where(i.condition).select(F.lit(i.uid).alias("afs_uid"), "*") for i in wanted])
     assert rows(selected(v, wanted)) == rows(union) and ("u11", 0, "b", bags[0], "1") in rows(union)
     index = predicates.Index(v, [(i.uid, i.condition) for i in wanted])
-    assert {uid for uid, _, _ in index.found} >= {"u0", "u1", "u2", "u3", "u4", "u5", "u11", "u13", "u17", "u21", "u22", "u23"}
+    assert {uid for uid, _, _ in index.found} >= {"u0", "u1", "u2", "u3", "u4", "u5", "u11", "u13", "u17", "u21", "u22", "u24", "u25", "u26", "u27"}
     assert {uid for uid, _ in index.others} >= {"u6", "u7", "u9", "u14", "u20"}
     only = [i for i in wanted if i.uid in {"u0", "u2", "u5"}]
     plan = selected(v, only)._jdf.queryExecution().optimizedPlan().toString()
