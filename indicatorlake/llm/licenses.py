@@ -16,7 +16,7 @@ from .license_texts import TEMPLATES
 
 #: Share of a template's words that a stretch must align with.
 COVERAGE = 0.7
-#: Words too common to point at a license: they align, but no stretch is looked at for their sake.
+#: Words too common to point at a license, as far as a template has others.
 COMMON = frozenset("a all an and any are as at be by can for from if in is it may no not of on or such that the this to under use was where which "
                    "with without work you your".split())
 
@@ -75,15 +75,29 @@ def align(a: list[int], b: list[int]) -> list[tuple[int, int]]:
 
 
 class Templates:
-    """Word sequences of the templates and the words that hint at each."""
+    """Word sequences of the templates and the words that hint at each.
 
-    def __init__(self, texts: dict[str, str]):
+    A template's longest words hint at it, so many that the others make up less than
+    the share that must align: no place can be covered enough without one of them.
+    """
+
+    def __init__(self, texts: dict[str, str], least: float = COVERAGE):
         names = sorted(texts)
         table = words_of(folded(pa.array([texts[n] for n in names], pa.string())), SEPARATORS)
         hashes = table.hashes().view(np.int64)
-        common = words_of(pa.array(sorted(COMMON), pa.string())).hashes().view(np.int64)
+        common = set(words_of(pa.array(sorted(COMMON), pa.string())).hashes().view(np.int64).tolist())
         self.words = {n: hashes[table.bounds[k] : table.bounds[k + 1]].tolist() for k, n in enumerate(names)}
-        self.telling = np.setdiff1d(np.unique(hashes), common)
+        lengths, telling = (table.ends - table.starts).tolist(), set()
+        for k in range(len(names)):
+            low, high = int(table.bounds[k]), int(table.bounds[k + 1])
+            counts, size = Counter(hashes[low:high].tolist()), dict(zip(hashes[low:high].tolist(), lengths[low:high]))
+            rest = high - low
+            for word in sorted(counts, key=lambda w: (w in common, -size[w], w)):
+                if rest < least * (high - low):
+                    break
+                telling.add(word)
+                rest -= counts[word]
+        self.telling = np.array(sorted(telling), np.int64)
         self.longest = max((len(w) for w in self.words.values()), default=0)
 
     def stretches(self, places: np.ndarray, low: int, high: int) -> Iterator[tuple[int, int]]:
@@ -166,7 +180,7 @@ def scan_licenses(docs: DataFrame, keys: list[str], text: str = "text", template
     shape = pa.list_(pa.struct([("license", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("coverage", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Templates(texts)
+        known = Templates(texts, least)
         for batch in batches:
             for part in chunks(batch, text):
                 yield pa.RecordBatch.from_arrays(

@@ -6,6 +6,7 @@ import random
 import re
 from difflib import SequenceMatcher
 
+import numpy as np
 import pyarrow as pa
 
 from indicatorlake.llm import leaks, licenses
@@ -47,3 +48,18 @@ def test_words_agree_with_the_operator():
     table = leaks.words_of(leaks.folded(pa.array(texts)), leaks.SEPARATORS)
     assert [int(n) for n in table.bounds[1:] - table.bounds[:-1]] == [len(words(t)) for t in texts]
     assert len(licenses.TEMPLATES) == 19 and len(LINES) == 6
+
+
+def test_hints_miss_no_place(spark):
+    """With every word of the templates as a hint the same places are found."""
+    rng = random.Random(8)
+    given = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()][:40]
+    for template in licenses.TEMPLATES.values():
+        text = [w for w in template.split() if rng.random() < 0.8]
+        given.append("some words " + " ".join(text) + " and more")
+    known, every = licenses.Templates(licenses.TEMPLATES), licenses.Templates(licenses.TEMPLATES)
+    every.telling = np.unique(np.concatenate([np.array(w) for w in every.words.values()]))
+    assert len(known.telling) < len(every.telling)
+    texts = pa.array(given)
+    assert licenses._scan(known, texts, licenses.COVERAGE) == licenses._scan(every, texts, licenses.COVERAGE)
+    assert sum(bool(f) for f in licenses._scan(known, texts, licenses.COVERAGE)) > 15
