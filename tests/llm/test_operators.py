@@ -343,7 +343,7 @@ def test_licenses(spark, make_docs, awkward):
     texts = {100: noise + licenses.TEMPLATES["MIT"] + noise, 101: noise + line + "\n" + line + " " + line.upper() + noise, 102: noise,
              103: "Licensed under the Apache License, Version 2.0.\n" + noise + licenses.TEMPLATES["BSD-3-Clause"].replace("source", "original", 1),
              104: licenses.TEMPLATES["Apache-2.0-notice"], 105: "under the license of the version", 106: line}
-    found = {r.doc_id: [(x.license, round(x.coverage, 2)) for x in r.licenses] for r in licenses.scan_licenses(
+    found = {r.doc_id: [(x.license, round(x.coverage, 4)) for x in r.licenses] for r in licenses.scan_licenses(
         make_docs(awkward + list(texts.items())), ["doc_id"]).collect()}
     assert [n for n, _ in found[100]] == ["MIT"] and [n for n, _ in found[101]] == ["MIT-line"] * 3 and found[102] == [] and found[105] == []
     assert [n for n, _ in found[103]] == ["Apache-2.0-line", "BSD-3-Clause"] and found[103][1][1] < 1
