@@ -85,7 +85,9 @@ def split(spark: SparkSession, condition: str) -> Split:
 
 def _template(condition: str) -> tuple[str, list[str]]:
     """A predicate with marks in place of its texts, and the texts; as it is where quoting is not plain."""
-    if any(c in condition for c in ("\\", '"', "`", "''", "--", "/*", _MARK)) or re.search(r"\w'", condition):
+    if any(c in condition for c in ("\\", '"', "`", "''", "--", "/*", _MARK)):
+        return condition, []
+    if any(condition[: m.start()][-1:].isalnum() for m in re.finditer(r"'[^']*'", condition)):  # a prefix gives the text another meaning
         return condition, []
     texts: list[str] = []
 
