@@ -9,15 +9,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import is_blank, publish_date, source_version
+from ..session import written
 from ..sources.config import keyed_rows, update_fields
 from ..sources.naming import LINEAGE, source_table
-from ..sources.recipes import AreaNames, names_without_code, passed_over, recipe_for, repeated_lookup_keys
+from ..sources.recipes import AreaNames, lost_names, names_without_code, passed_over, recipe_for, repeated_lookup_keys
 from ..sources.tables import Lake, parquet_exists, version_path
 from . import runlog
 
 SOURCE_CONFIG = "cfg_source_tbl"
 SOURCE_LOG = "log_source_tbl"
 DEFAULT_AGENCY = "default"
+LOST_NAMES = "log_lost_names_tbl"
 
 
 def source_view_name(code: str) -> str:
@@ -61,7 +63,11 @@ def ingest_source(lake: Lake, row: dict, folder: str, names: AreaNames | None, f
         target = path if not stored else path.removesuffix(".parquet") + f"-{uuid.uuid4().hex}.parquet"
         rows.write.mode("errorifexists" if stored else "overwrite").parquet(target)
         lake.publish(table, target)
-        notes += names_without_code(lake.read(table), code)
+        lost = lost_names(lake.read(table), code)
+        if lost is not None:
+            named = lost.select(F.lit(started).alias("execution_time"), F.lit(code).alias("afs_source_code"), "name")
+            lake.append(LOST_NAMES, written(named, "lost-names"))  # all of them; the log has the first
+            notes += names_without_code(lost)
         return {**entry, "status": "SUCCESS", "afs_source_ingested_at": started, "uri": target, "table_name": table,
                 "message": "; ".join(notes)}
     except Exception as error:  # one bad source must not stop the others

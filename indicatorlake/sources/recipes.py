@@ -222,13 +222,17 @@ def repeated_lookup_keys(spark: SparkSession, source_code: str, folder: str) ->
     return out
 
 
-def names_without_code(table: DataFrame, source_code: str) -> list[str]:
-    """Area names of a finished source table that got no code, for the log: how many, and the first of them."""
+def lost_names(table: DataFrame, source_code: str) -> DataFrame | None:
+    """(name): the distinct area names of a finished source table that got no code; None for sources without names to match."""
     if recipe_for(source_code) not in NAMED:
-        return []
+        return None
     name, code = (slug(c) for c in NAMED[recipe_for(source_code)])
-    lost = table.where(F.col(code).isNull() & ~is_blank(F.col(name))).select(name).distinct()
-    first = [r[0] for r in lost.orderBy(name).limit(NAMES_IN_LOG + 1).collect()]
+    return table.where(F.col(code).isNull() & ~is_blank(F.col(name))).select(F.col(name).alias("name")).distinct()
+
+
+def names_without_code(lost: DataFrame) -> list[str]:
+    """What the log says of lost names: how many, and the first of them."""
+    first = [r[0] for r in lost.orderBy("name").limit(NAMES_IN_LOG + 1).collect()]
     if not first:
         return []
     more = f" and {lost.count() - NAMES_IN_LOG} more" if len(first) > NAMES_IN_LOG else ""

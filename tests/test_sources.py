@@ -264,7 +264,8 @@ def test_ingest_reports_bad_sources_and_goes_on(spark, lake, folder):
 
 
 def test_ingest_says_what_recipes_leave_out(spark, lake, folder):
-    root = folder(ilo__a="ref_area.label,v\nKenya,1\nNowhere,2\n", ilo__b="x\n1\n",
+    strange = [f"Nowhere {k:02}" for k in range(30)]
+    root = folder(ilo__a="ref_area.label,v\nKenya,1\nNowhere,2\n" + "".join(f"{n},3\n" for n in strange * 2), ilo__b="x\n1\n",
                   **{"fish__AQUATIC_PROCESSED_PRODUCTION_raw_data (without aggregates)": "PRODUCT,v\nP1,1\n",
                      "fish__AQUATIC_PROCESSED_PRODUCTION_PRODUCT_ATTRIBUTES": "PRODUCT,n\nP1,a\nP1,b\nP2,c\n"})
     rows = [("ilostat_emp_dwap_rt", "ag", "some day", None), ("fao_fishstat_processed", "ag", "2024-01-02", None)]
@@ -274,7 +275,10 @@ def test_ingest_says_what_recipes_leave_out(spark, lake, folder):
     folders = {"ilostat_emp_dwap_rt": f"{root}/ilo", "fao_fishstat_processed": f"{root}/fish"}
     log = {r.afs_source_code: r.message for r in ingest.ingest(lake, folders, recipes.AreaNames.standard(known)).collect()}
     assert "publish date not understood: some day" in log["ilostat_emp_dwap_rt"]
-    assert "b.csv" in log["ilostat_emp_dwap_rt"] and "names without a code: Nowhere" in log["ilostat_emp_dwap_rt"]
+    assert "b.csv" in log["ilostat_emp_dwap_rt"] and "names without a code: Nowhere, Nowhere 00" in log["ilostat_emp_dwap_rt"]
+    assert "and 11 more" in log["ilostat_emp_dwap_rt"]
+    lost = lake.read(ingest.LOST_NAMES)
+    assert sorted(r.name for r in lost.collect()) == ["Nowhere", *strange] and {r.afs_source_code for r in lost.collect()} == {"ilostat_emp_dwap_rt"}
     assert "1 keys have several rows" in log["fao_fishstat_processed"]
 
 
