@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import os
-import shutil
-import tempfile
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indicatorlake.session import written
+from indicatorlake.session import ship, written  # noqa: F401  (ship is for the operators)
 
 #: Bytes of text that one round of array work handles; a longer single text is a round of its own.
 CHUNK_BYTES = 1 << 18
@@ -32,20 +28,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once for each application, as --py-files would."""
-    context = spark.sparkContext
-    if getattr(ship, "sent", None) == context.applicationId:
-        return
-    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    folder = tempfile.mkdtemp(prefix="package-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    name = shutil.make_archive(
-        os.path.join(folder, "indicatorlake-code"), "zip", os.path.dirname(package), os.path.basename(package))
-    context.addPyFile(name)
-    ship.sent = context.applicationId
-
-
 def picked(docs: DataFrame, keys: list[str], text: str) -> tuple[DataFrame, str]:
     """The named columns and the text, each once, and the keys as the beginning of a schema."""
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
