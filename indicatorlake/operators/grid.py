@@ -23,11 +23,13 @@ def all_pairs(scope: DataFrame, uids: DataFrame, years: int) -> DataFrame:
 
     Both sides are dimension tables; Spark chooses how they meet by their sizes.
     The pairs come in as many partitions as their cells over the years need, so no
-    task makes more than about CELLS_PER_TASK of them.
+    task makes more than about CELLS_PER_TASK of them.  They are dealt by a hash of
+    the uid: dealt by the uid itself, as rows without repeats often come, Spark would
+    leave the dealing out and put few small rows into one task.
     """
     tasks = 1 + scope.count() * uids.count() * max(1, years) // CELLS_PER_TASK
     tasks = max(tasks, int(uids.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return uids.repartition(tasks, "afs_uid").crossJoin(scope)
+    return uids.repartition(tasks, F.xxhash64("afs_uid")).crossJoin(scope)
 
 
 def _scope(areas: DataFrame) -> DataFrame:
