@@ -13,13 +13,13 @@ from pyspark.sql import functions as F
 from ..session import scratch_folder, stored_bytes
 from .reshape import quoted
 
-TIE = "_tie"
+TIE, REACHED = "_tie", "_reached"
 #: Of every task's rows the first so many are sampled, and of each doubling after them an eighth of that.
 SAMPLED_ROWS = 128
 #: Tasks that are all sampled; of each doubling after them as many as an eighth of that.
 SAMPLED_TASKS = 2048
 #: Rows of a range, where the session's shuffle partitions would hold more.
-RANGE_ROWS = 2_000_000
+RANGE_ROWS = 500_000
 
 
 def globally_ordered(df: DataFrame, *keys: str) -> DataFrame:
@@ -99,9 +99,10 @@ def stored_and_ordered(df: DataFrame, *keys: str, range_bytes: int | None = None
     if bounds:
         kinds = [placed.schema[k].dataType for k in order]
         listed = F.array(*[F.struct(*[F.lit(v).cast(kind).alias(k) for k, v, kind in zip(order, r, kinds)]) for r in bounds])
-        # how many bounds a row reaches, by halving steps
-        steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(bounds).bit_length()))])
-        reached = F.aggregate(steps, F.lit(0), lambda at, step: F.when(
-            (at + step <= len(bounds)) & (F.get(listed, at + step - 1) <= F.struct(*order)), at + step).otherwise(at))
-        stored = stored.repartitionById(len(bounds) + 1, reached)
-    return stored.sortWithinPartitions(*keys).drop(TIE)
+        # how many bounds a row reaches, by halving steps: a column each, which Spark compiles and a function over an array it does not
+        at = F.lit(0)
+        for step in (1 << k for k in reversed(range(len(bounds).bit_length()))):
+            further = (at + step <= len(bounds)) & (F.get(listed, at + step - 1) <= F.struct(*order))
+            stored, at = stored.withColumn(REACHED, F.when(further, at + step).otherwise(at)), F.col(REACHED)
+        stored = stored.repartitionById(len(bounds) + 1, at)
+    return stored.sortWithinPartitions(*keys).drop(TIE, REACHED)
