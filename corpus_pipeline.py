@@ -29,8 +29,9 @@ def rule_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of near copies the document with the smallest id stays, once.
 
-    Near copies share at least 0.8 of their shingles of five words, by exact count;
-    the fingerprints and the two bits of op7 are that query's own and miss most.
+    SimHash fingerprints over shingles of five words name the first candidates; near
+    copies share at least 0.8 of these shingles, by exact count, and those that two
+    bits of a fingerprint do not reach are found by MinHash keys.
     A null id counts as larger than others; of rows that share the id the one whose
     text has the smallest hash stays, and of rows that share both any one.  Null and
     empty texts are near copies of each other.
@@ -71,7 +72,7 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality rules", rule_quality),
-    ("near-dedup", drop_near_copies),
+    ("SimHash near-dedup", drop_near_copies),
     ("benchmark decontamination", drop_leaks),
     ("PII", mask_personal_data),
     ("SentencePiece encoding and decoding", encode_pieces),

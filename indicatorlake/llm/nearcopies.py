@@ -1,4 +1,4 @@
-"""Near copies by their sets of word shingles: MinHash keys name candidates, exact similarity decides."""
+"""Near copies by their sets of word shingles: SimHash fingerprints and MinHash keys name candidates, exact similarity decides."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from indicatorlake.session import written
 
+from . import simhash
 from .common import chunks, components, mixed, picked, ship, spans_hash, windows, words_of
 
 SHINGLE = 5
@@ -60,7 +61,7 @@ def _sketches(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def sketches(docs: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
-    """The keys of every row, ``print`` (a hash of its shingle set), ``n`` (shingles) and ``bands`` (none for an empty set).
+    """The keys of every row, ``print`` (a hash of its shingle set), ``n`` (shingles), ``bands`` (none for an empty set) and ``simhash``.
 
     A-Z are lowered; words are separated by ASCII white space; a text of fewer words
     than a shingle is one shingle, and null, empty and blank texts have the empty set.
@@ -74,10 +75,11 @@ def sketches(docs: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
                 prints, sizes, bands = _sketches(*_shingles(part.column(text)))
                 ends = np.r_[0, np.cumsum(np.where(sizes > 0, BANDS, 0))].astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(k) for k in keys), pa.array(prints), pa.array(sizes), pa.ListArray.from_arrays(pa.array(ends), pa.array(bands[sizes > 0].ravel()))],
-                    [*keys, "print", "n", "bands"])
+                    [*(part.column(k) for k in keys), pa.array(prints), pa.array(sizes), pa.ListArray.from_arrays(pa.array(ends), pa.array(bands[sizes > 0].ravel())),
+                     pa.array(simhash.fingerprints_of(part.column(text).to_pylist(), SHINGLE))],
+                    [*keys, "print", "n", "bands", "simhash"])
 
-    return plain.mapInArrow(run, carried + "print long, n int, bands array<long>")
+    return plain.mapInArrow(run, carried + "print long, n int, bands array<long>, simhash long")
 
 
 def _sets(texts: DataFrame) -> DataFrame:
@@ -146,11 +148,23 @@ def _prefix_pairs(rest: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.select(F.col("print_a").alias("a"), F.col("print_b").alias("b")).distinct()
 
 
+def _families(distinct: DataFrame) -> DataFrame:
+    """(print, n, hub, hub_n): every set and the smallest of those whose fingerprints are linked with its own, if that is another."""
+    roots = components(simhash.links(distinct.select(F.col("simhash").alias("print")).distinct()), "a", "b")
+    placed = written(distinct.join(roots, distinct["simhash"] == roots["node"], "left").select(
+        "print", "n", F.coalesce("root", "simhash").alias("family")), "families")
+    least = placed.groupBy("family").agg(F.min(F.struct("print", "n")).alias("low"), F.count("*").alias("m")).where("m > 1")
+    met = placed.join(written(least, "hubs"), "family").select("print", "n", F.col("low.print").alias("hub"), F.col("low.n").alias("hub_n"))
+    return written(met.where("print <> hub"), "alike")
+
+
 def groups(docs: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """One row for every row of docs: its keys, ``print`` and ``root``, the smallest print it is linked with.
 
-    Rows of equal shingle sets are one set before any join.  Sets that share a key
-    are candidates.  First every set meets the smallest, then the largest set of its
+    Rows of equal shingle sets are one set before any join.  SimHash comes first: sets
+    whose fingerprints over the same shingles are linked (``simhash.links``) meet the
+    smallest set of their family.  Two bits reach the closest copies only, so sets that
+    share a MinHash key are candidates as well.  Every set meets the smallest, then the largest set of its
     buckets, so that a large group of near copies becomes one without a square of
     pairs.  Sets that share a bucket with another group by then meet again by their
     rarest shingles, which leaves out no link: see ``_prefixes``.
@@ -158,12 +172,13 @@ def groups(docs: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     plain = docs.select(*[docs[c] for c in keys], docs[text].alias("text"))
     prints = written(sketches(plain, keys), "prints")
     named = F.struct(*[F.struct(F.col(k).isNull(), k) for k in keys])
-    distinct = written(prints.where("n > 0").groupBy("print").agg(F.first("n").alias("n"), F.first("bands").alias("bands"), F.min(named).alias("row")), "distinct")
+    distinct = written(prints.where("n > 0").groupBy("print").agg(F.first("n").alias("n"), F.first("bands").alias("bands"), F.min(named).alias("row"), F.min("simhash").alias("simhash")), "distinct")
     keyed = distinct.select("print", "n", F.explode("bands").alias("key"))
     buckets = keyed.groupBy("key").agg(
         F.count("*").alias("m"), F.min(F.struct("print", "n")).alias("low"), F.max(F.struct("print", "n")).alias("high")).where("m > 1")
     shared = written(keyed.join(written(buckets, "buckets"), "key"), "shared")
-    wanted = distinct.join(shared.select("print").distinct(), "print", "left_semi").select(
+    alike = _families(distinct)
+    wanted = distinct.join(shared.select("print").unionAll(alike.select("print")).unionAll(alike.select("hub")).distinct(), "print", "left_semi").select(
         "print", *[F.col("row")[f"col{k + 1}"][name].alias(f"key_{k}") for k, name in enumerate(keys)])
     # by the keys of one of its rows; rows that repeat are stored before they become one
     meets = [plain[name].eqNullSafe(F.col(f"key_{k}")) for k, name in enumerate(keys)]
@@ -171,9 +186,9 @@ def groups(docs: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     sets = written(_sets(texts.dropDuplicates(["print"])), "sets")
 
     links, roots = None, None
-    for hub in ("low", "high", None):
+    for hub in ("simhash", "low", "high", None):
         if hub:
-            pairs = shared.select("print", "n", F.col(f"{hub}.print").alias("hub"), F.col(f"{hub}.n").alias("hub_n"))
+            pairs = alike if hub == "simhash" else shared.select("print", "n", F.col(f"{hub}.print").alias("hub"), F.col(f"{hub}.n").alias("hub_n"))
             pairs = pairs.where((F.col("print") != F.col("hub")) & _may_be_similar("n", "hub_n")).select(
                 F.least("print", "hub").alias("a"), F.greatest("print", "hub").alias("b")).distinct()
             if roots is not None:

@@ -110,14 +110,15 @@ def keys_of(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(keys), np.concatenate(nearest)
 
 
-def _fingerprints(texts: list[str | None]) -> np.ndarray:
+def fingerprints_of(texts: list[str | None], shingle: int = SHINGLE) -> np.ndarray:
+    """The fingerprint of every text, from its shingles of so many words."""
     hashes: list[int] = []
     bounds = [0]
     digest = xxhash.xxh64_intdigest
     for text in texts:
         words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        if len(words) >= SHINGLE:
-            hashes += [digest(s, SEED) for s in map(b" ".join, zip(*(words[k:] for k in range(SHINGLE))))]
+        if len(words) >= shingle:
+            hashes += [digest(s, SEED) for s in map(b" ".join, zip(*(words[k:] for k in range(shingle))))]
         elif words:
             hashes.append(digest(b" ".join(words), SEED))
         bounds.append(len(hashes))
@@ -145,7 +146,7 @@ def fingerprints(docs: DataFrame, keys: list[str], text: str = "text") -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, text):
-                prints = _fingerprints(part.column(text).to_pylist())
+                prints = fingerprints_of(part.column(text).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(k) for k in keys] + [pa.array(prints)], [*keys, "print"])
 
     return plain.mapInArrow(run, carried + "print long")
