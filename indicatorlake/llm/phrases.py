@@ -24,7 +24,7 @@ SCALE = 1_000_000
 BLOCK_BYTES = 1 << 20
 #: Rows that a task hands to Spark at a time.
 SENT_ROWS = 1 << 15
-#: Bits of a filter; phrases that share a bit are counted in vain, never missed.
+#: Bits of a filter, a power of two; phrases that share a bit are counted in vain, never missed.
 FILTER_BITS = 1 << 25
 #: The frontier first reaches the FIRST * BEST-th best pair of words, then FURTHER times as many, and so on.
 FIRST, FURTHER = 2, 4
@@ -84,14 +84,12 @@ class Filter:
 
 
 def _filter(hashes: DataFrame) -> Broadcast:
-    """A filter of the hashes of a table (h): FILTER_BITS bits, however many rows there are."""
+    """A filter of the hashes of a table (h): FILTER_BITS bits, however many rows there are.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            slot, bit = Filter.slots(batch.column("h").to_numpy().view(np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array((np.uint64(1) << bit).view(np.int64))], ["slot", "bits"])
-
-    found = hashes.select("h").mapInArrow(run, "slot long, bits long").groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
+    Spark makes the bits itself: a second Python step in a stage has workers of its own, with their memory.
+    """
+    bits_of = {"slot": F.expr(f"shiftright(h & {FILTER_BITS - 1}L, 6)"), "bits": F.expr("shiftleft(1L, CAST(h & 63 AS INT))")}
+    found = hashes.select("h").withColumns(bits_of).groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
     bits = np.zeros(FILTER_BITS // 64, np.uint64)
     bits[found["slot"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
     return hashes.sparkSession.sparkContext.broadcast(bits)

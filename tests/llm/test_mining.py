@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from indicatorlake.llm import alignment, neighbours, phrases
@@ -104,6 +105,22 @@ def test_a_filter_misses_nothing(spark):
     assert held.holds(one).all() and held.holds(one * np.uint64(3)).mean() < 0.01
 
 
+def test_no_stage_of_the_phrases_runs_two_python_steps(spark, monkeypatch):
+    """Each would have a Python worker for every core, beside the other's."""
+    plans, plain = [], DataFrame.toArrow
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return plain(df)
+
+    monkeypatch.setattr(DataFrame, "toArrow", noted)
+    phrases.collocations(texts_of(spark, [("a b c a b c", "en")] * 3), best=5, least=2).count()
+    stages = [stage for plan in plans for stage in plan.split("Exchange")]
+    assert len(plans) >= 4 and sum("MapInArrow" in stage for stage in stages) >= 4
+    assert max(stage.count("MapInArrow") for stage in stages) == 1
+
+
+
 # Nearest neighbours ----------------------------------------------------------
 
 VECTORS = StructType([StructField("vec_id", LongType()), StructField("embedding", ArrayType(DoubleType())), StructField("first", LongType())])
