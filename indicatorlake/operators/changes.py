@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..session import written
@@ -28,9 +28,27 @@ def sums_of(columns: Sequence[Column]) -> Column:
 
     Sums of half hashes, which stay within a long for two thousand million rows.
     """
-    hashes = [_hash(columns, seed) for seed in (1, 2)]
-    halves = [half for h in hashes for half in (h.bitwiseAND(F.lit(_HALF)), F.shiftrightunsigned(h, 32))]
-    return F.struct(F.count(F.lit(1)).alias("rows"), *[F.sum(half).alias(f"s{k}") for k, half in enumerate(halves)])
+    return _summed(halves(columns))
+
+
+def halves(columns: Sequence[Column]) -> list[Column]:
+    """The halves of two hashes of the values, which ``sums_of`` sums."""
+    return [half for h in (_hash(columns, seed) for seed in (1, 2)) for half in (h.bitwiseAND(F.lit(_HALF)), F.shiftrightunsigned(h, 32))]
+
+
+def _summed(parts: Sequence[Column]) -> Column:
+    return F.struct(F.count(F.lit(1)).alias("rows"), *[F.sum(part).alias(f"s{k}") for k, part in enumerate(parts)])
+
+
+def sums_within(df: DataFrame, columns: Sequence[str], groups: Callable[[DataFrame], DataFrame], by: str) -> dict[str, Row]:
+    """The sums of the rows (of ``columns``) that ``groups`` puts in each group, by the group's name.
+
+    Rows are hashed once, before they are put in groups, and only their hashes go on.
+    ``groups`` returns the rows it is given with the column ``by``, maybe several times.
+    """
+    names = [f"_h{k}" for k in range(4)]
+    hashed = df.select("*", *[h.alias(name) for h, name in zip(halves([F.col(quoted(c)) for c in columns]), names)])
+    return {r[0]: r[1] for r in groups(hashed).groupBy(by).agg(_summed([F.col(name) for name in names]).alias("s")).collect()}
 
 
 def bucket_sums(df: DataFrame, columns: Sequence[Column], side: str) -> DataFrame:

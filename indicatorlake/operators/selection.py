@@ -105,13 +105,20 @@ def selected(view: DataFrame, wanted: Iterable[Indicator]) -> DataFrame:
     """Rows of ``view`` once per matching indicator, with ``afs_uid`` in front, in one scan.
 
     Indicators with an equality in their predicate are found through an index; the
-    predicates of the others run on every row, beside it.
+    predicates of the others run on every row, beside it.  Where there are others and
+    all predicates together are no more than one pass evaluates, that pass costs less
+    than the index, which copies a row for every left side it asks; the equalities
+    still come first, so that the rest of a predicate only sees rows that have them.
     """
     wanted = list(wanted)
     _check_uids(wanted)
     index = Index(view, [(i.uid, i.condition) for i in wanted])
     if not index.found:
         return reduce(DataFrame.unionByName, [fan_out(view, batch) for batch in batches(wanted)])
+    direct = [Indicator(uid, " AND ".join(f"({text})" for text in [*(a.text for a in atoms), *([rest] if rest else [])])) for uid, atoms, rest in index.found]
+    direct += [Indicator(uid, condition) for uid, condition in index.others]
+    if index.others and sum(len(i.condition) for i in direct) <= PREDICATE_TEXT:
+        return fan_out(view, direct)
     others = {uid for uid, _ in index.others}
     beside = batches(i for i in wanted if i.uid in others)
     return index.select([F.split(_uids(batch), SEPARATOR) for batch in beside])

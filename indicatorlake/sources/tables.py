@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..operators.reshape import quoted
+from ..session import compiled_in_parts
 
 #: Partition column that tells the generations of replaced keys apart; only inside versions.
 GENERATION = "_generation"
@@ -149,7 +150,8 @@ class Lake:
         writer = rows.observe(seen, *metrics).write.mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(partition_by)
-        writer.parquet(folder)
+        with compiled_in_parts(self.spark):
+            writer.parquet(folder)
         found = seen.get
         return found["n"], list(found.get("values") or [])
 

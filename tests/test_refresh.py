@@ -6,7 +6,9 @@ import uuid
 
 import pytest
 
+from indicatorlake.operators.selection import Indicator, selected
 from indicatorlake.plans import stage
+from indicatorlake.session import compiled_in_parts
 from indicatorlake.sources.tables import Lake
 from workload.harmonise_cases import view
 from workload.stage_cases import CODE, _config
@@ -58,3 +60,50 @@ def test_a_published_table_knows_what_it_stood_for(spark, lake, tmp_path):
         lake.publish("t", f"file://{tmp_path}/p{k}")
         earlier = lake.before("t")
         assert lake.read("t").count() == k and (earlier.count() == k - 1 if earlier is not None else k < 3)
+
+
+def test_changed_uids_read_every_version_once(spark, tmp_path):
+    view(spark, SF, CODE).write.parquet(f"{tmp_path}/v1")
+    v1 = spark.read.parquet(f"{tmp_path}/v1")
+    v2 = v1.where("NOT (afs_flag <=> 'flag 4')").unionByName(v1.where("afs_year = 1997").limit(1))
+    n1, n2 = v1.count(), v2.count()
+    seen = spark.sparkContext.accumulator(0)
+
+    def noted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    wanted = [Indicator("four", "afs_flag = 'flag 4'"), Indicator("nil", "afs_flag IS NULL AND afs_year <> 1997"), Indicator("year", "afs_year = 1997"),
+              Indicator("none", "afs_year = 1"), Indicator("stamp", "afs_source_updated_at = ''")]
+    assert stage.changed_uids(v1.mapInArrow(noted, v1.schema), v2.mapInArrow(noted, v2.schema), wanted) == ["four", "stamp", "year"]
+    assert seen.value == n1 + n2
+    assert stage.changed_uids(v1, v1, wanted) == ["stamp"]
+
+
+def test_few_indicators_are_selected_without_a_join(spark):
+    v = spark.createDataFrame([("a", 1, None), ("a", 1, None), ("b", 2, "x"), (None, None, "7")], "k string, n int, t string")
+    wanted = [Indicator("eq", "k = 'a' AND n >= 1"), Indicator("guard", "CAST(t AS INT) = 7 AND n IS NULL"), Indicator("both", "(n = 2 OR n = 1) AND k IN ('a', 'b')"),
+              Indicator("late", "CAST(t AS INT) > 0 AND t = '7'"), Indicator("rest", "n > 1")]
+    found = selected(v.where("NOT t <=> 'x'"), wanted)
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.afs_uid for r in found.collect()) == ["both", "both", "eq", "eq", "guard", "late"]
+    # the rest of a predicate sees only rows that have its equality
+    assert sorted((r.afs_uid, r.t) for r in selected(v, wanted[3:]).collect()) == [("late", "7"), ("rest", "x")]
+
+
+def test_stores_run_in_parts_that_the_jvm_compiles(spark):
+    name = "spark.sql.codegen.hugeMethodLimit"
+    own = spark.conf.get(name)
+    spark.conf.set(name, "65535")
+    try:
+        with compiled_in_parts(spark):
+            with compiled_in_parts(spark):
+                assert spark.conf.get(name) == "8000"
+            assert spark.conf.get(name) == "8000"
+        assert spark.conf.get(name) == "65535"
+        spark.conf.set(name, "4000")
+        with compiled_in_parts(spark):
+            assert spark.conf.get(name) == "4000"
+    finally:
+        spark.conf.set(name, own)
