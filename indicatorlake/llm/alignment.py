@@ -20,7 +20,9 @@ from .common import chunks, ship
 from .tokens import _byte_letters
 
 #: Bytes of text whose pairs of ids are counted together before Spark merges the counts.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
+#: Blocks of a stored file: a reader holds all rows of one at a time, and a writer too.
+FILE_BLOCKS = 32
 #: Fixed value: how byte-level files of this kind cut a text before any merge.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 RESULTS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
@@ -173,13 +175,24 @@ def _aligned(texts: pa.Array, both: Pair) -> dict:
             "links": coded.indices.to_numpy(), "a": pairs >> 32, "b": pairs & 0xFFFFFFFF, "n": counted["pair_count"].to_numpy()}
 
 
+def _packed(links: np.ndarray, pairs: int) -> bytes:
+    """Places in a table of pairs, compressed: a block's row stays far below the size from which a JVM gives an object regions of its own."""
+    kind = np.uint16 if pairs <= 1 << 16 else np.uint32
+    return bytes([np.dtype(kind).itemsize]) + pa.compress(links.astype(kind).tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(packed: bytes, n: int) -> np.ndarray:
+    size = packed[0]
+    return np.frombuffer(pa.decompress(packed[1:], n * size, codec="zstd", asbytes=True), f"u{size}")
+
+
 def _blocks(docs: DataFrame, keys: list[str], text: str, a_path: str, b_path: str) -> DataFrame:
     """A row for every block of texts: its documents with their figures, its links, and its pairs of ids with their counts."""
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
     names = [f"key_{k}" for k in range(len(keys))]
     plain = docs.select(*[docs[c].alias(n) for c, n in zip(keys, names)], docs[text].alias("text"))
     schema = "block long, " + "".join(f"{n} array<{kinds[c]}>, " for c, n in zip(keys, names)) + (
-        "n_a array<long>, n_b array<long>, n_links array<long>, sha array<string>, links array<int>, a array<int>, b array<int>, n array<long>")
+        "n_a array<long>, n_b array<long>, n_links array<long>, sha array<string>, links binary, a array<int>, b array<int>, n array<long>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = pair(a_path, b_path)
@@ -189,10 +202,13 @@ def _blocks(docs: DataFrame, keys: list[str], text: str, a_path: str, b_path: st
                 found = _aligned(part.column("text"), both)
                 lists = [part.column(n) for n in names] + [
                     pa.array(found[n], kind) for n, kind in (("n_a", pa.int64()), ("n_b", pa.int64()), ("n_links", pa.int64()), ("sha", pa.string()),
-                                                             ("links", pa.int32()), ("a", pa.int32()), ("b", pa.int32()), ("n", pa.int64()))]
+                                                             ("a", pa.int32()), ("b", pa.int32()), ("n", pa.int64()))]
+                listed = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]
+                listed.insert(-3, pa.array([_packed(found["links"], len(found["a"]))], pa.binary()))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([block])] + [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists],
-                    ["block", *names, "n_a", "n_b", "n_links", "sha", "links", "a", "b", "n"])
+                    [pa.array([block]), *listed], ["block", *names, "n_a", "n_b", "n_links", "sha", "links", "a", "b", "n"])
+                del found, lists, listed  # else they stay beside the next block's
+                pa.default_memory_pool().release_unused()
                 block += 1
 
     return plain.mapInArrow(run, schema)
@@ -225,7 +241,7 @@ def align(docs: DataFrame, keys: list[str], a_path: str, b_path: str, text: str
     comes back as ``key_<name>``.  An empty table gives no rows.
     """
     ship(docs.sparkSession)
-    blocks = written(_blocks(docs, keys, text, a_path, b_path), "alignment")
+    blocks = written(_blocks(docs, keys, text, a_path, b_path), "alignment", FILE_BLOCKS)
     counts = written(pair_counts(blocks), "pairs")
     asked = blocks.select("block", F.posexplode(F.arrays_zip("a", "b")).alias("at", "p")).select("block", "at", "p.a", "p.b")
     answers = asked.join(counts, ["a", "b"]).groupBy("block").agg(F.collect_list(F.struct("at", "count", "best")).alias("answers"))
@@ -237,8 +253,9 @@ def align(docs: DataFrame, keys: list[str], a_path: str, b_path: str, text: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                row = {n: batch.column(n).slice(k, 1).flatten() for n in batch.schema.names if n != "block"}
-                n_links, links, answer = row["n_links"].to_numpy(), row["links"].to_numpy(), row["answers"]
+                row = {n: batch.column(n).slice(k, 1).flatten() for n in batch.schema.names if n not in ("block", "links")}
+                n_links, answer = row["n_links"].to_numpy(), row["answers"]
+                links = _unpacked(batch.column("links")[k].as_py(), int(n_links.sum()))
                 count, best = np.zeros(len(answer), np.int64), np.zeros(len(answer), np.int64)
                 if len(answer):
                     at = answer.field("at").to_numpy()

@@ -255,3 +255,30 @@ def test_keys_named_like_results(spark, make_docs):
     out = alignment.align(df, ["n_a", "text"], *map(public_tokenizers.path, ALIGNED))
     assert out.columns == ["key_n_a", "text", *alignment.RESULTS]
     assert {(r.key_n_a, r.text, r.n_b > 0) for r in out.collect()} == {(1, "one two", True), (2, None, False)}
+
+
+def test_alignment_rows_stay_small_in_a_jvm(spark, make_docs):
+    """A row of half a megabyte and more gets regions of the heap of its own; a reader holds a whole file of rows at a time."""
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randrange(1, 9))) for _ in range(3000)]
+    docs = make_docs([" ".join(rng.choices(words, k=300)) for _ in range(1200)]).coalesce(1)
+    paths = [*map(public_tokenizers.path, ALIGNED)]
+    blocks = alignment._blocks(docs, ["doc_id"], "text", *paths).collect()
+    assert sum(len(r.key_0) for r in blocks) == 1200 and len(blocks) > 2
+    for r in blocks:
+        links = len(r.links) if isinstance(r.links, (bytes, bytearray)) else 4 * len(r.links)
+        assert links + 64 * len(r.sha) + 8 * 4 * len(r.n_a) + 16 * len(r.n) < 1 << 19
+
+
+def test_packed_links_are_the_same(spark):
+    for pairs in (1, 1 << 16, (1 << 16) + 1):
+        links = np.array([0, pairs - 1, 0, pairs // 2], np.int32)
+        assert alignment._unpacked(alignment._packed(links, pairs), 4).tolist() == links.tolist()
+    assert len(alignment._unpacked(alignment._packed(np.zeros(0, np.int32), 0), 0)) == 0
+
+
+def test_large_rows_are_written_to_bounded_files(spark):
+    from indicatorlake.session import written
+
+    assert len(written(spark.range(100).coalesce(1), "bounded", 30).inputFiles()) == 4
+    assert len(written(spark.range(100).coalesce(1), "unbounded").inputFiles()) == 1
